@@ -445,16 +445,16 @@ define(
 )
 
 
-def vector_top(queries: str, items: str, k: int) -> str:
+def vector_top(k: int) -> str:
     return f"""SELECT query_id, item_id, CAST(rank AS INT) AS rank, score FROM (
       SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS rank FROM (
         SELECT q.vec_id AS query_id, i.vec_id AS item_id, round(list_cosine_similarity(q.e, i.e), 6) AS score
-        FROM (SELECT *, embedding::DOUBLE[] AS e FROM embeddings {queries}) q, (SELECT *, embedding::DOUBLE[] AS e FROM embeddings {items}) i))
+        FROM (SELECT *, embedding::DOUBLE[] AS e FROM embeddings) q, (SELECT *, embedding::DOUBLE[] AS e FROM embeddings) i))
       WHERE rank <= {k}"""
 
 
-define("l3_vector_top_k", vector_top("WHERE label = 3", "WHERE label <> 3", 3))
-define("t2_vector_search", vector_top("", "", 6))
+define("l3_vector_top_k", vector_top(3))
+define("t2_vector_search", vector_top(6))
 # Every user meets every product; the engine produces only the first steps of each walk.
 RECOMMENDED = [
     "size AS (SELECT count(*) AS n FROM part)",
@@ -564,7 +564,7 @@ define(
 )
 define(
     "t4_backend_choice",
-    f"SELECT 'tokens' AS method, query_id, item_id FROM found UNION ALL SELECT 'vector', query_id, item_id FROM ({vector_top('', '', 1)})",
+    f"SELECT 'tokens' AS method, query_id, item_id FROM found UNION ALL SELECT 'vector', query_id, item_id FROM ({vector_top(1)})",
     *token_top(BENCH, CORPUS, 1),
 )
 define(

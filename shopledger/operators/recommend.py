@@ -59,7 +59,8 @@ def _walks(users: DataFrame, size: int, k: int, seed: str) -> DataFrame:
     blocks = users.select("user_id", stride.alias("a"), start.alias("b"), needed.alias("needed"), pieces.alias("piece"))
     first = F.col("piece") * STEPS_PER_ROW
     steps = F.sequence(first, F.least(first + (STEPS_PER_ROW - 1), F.col("needed") - 1))
-    walked = blocks.select("user_id", "a", "b", F.explode(steps).alias("step"))
+    # A user with a very full cart has many pieces; they are walked by many tasks.
+    walked = blocks.repartition("user_id", "piece").select("user_id", "a", "b", F.explode(steps).alias("step"))
     number: Column = (
         (F.col("a").cast("decimal(19,0)") * F.col("step").cast("decimal(19,0)") + F.col("b"))
         % F.lit(prime)

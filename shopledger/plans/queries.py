@@ -477,7 +477,7 @@ def _(spark, folder):
 @query("j7_token_overlap_join")
 def _(spark, folder):
     benchmark = shop.table(spark, folder, "benchmark").select(F.col("item_id").alias("query_id"), "text")
-    return retrieval.token_search(benchmark, shop.corpus(spark, folder), k=10, query_block=1)
+    return retrieval.token_search(benchmark, shop.corpus(spark, folder), k=10)
 
 
 def _citing_replies(spark, folder):
@@ -626,12 +626,18 @@ def _(spark, folder):
     return retrieval.token_search(brands, items)
 
 
+def _vectors(spark, folder):
+    v = shop.table(spark, folder, "embeddings")
+    return (
+        v.select(F.col("vec_id").alias("query_id"), "embedding"),
+        v.select(F.col("vec_id").alias("item_id"), "embedding"),
+    )
+
+
 @query("l3_vector_top_k")
 def _(spark, folder):
-    v = shop.table(spark, folder, "embeddings")
-    asked = v.filter(F.col("label") == 3).select(F.col("vec_id").alias("query_id"), "embedding")
-    stored = v.filter(F.col("label") != 3).select(F.col("vec_id").alias("item_id"), "embedding")
-    return retrieval.vector_search(asked, stored, k=3, query_block=20).select("query_id", "item_id", "rank", "score")
+    asked, stored = _vectors(spark, folder)
+    return retrieval.vector_search(asked, stored, k=3).select("query_id", "item_id", "rank", "score")
 
 
 def _users(spark, folder):
@@ -861,14 +867,6 @@ def _(spark, folder):
     return retrieval.token_search(shop.messages(spark, folder), shop.corpus(spark, folder))
 
 
-def _vectors(spark, folder):
-    v = shop.table(spark, folder, "embeddings")
-    return (
-        v.select(F.col("vec_id").alias("query_id"), "embedding"),
-        v.select(F.col("vec_id").alias("item_id"), "embedding"),
-    )
-
-
 @query("t2_vector_search")
 def _(spark, folder):
     asked, stored = _vectors(spark, folder)

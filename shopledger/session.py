@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the operators count on. Skewed joins are split at run time, also where
 # the split costs one more shuffle, so that no hot key is left to a single task.
@@ -26,6 +26,11 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate of a plan's size; no job is run."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; a temporary one only where none is named."""
     context = spark.sparkContext
