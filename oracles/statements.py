@@ -622,7 +622,7 @@ define(
 )
 define(
     "p2_cart_lines",
-    f"""SELECT order_id, product_id, quantity, user_currency AS currency_code, u AS line_units, n AS line_rest, {money_text('user_currency', 'u', 'n')} AS line_text
+    f"""SELECT order_id, product_id, quantity, user_currency AS currency_code, u AS line_units, n AS line_nanos, {money_text('user_currency', 'u', 'n')} AS line_text
     FROM (SELECT *, CAST(line_nanos // 1000000000 AS BIGINT) AS u, CAST(line_nanos % 1000000000 AS INT) AS n FROM priced)""",
     *PLAIN,
 )

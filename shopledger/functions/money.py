@@ -1,8 +1,8 @@
 """Exact money arithmetic.
 
-An amount is (currency_code, units, nanos). Between operators it travels as one
-DECIMAL(38,0) of total nanos, so sums are order-independent and never lose a
-nano; units and nanos are split off again only at the edges.
+An amount is (currency_code, units, nanos). Single amounts are multiplied in 64-bit
+integers with a carry; sums end in one DECIMAL(38,0) of total nanos, so they do not
+depend on order and never lose a nano. Units and nanos are split off again at the edges.
 """
 
 from __future__ import annotations
@@ -26,6 +26,27 @@ def total_nanos(units: Column, nanos: Column) -> Column:
     return (units.cast("decimal(20,0)") * _billion() + nanos.cast("decimal(10,0)")).cast(TOTAL_TYPE)
 
 
+def times(units: Column, nanos: Column, quantity: Column) -> tuple[Column, Column]:
+    """(units, nanos) of an amount taken ``quantity`` (a 32-bit integer) times."""
+    rest = nanos.cast("bigint") * quantity.cast("bigint")
+    billion = F.lit(NANOS_PER_UNIT).cast("bigint")
+    whole = units.cast("bigint") * quantity.cast("bigint") + F.call_function("div", rest, billion)
+    return whole, (rest % billion).cast("int")
+
+
+# Nanos are summed in two parts below 2**16 each, so 64-bit sums hold for 10**14 rows per group.
+_PART = 1 << 15
+
+
+def exact_sum(units: Column, nanos: Column) -> Column:
+    """Aggregate: the exact total nanos of a group, from 64-bit partial sums."""
+    part = F.lit(_PART).cast("bigint")
+    rest = nanos.cast("bigint")
+    whole = F.sum(units.cast("bigint")).cast("decimal(20,0)") * _billion()
+    high = F.sum(F.call_function("div", rest, part)).cast("decimal(20,0)") * part.cast("decimal(5,0)")
+    return (whole + high + F.sum(rest % part).cast("decimal(20,0)")).cast(TOTAL_TYPE)
+
+
 def units_of(total: Column) -> Column:
     """Whole units of a total, truncated toward zero."""
     return F.call_function("div", total, _billion()).cast("bigint")

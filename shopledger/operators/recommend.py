@@ -61,9 +61,10 @@ def _walks(users: DataFrame, size: int, k: int, seed: str) -> DataFrame:
     steps = F.sequence(first, F.least(first + (STEPS_PER_ROW - 1), F.col("needed") - 1))
     # A user with a very full cart has many pieces; they are walked by many tasks.
     walked = blocks.repartition("user_id", "piece").select("user_id", "a", "b", F.explode(steps).alias("step"))
+    # a * step + b stays within 63 bits for catalogs of up to three billion products.
+    wide = "bigint" if prime < 3_000_000_000 else "decimal(19,0)"
     number: Column = (
-        (F.col("a").cast("decimal(19,0)") * F.col("step").cast("decimal(19,0)") + F.col("b"))
-        % F.lit(prime)
+        (F.col("a").cast(wide) * F.col("step").cast(wide) + F.col("b").cast(wide)) % F.lit(prime)
     ).cast("bigint")
     return walked.select("user_id", "step", number.alias("number")).filter(F.col("number") < size)
 

@@ -5,17 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopledger.functions.money import display, nanos_of, units_of
+from shopledger.functions.money import display
 from shopledger.plans.checkout import order_totals, priced_lines
 
 
 def cart_lines(requests: DataFrame, cart_items: DataFrame, catalog: DataFrame, rates: DataFrame) -> DataFrame:
     """Each line with quantity x unit price in the shopper's currency and its display text."""
     lines = priced_lines(requests, cart_items, catalog, rates)
-    units, nanos = units_of(F.col("line_nanos")), nanos_of(F.col("line_nanos"))
+    units, nanos = F.col("line_units"), F.col("line_nanos")
     return lines.select(
         "order_id", "product_id", "quantity", "currency_code",
-        units.alias("line_units"), nanos.alias("line_rest"),
+        "line_units", "line_nanos",
         display(F.col("currency_code"), units, nanos).alias("line_text"),
     )
 

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopledger.functions.money import nanos_of, total_nanos, units_of
+from shopledger.functions.money import exact_sum, nanos_of, times, total_nanos, units_of
 from shopledger.functions.seeded import hex_number, digest
 from shopledger.functions.shipping import address_text, quote_nanos, quote_units, tracking_id
 from shopledger.operators.exchange import convert_money
@@ -21,7 +21,7 @@ LINES_PER_DOCUMENT = 1000
 def priced_lines(requests: DataFrame, cart_items: DataFrame, catalog: DataFrame, rates: DataFrame) -> DataFrame:
     """Cart lines of the requests with their unit price in the buyer's currency.
 
-    (order_id, product_id, quantity, currency_code, unit_units, unit_nanos, line_nanos, line_reason).
+    Adds unit_units, unit_nanos, line_units, line_nanos (quantity x unit) and line_reason.
     The catalog is joined first so that the join on the order leaves the rows where the
     per-order sums need them. Only the two columns needed of each request are moved.
     """
@@ -41,10 +41,10 @@ def priced_lines(requests: DataFrame, cart_items: DataFrame, catalog: DataFrame,
         .when(F.col("quantity") < 1, F.lit("invalid_quantity"))
         .otherwise(F.col("unit_reason"))
     )
-    line = total_nanos(F.col("unit_units"), F.col("unit_nanos")) * F.col("quantity").cast("decimal(10,0)")
+    line_units, line_nanos = times(F.col("unit_units"), F.col("unit_nanos"), F.col("quantity"))
     return localized.select(
         "order_id", "product_id", "quantity", "currency_code", "unit_units", "unit_nanos",
-        line.cast("decimal(38,0)").alias("line_nanos"), reason.alias("line_reason"),
+        line_units.alias("line_units"), line_nanos.alias("line_nanos"), reason.alias("line_reason"),
     )
 
 
@@ -54,7 +54,7 @@ def order_totals(requests: DataFrame, lines: DataFrame, rates: DataFrame) -> Dat
     ``prep_reason`` is set when a line or the shipping could not be priced.
     """
     sums = lines.groupBy("order_id").agg(
-        F.sum("line_nanos").alias("items_nanos"),
+        exact_sum(F.col("line_units"), F.col("line_nanos")).alias("items_nanos"),
         F.sum("quantity").alias("item_count"),
         F.count("*").alias("line_count"),
         F.min("line_reason").alias("line_reason"),
@@ -113,7 +113,7 @@ def rejected(orders: DataFrame) -> DataFrame:
 
 def recomputed_totals(orders: DataFrame, lines: DataFrame) -> DataFrame:
     """Accepted orders with shipping + sum of unit price x quantity, worked out anew."""
-    sums = lines.groupBy("order_id").agg(F.sum("line_nanos").alias("items_nanos"))
+    sums = lines.groupBy("order_id").agg(exact_sum(F.col("line_units"), F.col("line_nanos")).alias("items_nanos"))
     shipping = total_nanos(F.col("shipping_units"), F.col("shipping_nanos"))
     again = shipping + F.coalesce("items_nanos", F.lit(0).cast("decimal(38,0)"))
     stored = total_nanos(F.col("total_units"), F.col("total_nanos"))

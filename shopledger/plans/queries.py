@@ -519,7 +519,7 @@ def _(spark, folder):
 @query("agg1_money_sum")
 def _(spark, folder):
     valid = _signed_amounts(spark, folder).filter(money.is_valid(F.col("units"), F.col("nanos")))
-    sums = valid.groupBy("order_id", "code").agg(F.sum(money.total_nanos(F.col("units"), F.col("nanos"))).alias("t"))
+    sums = valid.groupBy("order_id", "code").agg(money.exact_sum(F.col("units"), F.col("nanos")).alias("t"))
     return sums.select("order_id", "code", money.units_of(F.col("t")).alias("units"), money.nanos_of(F.col("t")).alias("nanos"))
 
 
@@ -743,11 +743,9 @@ def _(spark, folder):
     lines = shop.order_carts(spark, folder)
     prices = shop.catalog(spark, folder).select(F.col("id").alias("product_id"), "price_usd")
     priced = lines.join(prices, "product_id")
-    total = money.total_nanos(F.col("price_usd.units"), F.col("price_usd.nanos")) * F.col("quantity").cast("decimal(10,0)")
-    total = total.cast("decimal(38,0)")
+    units, nanos = money.times(F.col("price_usd.units"), F.col("price_usd.nanos"), F.col("quantity"))
     return priced.select(
-        "order_id", "line_no", "product_id", "quantity",
-        money.units_of(total).alias("units"), money.nanos_of(total).alias("nanos"),
+        "order_id", "line_no", "product_id", "quantity", units.alias("units"), nanos.alias("nanos")
     )
 
 

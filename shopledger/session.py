@@ -31,6 +31,19 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+# What one core reads of a table in one go.
+SPLIT_BYTES = 128 << 20
+
+
+def dealt_out(df: DataFrame, key: str) -> DataFrame:
+    """A table too small to be read by every core is dealt out to all of them by key.
+
+    Large tables are read in many splits and stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if estimated_bytes(df) < cores * SPLIT_BYTES else df
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; a temporary one only where none is named."""
     context = spark.sparkContext

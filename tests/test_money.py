@@ -127,3 +127,20 @@ def test_display(spark):
     assert one(spark, ("JPY", 12, 59999999), money.display(*c))[0] == "¥12.05"
     assert one(spark, ("CHF", 1, 990000000), money.display(*c))[0] == "$1.99"
     assert one(spark, ("EUR", 1, 5), money.long_text(*c))[0] == "1.000000005 EUR"
+
+
+def test_exact_sum_and_times(spark):
+    """Against Python integers, with both signs and carries."""
+    import random
+
+    rng = random.Random(4)
+    rows = []
+    for _ in range(500):
+        sign, quantity = rng.choice([-1, 1]), rng.randint(1, 2**31 - 1)
+        rows.append((sign * rng.randint(0, 10**6), sign * rng.randint(0, NANOS), quantity))
+    df = spark.createDataFrame(rows, "u bigint, n int, q int")
+    total = df.agg(money.exact_sum(F.col("u"), F.col("n"))).first()[0]
+    assert int(total) == sum(u * 10**9 + n for u, n, _ in rows)
+    for row in df.select("*", *[c.alias(a) for c, a in zip(money.times(F.col("u"), F.col("n"), F.col("q")), ["tu", "tn"])]).collect():
+        assert row.tu * 10**9 + row.tn == (row.u * 10**9 + row.n) * row.q
+        assert abs(row.tn) < 10**9 and row.tu * row.tn >= 0
