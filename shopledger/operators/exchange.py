@@ -9,24 +9,30 @@ from shopledger.functions.fx import converted
 from shopledger.sources.fixed_values import ALLOWED_CURRENCIES, DEFAULT_CURRENCY
 
 
+def _with_rate(df: DataFrame, rates: DataFrame, code: Column | str, name: str) -> DataFrame:
+    """Adds the rate of a code column, or of one code that holds for the whole table."""
+    if isinstance(code, str):
+        row = rates.filter(F.col("code") == code).first()
+        return df.withColumn(name, F.lit(row["rate"] if row else None).cast("double"))
+    # There are at most as many rates as currencies.
+    listed = F.broadcast(rates.select(F.col("code").alias("_code"), F.col("rate").alias(name)))
+    return df.join(listed, code == F.col("_code"), "left").drop("_code")
+
+
 def convert_money(
     df: DataFrame,
     units: Column,
     nanos: Column,
-    from_code: Column,
-    to_code: Column,
+    from_code: Column | str,
+    to_code: Column | str,
     rates: DataFrame,
     prefix: str = "converted",
 ) -> DataFrame:
     """Adds ``<prefix>_units``, ``<prefix>_nanos`` and ``<prefix>_reason`` (NULL when fine).
 
-    There are at most as many rates as currencies, so both lookups are broadcast.
+    Codes are columns, or plain strings where one currency holds for the whole table.
     """
-    source = F.broadcast(rates.select(F.col("code").alias("_from"), F.col("rate").alias("_from_rate")))
-    target = F.broadcast(rates.select(F.col("code").alias("_to"), F.col("rate").alias("_to_rate")))
-    priced = df.join(source, from_code == F.col("_from"), "left").join(
-        target, to_code == F.col("_to"), "left"
-    )
+    priced = _with_rate(_with_rate(df, rates, from_code, "_from_rate"), rates, to_code, "_to_rate")
     reason = F.when(
         F.col("_from_rate").isNull() | F.col("_to_rate").isNull(), F.lit("unsupported_currency")
     ).when((units < 0) | (nanos < 0), F.lit("negative_amount"))
@@ -35,7 +41,7 @@ def convert_money(
         priced.withColumn(f"{prefix}_reason", reason)
         .withColumn(f"{prefix}_units", F.when(reason.isNull(), out_units))
         .withColumn(f"{prefix}_nanos", F.when(reason.isNull(), out_nanos).cast("int"))
-        .drop("_from", "_from_rate", "_to", "_to_rate")
+        .drop("_from_rate", "_to_rate")
     )
 
 

@@ -64,7 +64,7 @@ def order_totals(requests: DataFrame, lines: DataFrame, rates: DataFrame) -> Dat
         carts.withColumn("_units", quote_units(F.col("item_count"))).withColumn(
             "_nanos", quote_nanos(F.col("item_count"))
         ),
-        F.col("_units"), F.col("_nanos"), F.lit(DEFAULT_CURRENCY), F.col("user_currency"), rates, "shipping",
+        F.col("_units"), F.col("_nanos"), DEFAULT_CURRENCY, F.col("user_currency"), rates, "shipping",
     )
     items = F.coalesce("items_nanos", F.lit(0).cast("decimal(38,0)"))
     total = items + total_nanos(F.col("shipping_units"), F.col("shipping_nanos"))

@@ -28,33 +28,26 @@ def money_struct(code: Column, units: Column, nanos: Column) -> Column:
     )
 
 
-def _products(documents: DataFrame) -> DataFrame:
-    item = documents.select(F.explode("products").alias("p"))
-    return item.select(
-        "p.id", "p.name", "p.description", "p.picture",
+def _products(documents: DataFrame, products: Column) -> DataFrame:
+    # inline, so that the array is parsed once and not once per field taken from it
+    return documents.select(F.inline(products)).select(
+        "id", "name", "description", "picture",
         money_struct(
-            F.col("p.priceUsd.currencyCode"), F.col("p.priceUsd.units"), F.col("p.priceUsd.nanos")
+            F.col("priceUsd.currencyCode"), F.col("priceUsd.units"), F.col("priceUsd.nanos")
         ).alias("price_usd"),
-        "p.categories",
+        "categories",
     )
 
 
 def read_catalog_json(spark: SparkSession, path: str) -> DataFrame:
     """Files holding one object with a ``products`` array each."""
-    return _products(spark.read.schema(CATALOG_JSON_SCHEMA).option("multiLine", True).json(path))
+    documents = spark.read.schema(CATALOG_JSON_SCHEMA).option("multiLine", True).json(path)
+    return _products(documents, F.col("products"))
 
 
 def catalog_from_json(documents: DataFrame, column: str = "value") -> DataFrame:
     """The same objects, one per row of a text column."""
-    return _products(
-        documents.select(F.from_json(F.col(column), "struct<" + _as_fields(CATALOG_JSON_SCHEMA) + ">").alias("d"))
-        .select("d.*")
-    )
-
-
-def _as_fields(ddl: str) -> str:
-    name, kind = ddl.split(" ", 1)
-    return f"{name}:{kind}"
+    return _products(documents, F.from_json(F.col(column), CATALOG_JSON_SCHEMA)["products"])
 
 
 def catalog_from_flat(flat: DataFrame) -> DataFrame:
@@ -113,7 +106,7 @@ def assistant_items(documents: DataFrame, column: str = "value") -> DataFrame:
     """Rows of the items of JSON arrays; any other top level yields nothing."""
     is_array = F.ltrim(F.col(column)).startswith("[")
     parsed = F.from_json(F.col(column), f"array<{ASSISTANT_ITEM}>")
-    return documents.filter(is_array).select(F.explode(parsed).alias("item")).select("item.*")
+    return documents.filter(is_array).select(F.inline(parsed))
 
 
 def read_assistant_catalog(spark: SparkSession, path: str) -> DataFrame:

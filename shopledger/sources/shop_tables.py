@@ -24,7 +24,9 @@ ROUTE_PATHS = {
 
 
 # Tables that grow with the business, and the key their rows are dealt out by while small.
-FACT_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id", "documents": "doc_id"}
+FACT_KEYS = {
+    "lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id", "documents": "doc_id", "customer": "c_custkey", "part": "p_partkey",
+}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -89,7 +89,7 @@ def test_conversion_golden_values(spark):
         for code, expected in zip(["EUR", "JPY", "GBP", "TRY", "CAD"], values)
     ]
     df = spark.createDataFrame(rows, "units bigint, nanos bigint, to_code string, expected string")
-    out = convert_money(df, F.col("units"), F.col("nanos"), F.lit("USD"), F.col("to_code"), dimensions.rates(spark))
+    out = convert_money(df, F.col("units"), F.col("nanos"), "USD", F.col("to_code"), dimensions.rates(spark))
     for row in out.collect():
         assert f"{row.converted_units}.{row.converted_nanos:09d}" == row.expected
 
@@ -102,7 +102,7 @@ def test_conversion_of_equal_codes_is_not_skipped(spark):
 
 def test_conversion_reasons(spark):
     df = spark.createDataFrame([(1, 0, "XXX"), (-1, 0, "EUR"), (1, 0, "EUR")], "units bigint, nanos bigint, to_code string")
-    out = convert_money(df, F.col("units"), F.col("nanos"), F.lit("USD"), F.col("to_code"), dimensions.rates(spark))
+    out = convert_money(df, F.col("units"), F.col("nanos"), "USD", F.col("to_code"), dimensions.rates(spark))
     got = {(r.units, r.to_code): (r.converted_reason, r.converted_units) for r in out.collect()}
     assert got[(1, "XXX")] == ("unsupported_currency", None)
     assert got[(-1, "EUR")] == ("negative_amount", None)

@@ -244,3 +244,18 @@ def test_large_order_documents_are_split(spark):
     assert quantity[7] == 502 and sum(quantity.values()) == 1100
     (empty,) = [d for d in documents if d.order_id == 2]
     assert empty["items"] == [] and empty.shipping_cost.units == 0
+
+
+def test_cart_table_versions(spark, tmp_path):
+    from shopledger.sources.carts import apply_cart_changes, read_cart_table, write_cart_table
+
+    first, second = str(tmp_path / "v1"), str(tmp_path / "v2")
+    schema = "user_id bigint, product_id bigint, quantity bigint"
+    write_cart_table(spark.createDataFrame([(1, 7, 2), (2, 7, 5), (3, 1, 1)], schema), first)
+    adds = spark.createDataFrame([(1, 7, 3), (2, 9, 1)], schema)
+    apply_cart_changes(spark, first, second, adds, spark.createDataFrame([(2,)], "user_id bigint"))
+    assert {tuple(r) for r in read_cart_table(spark, {"path": second}).collect()} == {(1, 7, 5), (2, 9, 1), (3, 1, 1)}
+    read_cart_table(spark, {"path": second}).withColumnsRenamed({"user_id": "userId", "product_id": "productId"}).createOrReplaceTempView("CartItems")
+    assert read_cart_table(spark, {"table": "CartItems"}).filter("user_id = 1").count() == 1
+    with pytest.raises(ValueError):
+        read_cart_table(spark, {"table": "public.CartItems"})
