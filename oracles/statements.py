@@ -412,7 +412,7 @@ define("agg6_score_histogram", histogram("found", "'json' AS backend", "score",
 define(
     "agg7_labelled_counters",
     """SELECT CASE WHEN status >= 500 THEN 'error' WHEN bytes < 8 THEN 'bad_request' ELSE 'ok' END AS status,
-      ['gemini', 'ollama'][session % 2 + 1] AS provider, ['alloydb', 'json'][req_id % 2 + 1] AS backend, count(*) AS total FROM request_log GROUP BY ALL""",
+      ['hosted', 'local'][session % 2 + 1] AS provider, ['vector', 'json'][req_id % 2 + 1] AS backend, count(*) AS total FROM request_log GROUP BY ALL""",
 )
 define(
     "agg8_hit_ratio",
@@ -492,7 +492,7 @@ IDS = "regexp_extract_all(reply, '\\[([a-zA-Z0-9-]+)\\]', 1)"
 define("l8_fallback_ids", f"SELECT query_id, CASE WHEN len({IDS}) = 0 THEN 'NO_MATCH' ELSE array_to_string({IDS}[1:3], ',') END AS ids FROM replies")
 
 # --- set operations ----------------------------------------------------------------------
-define("set1_difference", "SELECT p_partkey AS product_id FROM part EXCEPT SELECT l_partkey FROM lineitem WHERE l_partkey % 5 <> 0")
+define("set1_difference", "SELECT p_partkey AS product_id FROM part EXCEPT SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity >= 45")
 define("set2_concat_ads", "SELECT category, count(*) AS served, count(DISTINCT request_id) AS requests FROM context_ads GROUP BY category")
 define(
     "set3_token_intersection",

@@ -83,10 +83,19 @@ def _search_by_grams(distinct: DataFrame, catalog: DataFrame) -> DataFrame:
 
 
 def not_in_cart(users_products: DataFrame, cart_items: DataFrame) -> DataFrame:
-    """(user_id, product_id) pairs the user has not carted."""
-    return users_products.join(
-        cart_items.select("user_id", "product_id"), ["user_id", "product_id"], "left_anti"
-    )
+    """(user_id, product_id) pairs the user has not carted.
+
+    Cart lines are reduced to distinct pairs before they move: copies of one pair would
+    all go to one task.
+    """
+    carted = cart_items.select("user_id", "product_id").distinct()
+    return users_products.join(carted, ["user_id", "product_id"], "left_anti")
+
+
+def never_carted(catalog: DataFrame, cart_items: DataFrame) -> DataFrame:
+    """Catalog ids that are in no cart."""
+    carted = cart_items.select("product_id").distinct()
+    return catalog.select(F.col("id").alias("product_id")).join(carted, "product_id", "left_anti")
 
 
 def with_packaging(products: DataFrame, packaging: DataFrame) -> DataFrame:

@@ -90,15 +90,16 @@ def sessions(lifetime_seconds: int) -> Advance:
 
 
 def replay(calls: DataFrame, advance: Advance, label_type: str) -> DataFrame:
-    """calls(key, at_us, call_id, flag) with ``label`` added.
+    """calls(key, at_us, call_id, flag) with ``label`` added. A call without a key is an error.
 
     Runs jobs while the plan is built: the ordered log is checkpointed, because the
     partitions must be the same ones in every pass.
     """
     checkpoint_root(calls.sparkSession)
     order = ["key", "at_us", "call_id"]
+    keyed = calls.withColumn("key", F.coalesce("key", F.raise_error(F.lit("a call has no key"))))
     ordered = (
-        calls.select(*order, "flag").repartitionByRange(*order).sortWithinPartitions(*order).checkpoint()
+        keyed.select(*order, "flag").repartitionByRange(*order).sortWithinPartitions(*order).checkpoint()
     )
     entries = _entry_states(ordered, advance)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ordered.schema) + f", label {label_type}"

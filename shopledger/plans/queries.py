@@ -564,8 +564,8 @@ def _(spark, folder):
     status = F.when(F.col("status") >= 500, "error").when(F.col("bytes") < 8, "bad_request").otherwise("ok")
     served = log.select(
         status.alias("status"),
-        shop.picked(["gemini", "ollama"], F.col("session")).alias("provider"),
-        shop.picked(["alloydb", "json"], F.col("req_id")).alias("backend"),
+        shop.picked(["hosted", "local"], F.col("session")).alias("provider"),
+        shop.picked(["vector", "json"], F.col("req_id")).alias("backend"),
     )
     return telemetry.labelled_counters(served, ["status", "provider", "backend"])
 
@@ -691,9 +691,12 @@ def _(spark, folder):
 
 @query("set1_difference")
 def _(spark, folder):
-    known = shop.catalog(spark, folder).select(F.col("id").alias("product_id"))
-    carted = shop.order_carts(spark, folder).select("product_id").filter(F.col("product_id") % 5 != 0)
-    return known.join(carted, "product_id", "left_anti")
+    # Products never returned in bulk.
+    bulk = (F.col("l_returnflag") == "R") & (F.col("l_quantity") >= 45)
+    returned = shop.table(spark, folder, "lineitem").filter(bulk)
+    return lookup.never_carted(
+        shop.catalog(spark, folder), returned.select(F.col("l_partkey").alias("product_id"))
+    )
 
 
 @query("set2_concat_ads")
