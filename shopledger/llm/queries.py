@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from shopledger.llm import sharding, toxicity
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from shopledger.llm import byte_bpe, golay, language, lines, neighbours, order_minhash, packing, sharding, toxicity
 from shopledger.llm.common import table
 from shopledger.session import tune
 
@@ -12,11 +15,54 @@ def op1_toxicity(spark, folder):
     return toxicity.toxic_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op2_line_dedup(spark, folder):
+    tune(spark)
+    return lines.line_digests(table(spark, folder, "documents"))
+
+
+def op3_order_minhash(spark, folder):
+    tune(spark)
+    return order_minhash.compared(table(spark, folder, "documents"))
+
+
+def op4_language(spark, folder):
+    tune(spark)
+    return language.identify(table(spark, folder, "documents"))
+
+
+def op5_byte_bpe(spark, folder):
+    tune(spark)
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return byte_bpe.digests(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+def op6_neighbours(spark, folder):
+    tune(spark)
+    return neighbours.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op7_packing(spark, folder):
+    tune(spark)
+    return packing.packed(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op9_sharding(spark, folder):
     tune(spark)
     return sharding.shard_documents(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op9_sharding)}
+def op10_golay_simhash(spark, folder):
+    tune(spark)
+    found = golay.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", golay.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_toxicity, op2_line_dedup, op3_order_minhash, op4_language, op5_byte_bpe, op6_neighbours, op7_packing,
+        op9_sharding, op10_golay_simhash,
+    )
+}
 
 STATEMENTS: dict[str, str] = {}
