@@ -1,7 +1,8 @@
 """Language by compression: the language whose dictionary makes a text smallest.
 
 Each language gets a raw-content zstandard dictionary of slices from a bounded, hash-chosen sample
-of its training documents. A text is lower-cased, cut into pieces of PIECE bytes, and every piece
+of its training documents. Slices that dictionaries of the other half of the sample take for
+another language (foreign passages, wrong labels) are left out. A text is lower-cased, cut into pieces of PIECE bytes, and every piece
 is compressed with every dictionary; the sizes of the pieces are added up, so that a long text is
 judged by all of its parts. The smallest total wins; ties go to the first name. A margin below
 `margin` between the two best (share of the best) marks the answer as rejected.
@@ -26,11 +27,11 @@ from pyspark.sql import functions as F
 
 from shopledger.llm.common import arrow_rows, crc, remainder, texts
 
-SAMPLE_DOCS = 600
-SLICES, SLICE = 4, 400
+SAMPLE_DOCS = 1_200
+SLICES, SLICE = 4, 80  # short, so that a passage copied between documents gives no long match
 DICTIONARY = 96 << 10
-LEVEL = 3
-PIECE = 8 << 10
+LEVEL = 6
+PIECE = 4 << 10
 MARGIN = 0.01
 UNKNOWN = "und"
 
@@ -64,18 +65,29 @@ def learn(training: DataFrame, *, sample: int = SAMPLE_DOCS) -> dict[str, bytes]
     found: dict[str, list] = {}
     for r in chosen.mapInArrow(cut, "lang string, turn long, slice string").collect():
         found.setdefault(r["lang"], []).append((r["turn"], r["slice"]))
-    out = {}
-    for lang, pieces in sorted(found.items()):
-        content, size = [], 0
-        for _, s in sorted(set(pieces)):
-            b = s.encode()
-            if size + len(b) <= DICTIONARY:
-                content.append(b)
-                size += len(b)
-        out[lang] = b"\n".join(content)
+    halves = [{lang: joined(sorted(set(p))[i::2]) for lang, p in sorted(found.items())} for i in (0, 1)]
+    if len(found) > 1 and all(len(c) >= 8 for half in halves for c in half.values()):
+        # a slice stays if the other half's dictionaries give it its label: foreign passages go
+        judges = [Classifier(halves[1]), Classifier(halves[0])]
+        for lang, p in found.items():
+            p = sorted(set(p))
+            kept = [x for i, x in enumerate(p) if judges[i % 2].predict(x[1])[0] in (lang, UNKNOWN)]
+            found[lang] = kept if 2 * len(kept) > len(p) else p
+    out = {lang: joined(sorted(set(p))) for lang, p in sorted(found.items())}
     return {lang: content for lang, content in out.items() if len(content) >= 8}
 
 
+def joined(pieces: list[tuple[int, str]]) -> bytes:
+    """The slices in turn, as many as a dictionary holds."""
+    content, size = [], 0
+    for _, piece in pieces:
+        data = piece.encode()
+        if size + len(data) <= DICTIONARY:
+            content.append(data)
+            size += len(data) + 1
+    return b"\n".join(content)
+
+
 class Classifier:
     """One compressor a language, each with its digested dictionary."""
 

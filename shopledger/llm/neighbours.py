@@ -29,7 +29,7 @@ from pyspark.sql.window import Window
 
 from shopledger.llm.common import arrow_rows, written
 
-TABLES = 8
+TABLES = 10
 PROBES = 8
 FUNCTIONS = 1
 CELL_VECTORS, CELL_QUERIES = 20_000, 4_000  # of a salted cell, on average
