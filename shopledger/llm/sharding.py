@@ -27,7 +27,7 @@ from pyspark.sql.window import Window
 
 from shopledger.llm.common import written
 
-BLOCK_ROWS = 16_384  # rows a block holds on average, as long as there are at most MOST_BLOCKS
+BLOCK_ROWS = 1_024  # rows a block holds on average, as long as there are at most MOST_BLOCKS
 MOST_BLOCKS = 100_000  # bounds the matrix on the driver; beyond, blocks grow
 
 
