@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from shopledger.llm import byte_bpe, golay, language, lines, neighbours, order_minhash, packing, sharding, toxicity
+from shopledger.llm import byte_bpe, golay, language, lines, neighbours, order_minhash, packing, sharding, suffixes, toxicity
 from shopledger.llm.common import table
 from shopledger.session import tune
 
@@ -46,6 +46,11 @@ def op7_packing(spark, folder):
     return packing.packed(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_suffix_array(spark, folder):
+    tune(spark)
+    return suffixes.passage_digests(table(spark, folder, "documents"))
+
+
 def op9_sharding(spark, folder):
     tune(spark)
     return sharding.shard_documents(table(spark, folder, "documents"))
@@ -60,7 +65,7 @@ def op10_golay_simhash(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_toxicity, op2_line_dedup, op3_order_minhash, op4_language, op5_byte_bpe, op6_neighbours, op7_packing,
+        op1_toxicity, op2_line_dedup, op3_order_minhash, op4_language, op5_byte_bpe, op6_neighbours, op7_packing, op8_suffix_array,
         op9_sharding, op10_golay_simhash,
     )
 }
