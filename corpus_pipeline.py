@@ -9,6 +9,10 @@ from shopledger.llm.common import written
 
 STAGES = [
     ("toxicity", stages.drop_toxic),
+    ("line dedup", stages.drop_repeated_lines),
+    ("SimHash near-dedup", stages.drop_near_copies),
+    ("suffix-array dedup", stages.drop_repeated_passages),
+    ("packing", stages.pack),
 ]
 
 # A learned score decides the first stage, which SQL cannot express.

@@ -35,6 +35,7 @@ SEED = 42
 BITS = 4  # fingerprints link at so many different bits, at most
 SHIFTS = (0, 23, 46)
 GENERATOR = 0b110001110101  # of the Golay code
+MOST_NEAREST = 2_048  # fingerprints of a key up to which each also links to its nearest
 CLOSE = 8  # keys with so many fingerprints are compared in one sweep over the batch
 
 
@@ -47,19 +48,24 @@ def majority(hashes: np.ndarray) -> int:
     return int.from_bytes(np.packbits(2 * counts > len(hashes), bitorder="little").tobytes(), "little")
 
 
-def fingerprint(text: str, words: int = WORDS) -> int:
-    """SimHash of the word shingles, ASCII letters lower-cased."""
+def shingles(text: str, words: int) -> list[int]:
+    """Hashes of the word shingles, repeats included, ASCII letters lower-cased; none without words."""
     parts = text.encode().lower().split()  # bytes: only A-Z change, only ASCII white space splits
     if not parts:
-        return 0
+        return []
     joined = b" ".join(parts)
     lengths = np.fromiter(map(len, parts), np.int64, len(parts))
     starts = np.cumsum(lengths + 1) - lengths - 1
     n = max(len(parts) - words + 1, 1)
     ends = (starts + lengths)[min(words, len(parts)) - 1 :]
     digest = xxhash.xxh64_intdigest
-    hashes = [digest(joined[a:b], SEED) for a, b in zip(starts[:n].tolist(), ends.tolist())]
-    return majority(np.array(hashes, np.uint64))
+    return [digest(joined[a:b], SEED) for a, b in zip(starts[:n].tolist(), ends.tolist())]
+
+
+def fingerprint(text: str, words: int = WORDS) -> int:
+    """SimHash of the word shingles; 0 without words."""
+    hashes = shingles(text, words)
+    return majority(np.array(hashes, np.uint64)) if hashes else 0
 
 
 def fingerprinted(docs: DataFrame, words: int = WORDS) -> DataFrame:
@@ -113,7 +119,7 @@ def segment_keys(segments: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def keys_of(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(key, fingerprint) of all combined keys of the fingerprints."""
+    """All combined keys of the fingerprints, and beside each (fingerprint, its place)."""
     x = fps.view(np.uint64)
     parts = [segment_keys((x >> np.uint64(s)) & np.uint64((1 << 23) - 1)) for s in SHIFTS]
     keys, owners = [], []
@@ -121,74 +127,110 @@ def keys_of(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         used = parts[i][1][:, :, None] & parts[j][1][:, None, :]
         both = (parts[i][0].astype(np.int64)[:, :, None] << 12) | parts[j][0].astype(np.int64)[:, None, :] | (pair << 24)
         keys.append(both[used])
-        owners.append(fps[np.nonzero(used)[0]])
-    return np.concatenate(keys), np.concatenate(owners)
+        owners.append(np.nonzero(used)[0])
+    places = np.concatenate(owners)
+    return np.concatenate(keys), np.stack([fps[places], places], axis=1)
 
 
 def grown(fps: np.ndarray, bits: int) -> list[tuple[int, int]]:
-    """Links that connect the fingerprints of one key as all links of at most `bits` would."""
-    left = fps.view(np.uint64).copy()
-    links = []
+    """Links (places) that connect the fingerprints of one key as all links of at most `bits` would.
+
+    The search starts at the fingerprint nearest to the majority of all.
+    """
+    values = fps.view(np.uint64)
+    start = int(np.bitwise_count(values ^ np.uint64(majority(values))).argmin())
+    left = np.delete(np.arange(len(values)), start)
+    ahead, links = [start], []
     while len(left):
-        ahead, left = [left[-1]], left[:-1]
-        while ahead and len(left):
-            here = ahead.pop()
-            near = np.bitwise_count(left ^ here) <= bits
-            if near.any():
-                reached = left[near]
-                links += [(int(here.astype(np.int64)), int(r)) for r in reached.view(np.int64)]
-                ahead += list(reached)
-                left = left[~near]
+        if not ahead:
+            ahead, left = [int(left[-1])], left[:-1]
+            continue
+        here = ahead.pop()
+        near = np.bitwise_count(values[left] ^ values[here]) <= bits
+        if near.any():
+            reached = left[near].tolist()
+            links += [(here, r) for r in reached]
+            ahead += reached
+            left = left[~near]
     return links
 
 
-def links_of(fps: DataFrame, bits: int = BITS) -> DataFrame:
-    """u, v: links among distinct fingerprints that join the same classes as all links would."""
+def nearest_links(fps: np.ndarray, bits: int, each: int = 3) -> list[tuple[int, int]]:
+    """Links (places) from every fingerprint to its nearest others."""
+    values, links = fps.view(np.uint64), []
+    for i in range(len(values)):
+        far = np.bitwise_count(values ^ values[i])
+        far[i] = 255
+        for j in np.argpartition(far, min(each, len(far) - 1))[:each].tolist():
+            if far[j] <= bits:
+                links.append((i, j))
+    return links
+
+
+def links_of(fps: DataFrame, bits: int = BITS, nearest: bool = False) -> DataFrame:
+    """u, v: links among rows of (node, fp) that join the same classes as all links would.
+
+    With `nearest`, also links to the nearest in the key, for a check that may reject links.
+    """
 
     def explode(batches):
         for batch in batches:
-            values = batch.column("fp").to_numpy()
+            values, names = batch.column("fp").to_numpy(), batch.column("node").to_numpy()
             for i in range(0, len(values), 4_096):
                 keys, owners = keys_of(values[i : i + 4_096])
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(owners)], names=["key", "fp"])
+                columns = [keys, owners[:, 0]]
+                if named:
+                    columns.append(names[i : i + 4_096][owners[:, 1]])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "fp", "node"][: len(columns)])
 
     def compare(batches):
-        waiting = (np.empty(0, np.int64), np.empty(0, np.int64))
+        waiting = None
 
-        def found(keys: np.ndarray, own: np.ndarray):
+        def found(keys: np.ndarray, own: np.ndarray, names: np.ndarray):
             bounds = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1], [True]]))
             sizes = np.diff(bounds)
             u, v = [], []
             small = np.repeat(sizes <= CLOSE, sizes)
             for ahead in range(1, min(CLOSE, len(keys))):
-                same = (keys[ahead:] == keys[:-ahead]) & small[ahead:]
-                if not same.any():
+                same = np.flatnonzero((keys[ahead:] == keys[:-ahead]) & small[ahead:])
+                if not len(same):
                     break
-                a, b = own[:-ahead][same], own[ahead:][same]
-                near = np.bitwise_count((a ^ b).view(np.uint64)) <= bits
-                u.append(a[near])
-                v.append(b[near])
+                near = same[np.bitwise_count((own[same] ^ own[same + ahead]).view(np.uint64)) <= bits]
+                u.append(near)
+                v.append(near + ahead)
             for k in np.flatnonzero(sizes > CLOSE):
-                more = grown(own[bounds[k] : bounds[k + 1]], bits)
-                u.append(np.array([m[0] for m in more], np.int64))
-                v.append(np.array([m[1] for m in more], np.int64))
-            if u:
-                return pa.RecordBatch.from_arrays([pa.array(np.concatenate(u)), pa.array(np.concatenate(v))], names=["u", "v"])
+                part = own[bounds[k] : bounds[k + 1]]
+                more = grown(part, bits)
+                if nearest and more and len(part) <= MOST_NEAREST:
+                    more += nearest_links(part, bits)
+                if more:
+                    pairs = np.array(more, np.int64) + bounds[k]
+                    u.append(pairs[:, 0])
+                    v.append(pairs[:, 1])
+            if not u:
+                return None
+            a, b = names[np.concatenate(u)], names[np.concatenate(v)]
+            both = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)]), axis=1)
+            return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["u", "v"])
 
         for batch in batches:
-            keys = np.concatenate([waiting[0], batch.column("key").to_numpy()])
-            own = np.concatenate([waiting[1], batch.column("fp").to_numpy()])
-            if not len(keys):
+            columns = [batch.column(c).to_numpy() for c in ("key", "fp", "node" if named else "fp")]
+            if waiting:
+                columns = [np.concatenate(c) for c in zip(waiting, columns)]
+            if not len(columns[0]):
                 continue
-            whole = np.searchsorted(keys, keys[-1])  # the last key may go on in the next batch
-            waiting = (keys[whole:], own[whole:])
-            if whole and (out := found(keys[:whole], own[:whole])) is not None:
+            whole = int(np.searchsorted(columns[0], columns[0][-1]))  # the last key may go on in the next batch
+            waiting = [c[whole:] for c in columns]
+            if whole and (out := found(*(c[:whole] for c in columns))) is not None:
                 yield out
-        if len(waiting[0]) and (out := found(*waiting)) is not None:
+        if waiting and (out := found(*waiting)) is not None:
             yield out
 
+    named = "node" in fps.columns
+    if not named:
+        fps = fps.select("fp", F.col("fp").alias("node"))
     return (
-        fps.select("fp").mapInArrow(explode, "key long, fp long")
+        fps.select("fp", "node").mapInArrow(explode, "key long, fp long" + ", node long" * named)
         .repartition("key").sortWithinPartitions("key")
         .mapInArrow(compare, "u long, v long").distinct()
     )
@@ -208,3 +250,64 @@ def near_duplicates(docs: DataFrame, *, words: int = WORDS, bits: int = BITS) ->
 def as_hex(fp):
     """16 hexadecimal digits of the 64 bits."""
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
+
+
+SIMILAR = 0.8  # share of common five-word shingles from which documents are near copies
+SIMILAR_WORDS = 5
+CANDIDATE_BITS = 10
+
+
+def _texts(own: DataFrame) -> DataFrame:
+    """__id, __row, node, fp: the digest of a document's words, and the SimHash of its set of words."""
+
+    def sign(batches):
+        for batch in batches:
+            nodes, fps = [], []
+            for text in texts(batch):
+                words = text.encode().lower().split()
+                nodes.append(xxhash.xxh3_64_intdigest(b" ".join(words)))
+                fps.append(majority(np.array([xxhash.xxh64_intdigest(w, SEED) for w in set(words)], np.uint64)) if words else 0)
+            columns = [np.array(c, np.uint64).view(np.int64) for c in (nodes, fps)]
+            yield pa.RecordBatch.from_arrays([batch.column("__id"), batch.column("__row"), *map(pa.array, columns)], names=["__id", "__row", "node", "fp"])
+
+    return own.select("__id", "__row", "text").mapInArrow(sign, "__id long, __row long, node long, fp long")
+
+
+def without_near_copies(docs: DataFrame, *, similar: float = SIMILAR, bits: int = CANDIDATE_BITS) -> DataFrame:
+    """docs with one document, that with the smallest id, of each group of near copies; all columns stay.
+
+    Documents link if `similar` or more of their five-word shingles (as sets) are common;
+    equal word sequences, and so all documents without words, are one from the start. Candidates are
+    found by the SimHash of single words: changed words move it far less than they move
+    five-word shingles (of pairs with a similarity of 0.8 or more over 99 % differ in at most
+    `bits` bits and share a key). Every candidate link is then decided on the shingle sets. In
+    a key with many fingerprints the links tried are those of the search and those to the nearest.
+    """
+    own = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))).withColumn("__row", F.xxhash64("doc_id", "text"))
+    signed = written(_texts(own), "near-copies")
+    classes = signed.groupBy("node").agg(F.max("fp").alias("fp"), F.min(F.struct("__id", "__row")).alias("least"))
+    classes = written(classes, "near-copy-classes")
+    links = written(links_of(classes, bits, nearest=True), "near-copy-candidates")
+    nodes = links.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    wanted = classes.join(nodes, "node").select("node", "least.*")
+
+    def sets(batches):
+        for batch in batches:
+            out = [np.unique(np.array(shingles(t, SIMILAR_WORDS), np.uint64)).view(np.int64) for t in texts(batch)]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(out, pa.list_(pa.int64()))], names=["node", "shingles"])
+
+    gathered = (
+        own.select("__id", "__row", "text").join(wanted, ["__id", "__row"]).dropDuplicates(["node"]).select("node", "text")
+        .mapInArrow(sets, "node long, shingles array<long>")
+    )
+    gathered = written(gathered, "near-copy-shingles")
+    both = (
+        links.join(gathered.select(F.col("node").alias("u"), F.col("shingles").alias("a")), "u")
+        .join(gathered.select(F.col("node").alias("v"), F.col("shingles").alias("b")), "v")
+    )
+    common = F.size(F.array_intersect("a", "b"))
+    decided = both.filter(common >= F.lit(similar) * (F.size("a") + F.size("b") - common)).select("u", "v")
+    roots = components(decided, "near-copy-links")
+    named = classes.join(roots, "node", "left").select(F.coalesce("root", "node").alias("root"), "least")
+    kept = written(named.groupBy("root").agg(F.min("least").alias("least")).select("least.*"), "near-copy-kept")
+    return own.join(kept, ["__id", "__row"], "left_semi").dropDuplicates(["__id", "__row"]).select(*docs.columns)
