@@ -23,6 +23,7 @@ from shopledger.sources.shop_tables import TEST_CARDS
 STATEMENTS: dict[str, str] = {}
 HOME = ["BGN", "CAD", "CHF", "CZK", "EUR", "GBP", "JPY", "SGD", "TRY", "USD", "XXX", "ZAR"]
 CROSS = [*HOME, "EUR"]
+SHELVES = ["clothing", "garden", "kitchen", "decor", "books", "hair", "toys", "footwear", "accessories"]
 
 
 def text(value: str) -> str:
@@ -212,7 +213,7 @@ define(
 define(
     "snk2_cart_upsert",
     """SELECT o_custkey AS user_id, l_partkey AS product_id, CAST(sum(CAST(l_quantity AS INT)) AS BIGINT) AS quantity
-    FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_orderstatus IN ('F', 'O') GROUP BY ALL""",
+    FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY ALL""",
 )
 define("snk3_cart_delete", "SELECT * FROM merged_carts WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'purchase')")
 define(
@@ -364,12 +365,19 @@ def words(source: str, key: str, body: str) -> str:
     return f"""SELECT {key}, w FROM (SELECT DISTINCT {key}, unnest(regexp_split_to_array(lower({body}), '[^a-z0-9]+')) AS w FROM {source}) WHERE w <> ''"""
 
 
-def token_top(queries: str, items: str, k: int) -> list[str]:
+def token_pairs(queries: str, items: str) -> list[str]:
     return [
         f"qw AS ({words(queries, 'query_id', 'text')})",
         f"iw AS ({words(items, 'item_id', 'text')})",
+        "pairs AS (SELECT query_id, item_id, count(*) AS score FROM qw JOIN iw USING (w) GROUP BY ALL)",
+    ]
+
+
+def token_top(queries: str, items: str, k: int) -> list[str]:
+    return [
+        *token_pairs(queries, items),
         """found AS (SELECT query_id, item_id, score, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS INT) AS rank
-          FROM (SELECT query_id, item_id, count(*) AS score FROM qw JOIN iw USING (w) GROUP BY ALL)) WHERE rank <= %d)""" % k,
+          FROM pairs) WHERE rank <= %d)""" % k,
     ]
 
 
@@ -386,8 +394,8 @@ define(
 )
 define(
     "j9_optional_enrichment",
-    """SELECT p_partkey AS product_id, p_name AS name, lower(p_type) AS category, CASE WHEN p_partkey % 3 <> 0 THEN p_size * 2.0::DOUBLE END AS weight, a.text AS ad_text
-    FROM part LEFT JOIN (SELECT ['small', 'standard', 'promo'][ad_no + 1] AS category, text FROM ads WHERE pos = 0) a ON a.category = lower(p_type)""",
+    f"""SELECT p.*, a.text AS ad_text FROM (SELECT p_partkey AS product_id, p_name AS name, {pick(SHELVES, 'p_partkey')} AS category,
+      CASE WHEN p_partkey % 3 <> 0 THEN p_size * 2.0::DOUBLE END AS weight FROM part) p LEFT JOIN ads a ON a.category = p.category""",
 )
 
 # --- aggregations ------------------------------------------------------------------------
@@ -408,7 +416,7 @@ def histogram(source: str, labels: str, value: str, bounds: list[str]) -> str:
 
 
 define("agg6_latency_histogram", histogram("request_log", "method, route", "(took_us / 1e6)", ["0.1", "0.3", "0.5", "1", "2", "3", "5", "8", "13"]))
-define("agg6_score_histogram", histogram("found", "'json' AS backend", "score", ["0", "1", "2", "3", "4", "5", "8", "13"]), *token_top("messages", CORPUS, 6))
+define("agg6_score_histogram", histogram("pairs", "'json' AS backend", "score", ["0", "1", "2", "3", "4", "5", "8", "13"]), *token_pairs("messages", CORPUS))
 define(
     "agg7_labelled_counters",
     """SELECT CASE WHEN status >= 500 THEN 'error' WHEN bytes < 8 THEN 'bad_request' ELSE 'ok' END AS status,
@@ -492,7 +500,7 @@ IDS = "regexp_extract_all(reply, '\\[([a-zA-Z0-9-]+)\\]', 1)"
 define("l8_fallback_ids", f"SELECT query_id, CASE WHEN len({IDS}) = 0 THEN 'NO_MATCH' ELSE array_to_string({IDS}[1:3], ',') END AS ids FROM replies")
 
 # --- set operations ----------------------------------------------------------------------
-define("set1_difference", "SELECT p_partkey AS product_id FROM part EXCEPT SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity >= 45")
+define("set1_difference", "SELECT p_partkey AS product_id FROM part EXCEPT SELECT product_id FROM clicks")
 define("set2_concat_ads", "SELECT category, count(*) AS served, count(DISTINCT request_id) AS requests FROM context_ads GROUP BY category")
 define(
     "set3_token_intersection",
@@ -545,6 +553,11 @@ define(
     FOOTER,
 )
 define("s5_strip_list_tail", "SELECT query_id, regexp_replace(reply, '\\n+[-*\\d][\\s\\S]*', '', 'g') AS stripped FROM replies")
+define(
+    "s6_metadata_ids",
+    """SELECT id, CASE id % 5 WHEN 0 THEN CAST(id AS VARCHAR) WHEN 1 THEN 'r' || id || ',m' || id WHEN 2 THEN CAST(id AS VARCHAR)
+      WHEN 3 THEN 'm' || id ELSE '' END AS doc_ids FROM flat_catalog""",
+)
 define("s6_metadata_id", "SELECT id, CASE WHEN id % 4 <> 3 THEN CAST(id AS VARCHAR) END AS doc_id FROM flat_catalog")
 define(
     "s7_tracking_id",
@@ -590,8 +603,9 @@ def priced(lines: str, requests: str) -> list[str]:
         f"""totals AS (SELECT *, coalesce(items, 0) + shipping_units * 1000000000::HUGEINT + shipping_nanos AS total,
           coalesce(line_reason, shipping_reason) AS prep_reason FROM {convert(ship, 'su', 'sn', "'USD'", 's.user_currency', 'shipping')})""",
         SCREENED,
-        f"""placed AS (SELECT t.*, coalesce(prep_reason, card_reason) AS reason, right(s.card, 4) AS last4,
-          CAST(total // 1000000000 AS BIGINT) AS total_units, CAST(total % 1000000000 AS INT) AS total_nanos,
+        f"""placed AS (SELECT t.* REPLACE (CASE WHEN prep_reason IS NULL THEN shipping_units END AS shipping_units, CASE WHEN prep_reason IS NULL THEN shipping_nanos END AS shipping_nanos),
+          coalesce(prep_reason, card_reason) AS reason, right(s.card, 4) AS last4,
+          CASE WHEN prep_reason IS NULL THEN CAST(total // 1000000000 AS BIGINT) END AS total_units, CASE WHEN prep_reason IS NULL THEN CAST(total % 1000000000 AS INT) END AS total_nanos,
           CASE WHEN coalesce(prep_reason, card_reason) IS NULL THEN
             {tracking('t.order_id', "(t.street_address || ', ' || t.city || ', ' || t.state)", 'ship')} END AS tracking_id
           FROM totals t JOIN screened s ON s.order_id = t.order_id)""",
@@ -607,9 +621,9 @@ define(
 )
 define(
     "p1_order_documents",
-    """SELECT o.order_id, 0 AS document_no, tracking_id AS shipping_tracking_id, shipping_units, coalesce(ids, '') AS items
-    FROM placed o LEFT JOIN (SELECT order_id, string_agg(product_id || 'x' || q, ',' ORDER BY product_id) AS ids FROM (
-      SELECT order_id, product_id, sum(quantity) AS q FROM order_carts GROUP BY ALL) GROUP BY order_id) i ON i.order_id = o.order_id WHERE reason IS NULL""",
+    """SELECT o.order_id, tracking_id AS shipping_tracking_id, shipping_units, product_id, quantity, cost_units, cost_nanos
+    FROM placed o JOIN (SELECT order_id, product_id, CAST(sum(quantity) AS BIGINT) AS quantity, any_value(unit_units) AS cost_units, any_value(unit_nanos) AS cost_nanos
+      FROM priced GROUP BY order_id, product_id) i ON i.order_id = o.order_id WHERE reason IS NULL""",
     *PLAIN,
 )
 define(
@@ -632,7 +646,17 @@ define(
       {money_text('user_currency', 'total_units', 'total_nanos')} AS total_text FROM placed""",
     *PLAIN,
 )
-define("p3_reconciliation", "SELECT order_id, total_units AS recomputed_units, total_nanos AS recomputed_nanos, TRUE AS agrees FROM placed WHERE reason IS NULL", *PLAIN)
+define(
+    "p3_reconciliation",
+    """SELECT order_id, CAST(again // 1000000000 AS BIGINT) AS recomputed_units, CAST(again % 1000000000 AS INT) AS recomputed_nanos,
+      again = total_units * 1000000000::HUGEINT + total_nanos AS agrees FROM (
+      SELECT o.order_id, total_units, total_nanos, shipping_units * 1000000000::HUGEINT + shipping_nanos + coalesce(i.items, 0) AS again
+      FROM placed o LEFT JOIN (SELECT order_id, sum((cost_units * 1000000000::HUGEINT + cost_nanos) * (q + CASE WHEN order_id % 50 = 0 AND first THEN 1 ELSE 0 END)) AS items
+        FROM (SELECT order_id, sum(quantity) AS q, any_value(unit_units) AS cost_units, any_value(unit_nanos) AS cost_nanos,
+          product_id = min(product_id) OVER (PARTITION BY order_id) AS first FROM priced GROUP BY order_id, product_id)
+        GROUP BY order_id) i ON i.order_id = o.order_id WHERE reason IS NULL)""",
+    *PLAIN,
+)
 SEARCHED = template(SEARCH_PROMPT, message="message", room="'minimal oak'")
 define(
     "p6_assistant_candidates",

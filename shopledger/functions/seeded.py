@@ -17,6 +17,6 @@ def hex_number(hex_digest: Column, start: int, length: int) -> Column:
     return F.conv(F.substring(hex_digest, start, length), 16, 10).cast("bigint")
 
 
-def ordinal(n: int, *parts: Column | str) -> Column:
+def ordinal(n: int | Column, *parts: Column | str) -> Column:
     """A repeatable number in [0, n)."""
-    return hex_number(digest(*parts), 1, 8) % F.lit(n)
+    return hex_number(digest(*parts), 1, 8) % (F.lit(n) if isinstance(n, int) else n)

@@ -73,6 +73,22 @@ def metadata_id(doc_json: Column) -> Column:
     return F.coalesce(*[F.get_json_object(doc_json, p) for p in paths])
 
 
+def metadata_ids(doc_json: Column) -> Column:
+    """All ids of a retrieved document: its own, or else those of both its metadata; texts only.
+
+    Repeats are dropped, order is kept.
+    """
+
+    def given(path: str) -> Column:
+        # A text value keeps its quotes in the variant's JSON, a number has none.
+        found = F.try_variant_get(F.try_parse_json(doc_json), path, "variant")
+        return F.when(F.schema_of_variant(found) == "STRING", F.try_variant_get(found, "$", "string"))
+
+    inside = F.array(given("$.raw.kwargs.metadata.id"), given("$.metadata.id"))
+    ids = F.when(given("$.id").isNotNull(), F.array(given("$.id"))).otherwise(inside)
+    return F.array_distinct(F.filter(ids, lambda i: i.isNotNull()))
+
+
 def escaped_label(value: Column) -> Column:
     """Metric label escaping, applied once."""
     swaps = (("\\", "\\\\"), ("\n", "\\n"), ('"', '\\"'))

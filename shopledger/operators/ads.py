@@ -12,38 +12,28 @@ from shopledger.sources.fixed_values import ADS_SERVED_WITHOUT_MATCH
 def context_ads(requests: DataFrame, ads: DataFrame) -> DataFrame:
     """requests(request_id, context_keys): each key's ads in key order, repeats kept."""
     keyed = requests.select("request_id", F.posexplode("context_keys").alias("key_pos", "category"))
-    # Ads are a fixed small table.
-    return keyed.join(F.broadcast(ads), "category").select(
+    return keyed.join(ads, "category").select(
         "request_id", "key_pos", "pos", "category", "redirect_url", "text", "ad_no"
     )
 
 
 def random_ads(requests: DataFrame, ads: DataFrame, seed: str) -> DataFrame:
     """Two ads per request, drawn with replacement."""
-    total = ads.count()
-    draws = F.transform(
-        F.sequence(F.lit(0), F.lit(ADS_SERVED_WITHOUT_MATCH - 1)),
-        lambda i: F.struct(
-            i.alias("key_pos"), ordinal(total, seed, F.col("request_id"), i).cast("int").alias("ad_no")
-        ),
+    total = ads.agg(F.count("*")).scalar()
+    draws = F.explode(F.sequence(F.lit(0), F.lit(ADS_SERVED_WITHOUT_MATCH - 1)))
+    drawn = requests.select("request_id", draws.alias("key_pos")).withColumn(
+        "ad_no", ordinal(total, seed, F.col("request_id"), F.col("key_pos")).cast("int")
     )
-    drawn = requests.select("request_id", F.inline(draws))
-    return drawn.join(F.broadcast(ads), "ad_no").select(
+    return drawn.join(ads, "ad_no").select(
         "request_id", "key_pos", "pos", "category", "redirect_url", "text", "ad_no"
     )
 
 
 def serve_ads(requests: DataFrame, ads: DataFrame, seed: str) -> DataFrame:
-    """Context ads where any key has one, else random ads.
-
-    Whether a key matches is decided within the row, so requests are not shuffled.
-    """
-    known = [row[0] for row in ads.select("category").distinct().collect()]
-    matches = F.coalesce(
-        F.arrays_overlap("context_keys", F.array(*[F.lit(c) for c in known])), F.lit(False)
-    )
-    by_context = context_ads(requests.filter(matches), ads)
-    return by_context.unionByName(random_ads(requests.filter(~matches), ads, seed))
+    """Context ads where any key has one, else random ads."""
+    by_context = context_ads(requests, ads)
+    unserved = requests.join(by_context.select("request_id").distinct(), "request_id", "left_anti")
+    return by_context.unionByName(random_ads(unserved, ads, seed))
 
 
 def choose_ad(served: DataFrame, seed: str) -> DataFrame:

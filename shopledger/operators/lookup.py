@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Up to this many distinct search texts travel inside the plan; more are joined on letter groups.
-TERMS_IN_PLAN = 500
 GRAM = 3
 
 
@@ -16,31 +14,10 @@ def point_lookup(requests: DataFrame, catalog: DataFrame) -> DataFrame:
     return looked_up.withColumn("found", F.col("id").isNotNull()).drop("id")
 
 
-def search_products(terms: DataFrame, catalog: DataFrame, in_plan: int = TERMS_IN_PLAN) -> DataFrame:
-    """(query, id, name): products whose name or description contains the text, ignoring case.
-
-    Texts are literal ('%' and '_' mean themselves); the empty text matches everything.
-    """
-    distinct = terms.select("query").distinct()
-    first = [row[0] for row in distinct.limit(in_plan + 1).collect()]
-    if len(first) <= in_plan:
-        return _search_in_scan(first, catalog)
-    return _search_by_grams(distinct, catalog)
-
-
 def _haystacks() -> tuple[Column, Column]:
     return F.lower(F.col("name")), F.lower(F.col("description"))
 
 
-def _search_in_scan(queries: list[str], catalog: DataFrame) -> DataFrame:
-    if not queries:
-        return catalog.select(F.lit("").alias("query"), "id", "name").limit(0)
-    name, description = _haystacks()
-    listed = F.array(*[F.lit(q) for q in queries])
-    hits = F.filter(listed, lambda q: F.contains(name, F.lower(q)) | F.contains(description, F.lower(q)))
-    return catalog.select(F.explode(hits).alias("query"), "id", "name")
-
-
 def _grams(text: Column, size: Column | int) -> Column:
     size = F.lit(size) if isinstance(size, int) else size
     starts = F.sequence(F.lit(1), F.length(text) - size + 1)
@@ -50,18 +27,23 @@ def _grams(text: Column, size: Column | int) -> Column:
     )
 
 
-def _search_by_grams(distinct: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Equi-join on the rarest letter group of each text, then the exact test.
+def search_products(terms: DataFrame, catalog: DataFrame) -> DataFrame:
+    """(query, id, name): products whose name or description contains the text, ignoring case.
 
-    A text shorter than GRAM is its own letter group, so every text has one.
+    Texts are literal ('%' and '_' mean themselves); the empty text matches everything. Equi-join
+    on the rarest letter group of each text, then the exact test. A text shorter than GRAM
+    is its own letter group, so every text has one.
     """
+    distinct = terms.select("query").distinct()
     name, description = _haystacks()
     lowered = F.lower(F.col("query"))
-    query_grams = distinct.filter(F.col("query") != "").select(
-        "query", F.explode(_grams(lowered, F.least(F.lit(GRAM), F.length(lowered)))).alias("gram")
+    own_grams = _grams(lowered, F.greatest(F.lit(1), F.least(F.lit(GRAM), F.length(lowered))))
+    # The empty text is a letter group that every product has.
+    query_grams = distinct.select(
+        "query", F.explode(F.when(lowered == "", F.array(F.lit(""))).otherwise(own_grams)).alias("gram")
     )
     every_gram = F.array_distinct(
-        F.concat(*[_grams(text, n) for n in range(1, GRAM + 1) for text in (name, description)])
+        F.concat(F.array(F.lit("")), *[_grams(text, n) for n in range(1, GRAM + 1) for text in (name, description)])
     )
     needed = query_grams.select("gram").distinct()
     postings = catalog.select("id", "name", "description", F.explode(every_gram).alias("gram")).join(
@@ -76,10 +58,7 @@ def _search_by_grams(distinct: DataFrame, catalog: DataFrame) -> DataFrame:
     )
     candidates = postings.join(anchors, "gram")
     hits = candidates.filter(F.contains(name, lowered) | F.contains(description, lowered))
-    found = hits.select("query", "id", "name")
-    if distinct.filter(F.col("query") == "").limit(1).count():
-        found = found.unionByName(catalog.select(F.lit("").alias("query"), "id", "name"))
-    return found
+    return hits.select("query", "id", "name")
 
 
 def not_in_cart(users_products: DataFrame, cart_items: DataFrame) -> DataFrame:

@@ -1,12 +1,14 @@
 """Sequential replays: rate limiter, circuit breaker, fixed-lifetime sessions.
 
 Each call's outcome depends on the calls of the same key before it, so a key has to be
-read in order. It does not have to be read by one task: the log is range-partitioned on
-(key, time, id), which cuts a busy key over many partitions, and a partition needs only
-the state its predecessor ended with. Every partition is first run from an empty state;
-where the predecessor turns out to end in another one, the few partitions held entirely
-by one key are run again until the states at all boundaries agree. Partitions are read
-as Arrow batches, so memory does not grow with the calls of a key.
+read in order. It does not have to be labelled by one task: the log is range-partitioned on
+(key, time, id), which cuts a busy key over many parts, and a part needs only the state its
+predecessor ended with. Two jobs find these states, however many parts a key has. The first
+runs every part from an empty state; its end state is right if the part begins a key or holds a
+pause after which the state is forgotten. The second carries the state through the parts for
+which that is not so, one stream per key. Rows carry the number of their part, so that labels do
+not depend on the task that makes them. Parts are read as Arrow batches, so memory does not grow
+with the calls of a key.
 """
 
 from __future__ import annotations
@@ -15,7 +17,6 @@ from collections import deque
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -89,90 +90,135 @@ def sessions(lifetime_seconds: int) -> Advance:
     return advance
 
 
-def replay(calls: DataFrame, advance: Advance, label_type: str) -> DataFrame:
+def replay(calls: DataFrame, advance: Advance, label_type: str, pause_us: int | None = None) -> DataFrame:
     """calls(key, at_us, call_id, flag) with ``label`` added. A call without a key is an error.
 
-    Runs jobs while the plan is built: the ordered log is checkpointed, because the
-    partitions must be the same ones in every pass.
+    After a pause of more than ``pause_us`` the state must not matter any more; None where it
+    always does. Runs jobs while the plan is built: the ordered log is checkpointed, because
+    the parts must be the same ones in every pass. The checkpoint goes with the result where
+    spark.cleaner.referenceTracking.cleanCheckpoints is set.
     """
     checkpoint_root(calls.sparkSession)
     order = ["key", "at_us", "call_id"]
     keyed = calls.withColumn("key", F.coalesce("key", F.raise_error(F.lit("a call has no key"))))
     ordered = (
-        keyed.select(*order, "flag").repartitionByRange(*order).sortWithinPartitions(*order).checkpoint()
+        keyed.select(*order, "flag").repartitionByRange(*order).sortWithinPartitions(*order)
+        .withColumn("part", F.spark_partition_id()).checkpoint()
     )
-    entries = _entry_states(ordered, advance)
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ordered.schema) + f", label {label_type}"
+    entries = _entry_states(ordered, advance, pause_us)
+    kept = ordered.drop("part").schema
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept) + f", label {label_type}"
 
     def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, state = entries.get(TaskContext.get().partitionId(), (None, ()))
+        now, state = None, ()
         for batch in batches:
             labels = []
-            for group, rows in batch.groupby("key", sort=False):
-                state = state if group == key else ()
+            for (part, key), rows in batch.groupby(["part", "key"], sort=False):
+                if (part, key) != now:
+                    held = entries.get(part, (None, ()))
+                    # Only a part's first key can go on from the part before.
+                    state = held[1] if held[0] == key else ()
+                    now = (part, key)
                 got, state = advance(state, rows["at_us"].tolist(), rows["flag"].tolist())
-                key = group
                 labels += got
-            yield batch.assign(label=labels)
+            yield batch.drop(columns="part").assign(label=labels)
 
     return ordered.mapInPandas(label, schema)
 
 
-def _entry_states(ordered: DataFrame, advance: Advance) -> dict[int, tuple]:
-    """Per partition the (key, state) it starts with. One small row per partition is collected."""
+def _entry_states(ordered: DataFrame, advance: Advance, pause_us: int | None) -> dict[int, tuple]:
+    """Per part the (key, state) it goes on from. One small row per part is collected."""
+    ends = _ends(ordered, advance, pause_us)
     entries: dict[int, tuple] = {}
-    ends = _boundaries(ordered, advance, entries)
-    while True:
-        stale, previous = [], None
-        for pid in sorted(ends):
-            first_key, last_key, _ = ends[pid]
-            if previous is not None and ends[previous][1] == first_key:
-                needed = (first_key, ends[previous][2])
-                if entries.get(pid) != needed:
-                    entries[pid] = needed
-                    if first_key == last_key:
-                        stale.append(pid)
-            previous = pid
-        if not stale:
-            return entries
-        rerun = ordered.filter(F.spark_partition_id().isin(stale))
-        ends.update(_boundaries(rerun, advance, entries))
-
-
-def _boundaries(ordered: DataFrame, advance: Advance, entries: dict[int, tuple]) -> dict[int, tuple]:
-    """Per non-empty partition: first key, last key, and the state after its last call."""
-    entries = dict(entries)
+    carried: list[int] = []
+    previous = None
+    for part in sorted(ends):
+        first, last, state, forgets = ends[part]
+        if previous is not None and ends[previous][1] == first:
+            if previous not in carried:
+                entries[part] = (first, ends[previous][2])
+            if first == last and not forgets:
+                carried.append(part)
+        previous = part
+    if not carried:
+        return entries
+    after = _carried(ordered.filter(F.col("part").isin(carried)), advance, entries)
+    previous = None
+    for part in sorted(ends):
+        first = ends[part][0]
+        if previous in after and ends[previous][1] == first:
+            entries[part] = (first, after[previous])
+        previous = part
+    return entries
+
+
+def _ends(ordered: DataFrame, advance: Advance, pause_us: int | None) -> dict[int, tuple]:
+    """Per part: first key, last key, state after its last call, and whether any state before is forgotten."""
 
     def last_state(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pid = TaskContext.get().partitionId()
-        key, state = entries.get(pid, (None, ()))
-        first = None
-        for batch in batches:
-            if batch.empty:
-                continue
-            if first is None:
-                first = batch["key"].iloc[0]
-            last = batch["key"].iloc[-1]
-            rows = batch[batch["key"] == last]  # only the last key's state leaves the partition
-            state = state if last == key else ()
-            _, state = advance(state, rows["at_us"].tolist(), rows["flag"].tolist())
-            key = last
-        if first is not None:
-            yield pd.DataFrame(
-                {"pid": [pid], "first_key": [first], "last_key": [key], "state": [list(state)]}
+        part, first, key, state, at, forgets = None, None, None, (), None, False
+
+        def row() -> pd.DataFrame:
+            return pd.DataFrame(
+                {"part": [part], "first_key": [first], "last_key": [key], "state": [list(state)], "forgets": [forgets]}
             )
 
+        for batch in batches:
+            for number, held in batch.groupby("part", sort=False):
+                if number != part:
+                    if part is not None:
+                        yield row()
+                    part, first, key, state, at, forgets = number, held["key"].iloc[0], None, (), None, False
+                last = held["key"].iloc[-1]
+                rows = held[held["key"] == last]  # only the last key's state leaves the part
+                times = rows["at_us"].tolist()
+                if last != key:
+                    forgets, state, at = first != last, (), None
+                if pause_us is not None and not forgets:
+                    steps = zip([at] * (at is not None) + times, times[at is None :])
+                    forgets = any(b - a > pause_us for a, b in steps)
+                _, state = advance(state, times, rows["flag"].tolist())
+                key, at = last, times[-1]
+        if part is not None:
+            yield row()
+
     key_type = ordered.schema["key"].dataType.simpleString()
     rows = ordered.mapInPandas(
-        last_state, f"pid int, first_key {key_type}, last_key {key_type}, state array<bigint>"
+        last_state, f"part int, first_key {key_type}, last_key {key_type}, state array<bigint>, forgets boolean"
     ).collect()
-    return {r["pid"]: (r["first_key"], r["last_key"], tuple(r["state"])) for r in rows}
+    return {r["part"]: (r["first_key"], r["last_key"], tuple(r["state"]), r["forgets"]) for r in rows}
+
+
+def _carried(parts: DataFrame, advance: Advance, entries: dict[int, tuple]) -> dict[int, tuple]:
+    """State after each of the given parts, each held by one key; a key's parts are read in order."""
+
+    def carry(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, state = None, ()
+        for batch in batches:
+            ends = []
+            for (key, part), rows in batch.groupby(["key", "part"], sort=False):
+                if (key, part) != now:
+                    if now is not None:
+                        ends.append((now[1], list(state)))
+                    if part in entries:
+                        state = entries[part][1]
+                    now = (key, part)
+                _, state = advance(state, rows["at_us"].tolist(), rows["flag"].tolist())
+            yield pd.DataFrame(ends, columns=["part", "state"])
+        if now is not None:
+            yield pd.DataFrame([(now[1], list(state))], columns=["part", "state"])
+
+    rows = (
+        parts.repartition("key").sortWithinPartitions("key", "at_us", "call_id")
+        .mapInPandas(carry, "part int, state array<bigint>").collect()
+    )
+    return {r["part"]: tuple(r["state"]) for r in rows}
 
 
 def rate_limited(calls: DataFrame, window_seconds: int, max_requests: int) -> DataFrame:
     """calls(key, at_us, call_id) with ``allowed``."""
     return replay(
-        calls.withColumn("flag", F.lit(False)), limiter(window_seconds, max_requests), "boolean"
+        calls.withColumn("flag", F.lit(False)), limiter(window_seconds, max_requests), "boolean", window_seconds * MICROS
     ).select("key", "call_id", F.col("label").alias("allowed"))
 
 
@@ -185,6 +231,6 @@ def breaker_log(calls: DataFrame, threshold: int, reset_seconds: int) -> DataFra
 
 def session_log(calls: DataFrame, lifetime_seconds: int) -> DataFrame:
     """calls(key, at_us, call_id) with the start of the session each call falls into."""
-    return replay(calls.withColumn("flag", F.lit(False)), sessions(lifetime_seconds), "bigint").select(
+    return replay(calls.withColumn("flag", F.lit(False)), sessions(lifetime_seconds), "bigint", lifetime_seconds * MICROS).select(
         "key", "call_id", "at_us", F.col("label").alias("session_start_us")
     )

@@ -112,12 +112,16 @@ def write_metrics_text(requests: DataFrame, path: str) -> None:
 
 
 def cumulative_histogram(
-    samples: DataFrame, labels: list[str], value: Column, bounds: list[float]
+    samples: DataFrame, labels: list[str], value: Column, bounds: list[float], weight: Column | None = None
 ) -> DataFrame:
-    """(labels..., le, samples): how many values are <= each bound, and all of them as '+Inf'."""
+    """(labels..., le, samples): how many values are <= each bound, and all of them as '+Inf'.
+
+    A row with a weight stands for so many samples.
+    """
     names = [f"{b:g}" for b in bounds]
-    within = [F.count_if(value <= F.lit(b)).alias(n) for n, b in zip(names, bounds)]
-    wide = samples.groupBy(*labels).agg(*within, F.count(value).alias("+Inf"))
+    one = F.lit(1).cast("bigint") if weight is None else weight
+    within = [F.sum(F.when(value <= F.lit(b), one).otherwise(0)).alias(n) for n, b in zip(names, bounds)]
+    wide = samples.groupBy(*labels).agg(*within, F.sum(F.when(value.isNotNull(), one).otherwise(0)).alias("+Inf"))
     return wide.unpivot(labels, [f"`{n}`" for n in names] + ["`+Inf`"], "le", "samples")
 
 
@@ -125,9 +129,15 @@ def labelled_counters(samples: DataFrame, labels: list[str]) -> DataFrame:
     return samples.groupBy(*labels).agg(F.count("*").alias("total"))
 
 
-def hit_ratio(hits: Column, limit: int, corpus_size: int) -> Column:
+def hit_ratio(hits: Column, limit: int, corpus_size: Column | int) -> Column:
     """Share of the possible results that a token search returned."""
-    return hits / F.lit(float(max(1, min(limit, corpus_size or 1))))
+    size = F.lit(corpus_size) if isinstance(corpus_size, int) else corpus_size
+    return hits / F.greatest(F.lit(1), F.least(F.lit(limit), size)).cast("double")
+
+
+def vector_hit_ratio(hits: Column) -> Column:
+    """A vector search either found something or did not."""
+    return F.when(hits > 0, 1.0).otherwise(0.0)
 
 
 def latest_ratio(searches: DataFrame) -> DataFrame:

@@ -8,15 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopledger.functions.money import exact_sum, nanos_of, times, total_nanos, units_of
-from shopledger.functions.seeded import hex_number, digest
 from shopledger.functions.shipping import address_text, quote_nanos, quote_units, tracking_id
 from shopledger.operators.exchange import convert_money
 from shopledger.operators.validation import screen_payments
 from shopledger.sources.fixed_values import DEFAULT_CURRENCY
 
-# Order lines per nested document; a larger order is written as several documents.
-LINES_PER_DOCUMENT = 1000
-
 
 def priced_lines(requests: DataFrame, cart_items: DataFrame, catalog: DataFrame, rates: DataFrame) -> DataFrame:
     """Cart lines of the requests with their unit price in the buyer's currency.
@@ -51,7 +47,8 @@ def priced_lines(requests: DataFrame, cart_items: DataFrame, catalog: DataFrame,
 def order_totals(requests: DataFrame, lines: DataFrame, rates: DataFrame) -> DataFrame:
     """Requests with item count, shipping and total; an empty cart is an order of total 0.
 
-    ``prep_reason`` is set when a line or the shipping could not be priced.
+    ``prep_reason`` is set when a line or the shipping could not be priced; such a request has
+    neither shipping nor total.
     """
     sums = lines.groupBy("order_id").agg(
         exact_sum(F.col("line_units"), F.col("line_nanos")).alias("items_nanos"),
@@ -68,11 +65,15 @@ def order_totals(requests: DataFrame, lines: DataFrame, rates: DataFrame) -> Dat
     )
     items = F.coalesce("items_nanos", F.lit(0).cast("decimal(38,0)"))
     total = items + total_nanos(F.col("shipping_units"), F.col("shipping_nanos"))
+    reason = F.coalesce("line_reason", "shipping_reason")
+    whole = reason.isNull()
     return (
-        shipped.withColumn("_total", total.cast("decimal(38,0)"))
+        shipped.withColumn("_total", F.when(whole, total.cast("decimal(38,0)")))
         .withColumn("total_units", units_of(F.col("_total")))
         .withColumn("total_nanos", nanos_of(F.col("_total")))
-        .withColumn("prep_reason", F.coalesce("line_reason", "shipping_reason"))
+        .withColumn("shipping_units", F.when(whole, F.col("shipping_units")))
+        .withColumn("shipping_nanos", F.when(whole, F.col("shipping_nanos")))
+        .withColumn("prep_reason", reason)
         .drop("_units", "_nanos", "_total", "items_nanos", "line_reason", "shipping_reason")
     )
 
@@ -111,31 +112,14 @@ def rejected(orders: DataFrame) -> DataFrame:
     return orders.filter(F.col("reason").isNotNull())
 
 
-def recomputed_totals(orders: DataFrame, lines: DataFrame) -> DataFrame:
-    """Accepted orders with shipping + sum of unit price x quantity, worked out anew."""
-    sums = lines.groupBy("order_id").agg(exact_sum(F.col("line_units"), F.col("line_nanos")).alias("items_nanos"))
-    shipping = total_nanos(F.col("shipping_units"), F.col("shipping_nanos"))
-    again = shipping + F.coalesce("items_nanos", F.lit(0).cast("decimal(38,0)"))
-    stored = total_nanos(F.col("total_units"), F.col("total_nanos"))
-    return (
-        accepted(orders)
-        .join(sums, "order_id", "left")
-        .select(
-            "order_id",
-            units_of(again).alias("recomputed_units"),
-            nanos_of(again).alias("recomputed_nanos"),
-            (again == stored).alias("agrees"),
-        )
-    )
-
+def emptied_carts(orders: DataFrame) -> DataFrame:
+    """Users whose cart an accepted order has used up, for ``apply_cart_changes``."""
+    return accepted(orders).select("user_id").distinct()
 
-def order_documents(orders: DataFrame, lines: DataFrame, per_document: int = LINES_PER_DOCUMENT) -> DataFrame:
-    """Accepted orders nested for output: address, shipping cost and items.
 
-    (order_id, document_no, documents, ...). An order of many lines becomes several
-    documents of bounded size, each with part of its items.
-    """
-    heads = accepted(orders).select(
+def order_heads(orders: DataFrame) -> DataFrame:
+    """Accepted orders as issued, without their items."""
+    return accepted(orders).select(
         "order_id",
         F.col("tracking_id").alias("shipping_tracking_id"),
         F.struct(
@@ -144,33 +128,45 @@ def order_documents(orders: DataFrame, lines: DataFrame, per_document: int = LIN
             F.col("shipping_nanos").alias("nanos"),
         ).alias("shipping_cost"),
         F.struct("street_address", "city", "state", "country", "zip_code").alias("shipping_address"),
-        # Products of an order are dealt out by hash; aiming at half the limit leaves room for chance.
-        F.greatest(F.lit(1), F.ceil(F.col("line_count") / F.lit(per_document / 2))).cast("int").alias("documents"),
-    )
-    item = F.struct(
-        F.struct("product_id", "quantity").alias("item"),
-        F.struct(
-            "currency_code", F.col("unit_units").alias("units"), F.col("unit_nanos").alias("nanos")
-        ).alias("cost"),
     )
-    place = hex_number(digest(F.col("product_id")), 1, 8)
-    # One line per product, so that no document collects copies of a hot line.
+
+
+def order_items(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    """Items of accepted orders, a row per order and product: (order_id, item, cost).
+
+    A flat table, so that no row grows with its order; lines of a product are merged.
+    """
     merged = lines.groupBy("order_id", "product_id", "currency_code", "unit_units", "unit_nanos").agg(
         F.sum("quantity").alias("quantity")
     )
-    nested = (
-        merged.join(heads.select("order_id", "documents"), "order_id")
-        .withColumn("document_no", (place % F.col("documents")).cast("int"))
-        .groupBy("order_id", "document_no")
-        .agg(F.array_sort(F.collect_list(item)).alias("items"))
+    item = F.struct("product_id", "quantity").alias("item")
+    cost = F.struct("currency_code", F.col("unit_units").alias("units"), F.col("unit_nanos").alias("nanos")).alias("cost")
+    return merged.join(accepted(orders).select("order_id"), "order_id", "left_semi").select("order_id", item, cost)
+
+
+def recomputed_totals(orders: DataFrame, items: DataFrame) -> DataFrame:
+    """Accepted orders with shipping + sum of unit cost x quantity over the items as issued.
+
+    ``agrees`` tells whether that is the total the order was charged.
+    """
+    units, nanos = times(F.col("cost.units"), F.col("cost.nanos"), F.col("item.quantity"))
+    sums = items.select("order_id", units.alias("u"), nanos.alias("n")).groupBy("order_id").agg(
+        exact_sum(F.col("u"), F.col("n")).alias("items_nanos")
     )
-    empty = F.array().cast(nested.schema["items"].dataType)
+    shipping = total_nanos(F.col("shipping_units"), F.col("shipping_nanos"))
+    again = shipping + F.coalesce("items_nanos", F.lit(0).cast("decimal(38,0)"))
+    stored = total_nanos(F.col("total_units"), F.col("total_nanos"))
     return (
-        heads.join(nested, "order_id", "left")
-        .withColumn("document_no", F.coalesce("document_no", F.lit(0)))
-        .withColumn("items", F.coalesce("items", empty))
+        accepted(orders)
+        .join(sums, "order_id", "left")
+        .select(
+            "order_id",
+            units_of(again).alias("recomputed_units"),
+            nanos_of(again).alias("recomputed_nanos"),
+            (again == stored).alias("agrees"),
+        )
     )
 
 
-def write_order_documents(documents: DataFrame, path: str) -> None:
-    documents.write.mode("overwrite").json(path)
+def write_orders(heads_or_items: DataFrame, path: str) -> None:
+    heads_or_items.write.mode("overwrite").json(path)

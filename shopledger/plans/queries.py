@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 from functools import wraps
@@ -26,8 +27,10 @@ QUERIES: dict[str, Query] = {}
 AS_OF = date(2024, 6, 15)
 SEED = "shop"
 CATALOG_VIEW = "shop_flat_catalog"
-# Currencies of the supplied customers' home countries, by nation key.
-HOME_CODES = sorted(["EUR", "USD", "JPY", "BGN", "CZK", "GBP", "CHF", "TRY", "CAD", "ZAR", "XXX", "SGD"])
+# Currencies dealt to nations by their key, in turn; XXX has no rate.
+HOME_CODES = ["BGN", "CAD", "CHF", "CZK", "EUR", "GBP", "JPY", "SGD", "TRY", "USD", "XXX", "ZAR"]
+# Context words of ad requests and shelves; some have ads.
+AD_WORDS = ["clothing", "garden", "kitchen", "decor", "books", "hair", "toys", "footwear", "accessories"]
 
 
 def query(name: str) -> Callable[[Query], Query]:
@@ -159,16 +162,17 @@ def _(spark, folder):
     return catalogs.flatten_catalog(quoted)
 
 
-def _carts_by_status(spark, folder, status):
-    orders = shop.table(spark, folder, "orders").filter(F.col("o_orderstatus") == status)
+def _carts_of(spark, folder, chosen):
+    orders = shop.table(spark, folder, "orders").filter(chosen)
     users = orders.select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"))
     return shop.order_carts(spark, folder).join(users, "order_id").select("user_id", "product_id", "quantity")
 
 
 @query("snk2_cart_upsert")
 def _(spark, folder):
-    current = carts.merge_lines(_carts_by_status(spark, folder, "F"))
-    return carts.upsert_cart(current, _carts_by_status(spark, folder, "O"))
+    finished = F.coalesce(F.col("o_orderstatus") == "F", F.lit(False))
+    current = carts.merge_lines(_carts_of(spark, folder, finished))
+    return carts.upsert_cart(current, _carts_of(spark, folder, ~finished))
 
 
 @query("snk3_cart_delete")
@@ -219,7 +223,7 @@ def _(spark, folder):
 @query("j6_substring_join")
 def _(spark, folder):
     brands = shop.table(spark, folder, "part").select(F.col("p_brand").alias("query")).distinct()
-    found = lookup.search_products(brands, shop.catalog(spark, folder), in_plan=0)
+    found = lookup.search_products(brands, shop.catalog(spark, folder))
     return found.groupBy("query").agg(F.count("*").alias("products"), F.min("id").alias("first_id"))
 
 
@@ -458,8 +462,7 @@ def _(spark, folder):
 
 def _ad_requests(spark, folder):
     """One ad request per event; its context keys are words some of which no ad has."""
-    words = ["clothing", "garden", "kitchen", "decor", "books", "hair", "toys", "footwear", "accessories"]
-    first, second = shop.picked(words, F.col("product_id")), shop.picked(words, F.col("event_id"))
+    first, second = shop.picked(AD_WORDS, F.col("product_id")), shop.picked(AD_WORDS, F.col("event_id"))
     keys = (
         F.when(F.col("event_id") % 5 == 0, F.array().cast("array<string>"))
         .when(F.col("event_id") % 5 == 1, F.array(first))
@@ -502,13 +505,12 @@ def _(spark, folder):
 
 @query("j9_optional_enrichment")
 def _(spark, folder):
-    products = shop.catalog(spark, folder).select(F.col("id").alias("product_id"), "name", F.col("categories")[0].alias("category"))
+    products = shop.catalog(spark, folder).select(F.col("id").alias("product_id"), "name")
     packed = lookup.with_packaging(products, _packaging(spark, folder))
-    kinds = ["small", "standard", "promo"]
-    ads = dimensions.ads(spark).filter(F.col("pos") == 0).select(
-        F.get(F.array(*[F.lit(k) for k in kinds]), F.col("ad_no")).alias("category"), F.col("text").alias("ad_text")
-    )
-    return packed.join(F.broadcast(ads), "category", "left").select(
+    # Shelves of the shop, some of which have several ads and some none.
+    shelf = shop.picked(AD_WORDS, F.col("product_id"))
+    ads = dimensions.ads(spark).select("category", F.col("text").alias("ad_text"))
+    return packed.withColumn("category", shelf).join(ads, "category", "left").select(
         "product_id", "name", "category", F.col("weight").cast("double").alias("weight"), "ad_text"
     )
 
@@ -552,9 +554,9 @@ def _(spark, folder):
 
 @query("agg6_score_histogram")
 def _(spark, folder):
-    found = retrieval.token_search(shop.messages(spark, folder), shop.corpus(spark, folder))
+    counts = retrieval.overlap_counts(shop.messages(spark, folder), shop.corpus(spark, folder))
     return telemetry.cumulative_histogram(
-        found.withColumn("backend", F.lit("json")), ["backend"], F.col("score"), fixed_values.SCORE_BOUNDS
+        counts.withColumn("backend", F.lit("json")), ["backend"], F.col("score"), fixed_values.SCORE_BOUNDS, F.col("pairs")
     )
 
 
@@ -575,7 +577,8 @@ def _(spark, folder):
     asked = shop.messages(spark, folder)
     corpus = shop.corpus(spark, folder)
     found = retrieval.token_search(asked, corpus).groupBy("query_id").agg(F.count("*").alias("hits"))
-    ratio = telemetry.hit_ratio(F.coalesce("hits", F.lit(0)), fixed_values.SEARCH_LIMIT, corpus.count())
+    size = corpus.agg(F.count("*")).scalar()
+    ratio = telemetry.hit_ratio(F.coalesce("hits", F.lit(0)), fixed_values.SEARCH_LIMIT, size)
     searches = asked.join(found, "query_id", "left").select(
         "query_id",
         F.col("query_id").alias("written_at"),
@@ -657,9 +660,12 @@ def _(spark, folder):
 
 @query("l4_random_sample")
 def _(spark, folder):
-    names = F.array_distinct(F.split("text", " "))
-    drawn = recommend.random_recommendations(names)
-    return shop.messages(spark, folder).select("query_id", F.array_join(drawn, " ").alias("sample"))
+    # Another sample on every run: the seed is new.
+    drawn = recommend.recommend(
+        _users(spark, folder), shop.user_carts(spark, folder), shop.catalog(spark, folder), uuid.uuid4().hex
+    )
+    ids = F.array_sort(F.collect_list(F.col("product_id")))
+    return drawn.groupBy("user_id").agg(F.array_join(ids.cast("array<string>"), " ").alias("sample"))
 
 
 @query("l5_cap_after_lookup")
@@ -691,12 +697,8 @@ def _(spark, folder):
 
 @query("set1_difference")
 def _(spark, folder):
-    # Products never returned in bulk.
-    bulk = (F.col("l_returnflag") == "R") & (F.col("l_quantity") >= 45)
-    returned = shop.table(spark, folder, "lineitem").filter(bulk)
-    return lookup.never_carted(
-        shop.catalog(spark, folder), returned.select(F.col("l_partkey").alias("product_id"))
-    )
+    # Products no event is about.
+    return lookup.never_carted(shop.catalog(spark, folder), shop.events(spark, folder).select("product_id"))
 
 
 @query("set2_concat_ads")
@@ -837,6 +839,26 @@ def _(spark, folder):
     return products.select("id", text.metadata_id(doc).alias("doc_id"))
 
 
+@query("s6_metadata_ids")
+def _(spark, folder):
+    """Documents with an id at the top, in both places of their metadata, numbers instead of texts, or none."""
+    ident, number = F.col("id").cast("string"), F.col("id")
+
+    def within(raw, own):
+        deep = F.struct(F.struct(F.struct(raw.alias("id")).alias("metadata")).alias("kwargs"))
+        return F.to_json(F.struct(deep.alias("raw"), F.struct(own.alias("id")).alias("metadata")))
+
+    doc = (
+        F.when(F.col("id") % 5 == 0, F.to_json(F.struct(ident.alias("id"), F.struct(F.lit("m").alias("id")).alias("metadata"))))
+        .when(F.col("id") % 5 == 1, within(F.concat(F.lit("r"), ident), F.concat(F.lit("m"), ident)))
+        .when(F.col("id") % 5 == 2, within(ident, ident))
+        .when(F.col("id") % 5 == 3, within(number, F.concat(F.lit("m"), ident)))
+        .otherwise(F.to_json(F.struct(number.alias("id"))))
+    )
+    products = shop.catalog(spark, folder)
+    return products.select("id", F.array_join(text.metadata_ids(doc), ",").alias("doc_ids"))
+
+
 @query("s7_tracking_id")
 def _(spark, folder):
     r = shop.checkout_requests(spark, folder)
@@ -941,11 +963,10 @@ def _(spark, folder):
     requests, lines, products, rates = _checkout_inputs(spark, folder)
     priced = checkout.priced_lines(requests, lines, products, rates)
     orders = checkout.place_orders(requests, lines, products, rates, AS_OF)
-    documents = checkout.order_documents(orders, priced)
-    ids = F.transform("items", lambda i: F.concat_ws("x", i["item"]["product_id"], i["item"]["quantity"]))
-    return documents.select(
-        "order_id", "document_no", "shipping_tracking_id",
-        F.col("shipping_cost.units").alias("shipping_units"), F.array_join(ids, ",").alias("items"),
+    items = checkout.order_items(orders, priced)
+    return items.join(checkout.order_heads(orders), "order_id").select(
+        "order_id", "shipping_tracking_id", F.col("shipping_cost.units").alias("shipping_units"),
+        "item.product_id", "item.quantity", F.col("cost.units").alias("cost_units"), F.col("cost.nanos").alias("cost_nanos"),
     )
 
 
@@ -974,7 +995,12 @@ def _(spark, folder):
 def _(spark, folder):
     requests, lines, products, rates = _checkout_inputs(spark, folder)
     orders = checkout.place_orders(requests, lines, products, rates, AS_OF)
-    return checkout.recomputed_totals(orders, checkout.priced_lines(requests, lines, products, rates))
+    issued = checkout.order_items(orders, checkout.priced_lines(requests, lines, products, rates))
+    # Every 50th order was tampered with after it was issued: one more of its first product.
+    first = F.col("item.product_id") == F.min("item.product_id").over(W.partitionBy("order_id"))
+    more = F.when((F.col("order_id") % 50 == 0) & first, 1).otherwise(0)
+    changed = F.struct(F.col("item.product_id").alias("product_id"), (F.col("item.quantity") + more).alias("quantity"))
+    return checkout.recomputed_totals(orders, issued.select("order_id", changed.alias("item"), "cost"))
 
 
 @query("p4_recommendations")
@@ -1035,7 +1061,7 @@ def _(spark, folder):
     from shopledger.streaming import runs
 
     schema = shop.table(spark, folder, "events").schema
-    stream = runs.event_stream(spark, folder, schema, "events.parquet")
+    stream = runs.event_stream(spark, f"{folder}/events.parquet", schema)
     updates = runs.run_available(live.cart_updates(shop.as_cart_events(stream)), "update", "carts")
     return live.current_lines(updates)
 
@@ -1046,7 +1072,7 @@ def _(spark, folder):
     from shopledger.streaming import runs
 
     schema = shop.table(spark, folder, "events").schema
-    stream = shop.as_request_log(runs.event_stream(spark, folder, schema, "events.parquet"))
+    stream = shop.as_request_log(runs.event_stream(spark, f"{folder}/events.parquet", schema))
     stamped = stream.withColumn("ts", F.col("ts").cast("timestamp"))
     seen = runs.run_available(live.live_metrics(stamped, "1 hour"), "update", "metrics")
     final = seen.groupBy("window_start", "method", "route", "status").agg(
@@ -1081,7 +1107,7 @@ def _(spark, folder):
     from shopledger.streaming import runs
 
     schema = shop.table(spark, folder, "events").schema
-    stream = shop.as_cart_events(runs.event_stream(spark, folder, schema, "events.parquet"))
+    stream = shop.as_cart_events(runs.event_stream(spark, f"{folder}/events.parquet", schema))
     seen = runs.run_available(
         stream.filter(F.col("kind") == "add"), "append", "enriched",
         lambda path: live.enrich_with_reload(

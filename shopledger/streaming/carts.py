@@ -55,8 +55,10 @@ def cart_updates(events: DataFrame) -> DataFrame:
 
 
 def current_lines(updates: DataFrame) -> DataFrame:
-    """Lines as the latest update of each left them, from a table of collected updates."""
-    latest = updates.groupBy("user_id", "product_id").agg(
-        F.max_by("quantity", F.struct("seq", "batch_id")).alias("quantity")
-    )
+    """Lines as the latest update of each left them, from a table of collected updates.
+
+    A micro-batch gives one row per line, so the latest batch decides; the numbers of the
+    events do not, as they may arrive late.
+    """
+    latest = updates.groupBy("user_id", "product_id").agg(F.max_by("quantity", "batch_id").alias("quantity"))
     return latest.filter(F.col("quantity") > 0)

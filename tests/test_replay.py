@@ -95,6 +95,28 @@ def test_hot_key_is_cut(spark, many_partitions):
     assert labelled.filter("key = 0").select("pid").distinct().count() > 1
 
 
+@pytest.mark.parametrize("pause", [0.0, 0.02])
+def test_labels_do_not_depend_on_the_task(spark, many_partitions, pause):
+    rows = calls(7, pause=pause)
+    df = spark.createDataFrame(rows, CALLS)
+    limits, lifetimes = replay.rate_limited(df, 60, 5), replay.session_log(df, 45)
+    want, starts = limited(rows, 60, 5), started(rows, 45)
+    for moved in (lambda d: d.coalesce(1), lambda d: d.repartition(3), lambda d: d.limit(0).unionByName(d).coalesce(2)):
+        assert {r.call_id: r.allowed for r in moved(limits).collect()} == want
+        assert {r.call_id: int(r.session_start_us) for r in moved(lifetimes).collect()} == starts
+
+
+def test_jobs_do_not_grow_with_the_parts(spark, many_partitions):
+    tracker, jobs = spark.sparkContext.statusTracker(), []
+    for parts in ("16", "48"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        spark.sparkContext.setJobGroup(f"replay-{parts}", "")
+        replay.session_log(spark.createDataFrame(calls(5, pause=0.0), CALLS), 45).collect()
+        jobs.append(len(tracker.getJobIdsForGroup(f"replay-{parts}")))
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert jobs[1] == jobs[0]
+
+
 def test_limiter_edges():
     stamps = [t * SECOND for t in (0, 1, 2, 61, 62)]
     assert replay.limiter(60, 2)((), stamps, [])[0] == [True, True, False, True, True]

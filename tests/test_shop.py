@@ -27,8 +27,8 @@ CATALOG = (
 def products(spark):
     return spark.createDataFrame(
         [
-            product("abc001", "Product Alpha One"), product("abc002", "Product Delta", "100% wool"),
-            product("abc003", "Product Alpha Two"), product("abc004", "Product Gamma", "an ALPHABET"),
+            product("T-1", "Copper kettle"), product("T-2", "Bath towel", "100% linen"),
+            product("T-3", "Kettle brush"), product("T-4", "Tea tin", "fits any KETTLEDRUM set"),
         ],
         CATALOG,
     )
@@ -65,20 +65,20 @@ def test_assistant_catalog(spark, tmp_path):
 
 
 def test_point_lookup(spark, products):
-    asked = spark.createDataFrame([("abc003",), ("abc005",)], "product_id string")
+    asked = spark.createDataFrame([("T-3",), ("T-9",)], "product_id string")
     got = {r.product_id: (r.found, r.name) for r in lookup.point_lookup(asked, products).collect()}
-    assert got == {"abc003": (True, "Product Alpha Two"), "abc005": (False, None)}
+    assert got == {"T-3": (True, "Kettle brush"), "T-9": (False, None)}
 
 
-@pytest.mark.parametrize("in_plan", [0, 100])
-def test_search(spark, products, in_plan):
-    """Both ways of searching agree; signs are literal and the empty text matches all."""
-    terms = spark.createDataFrame([("alpha",), ("%",), ("_",), ("",), ("zz",), ("T",), ("Product g",)], "query string")
+def test_search(spark, products):
+    """Signs are literal, case does not count, and the empty text matches all."""
+    texts = ["kettle", "%", "_", "", "zz", "T", "tle b", "BATH TOWEL"]
+    terms = spark.createDataFrame([(t,) for t in texts], "query string")
     found = {}
-    for row in lookup.search_products(terms, products, in_plan).collect():
+    for row in lookup.search_products(terms, products).collect():
         found.setdefault(row["query"], set()).add(row["id"][-1])
     assert found == {
-        "alpha": set("134"), "%": set("2"), "": set("1234"), "T": set("1234"), "Product g": set("4"),
+        "kettle": set("134"), "%": set("2"), "": set("1234"), "T": set("1234"), "tle b": set("3"), "BATH TOWEL": set("2"),
     }
 
 
@@ -107,19 +107,19 @@ def test_validation_texts(spark):
 
 
 ORDER = {
-    "email": "test@example.com", "street_address": "12345 Example Street", "zip_code": 10004, "city": "New York",
-    "state": "NY", "country": "United States", "credit_card_number": "5272940000751666",
-    "credit_card_expiration_month": 1, "credit_card_expiration_year": 2024, "credit_card_cvv": 584,
+    "email": "mira@teashop.example", "street_address": "7 Quay Lane", "zip_code": 4021, "city": "Linz",
+    "state": "Upper Austria", "country": "Austria", "credit_card_number": "4012888888881881",
+    "credit_card_expiration_month": 9, "credit_card_expiration_year": 2031, "credit_card_cvv": 77,
 }
 
 
 @pytest.mark.parametrize(
     "change",
     [
-        {"email": "test@example"}, {"street_address": "x" * 513}, {"zip_code": 0}, {"city": "x" * 129},
-        {"state": ""}, {"country": "x" * 129}, {"credit_card_number": "5272940000751667"},
-        {"credit_card_expiration_month": 13}, {"credit_card_expiration_month": -1},
-        {"credit_card_expiration_year": 0}, {"credit_card_cvv": 0},
+        {"email": "mira at teashop"}, {"email": ""}, {"street_address": "q" * 600}, {"street_address": ""},
+        {"zip_code": 0}, {"city": "é" * 150}, {"state": "s" * 200}, {"country": ""},
+        {"credit_card_number": "4012888888881882"}, {"credit_card_expiration_month": 14},
+        {"credit_card_expiration_month": 0}, {"credit_card_expiration_year": 0}, {"credit_card_cvv": 0},
     ],
 )
 def test_place_order_rules(spark, change):
@@ -129,25 +129,25 @@ def test_place_order_rules(spark, change):
 
 
 def test_currency_codes(spark):
-    codes = ["EUR", "USD", "JPY", "GBP", "TRY", "CAD", "ABC", "$", ""]
+    codes = ["CHF", "SEK", "ZAR", "chf", "QQQ", "12", ""]
     df = spark.createDataFrame([(c,) for c in codes], "code string")
     out = validation.with_known_currency(df, "code", dimensions.iso_codes(spark)).collect()
     errors = {r.code: r.currency_error for r in out}
-    assert [errors[c] for c in codes] == [None] * 6 + ["iso4217", "iso4217", "required"]
+    assert [errors[c] for c in codes] == [None] * 3 + ["iso4217"] * 3 + ["required"]
 
 
 def test_identifiers(spark):
-    names = ["CartItems", "CartItems; DROP TABLE users", "public.CartItems", "1CartItems"]
+    names = ["basket_2", "_b", "basket x", "shop.basket", "2baskets", "basket'--"]
     df = spark.createDataFrame([(n,) for n in names], "n string")
-    assert [r[0] for r in df.select(validation.is_identifier(F.col("n"))).collect()] == [True, False, False, False]
+    assert [r[0] for r in df.select(validation.is_identifier(F.col("n"))).collect()] == [True, True] + [False] * 4
 
 
 def test_assistant_requests(spark):
-    rows = ["", "minimal%20living%20room%20with%20warm%20lighting", "a+b", "50%", "%20 ", "x" * 2001, "\t"]
+    rows = ["", "a%20shelf%20for%20tea%20tins", "a+b", "50%", "%20 ", "x" * 2001, "\t"]
     df = spark.createDataFrame([(r,) for r in rows], "raw_message string")
     out = validation.assistant_requests(df).select("accepted", "message").collect()
     assert [r.accepted for r in out] == [False, True, True, True, False, False, False]
-    assert [r.message for r in out[1:4]] == ["minimal living room with warm lighting", "a+b", "50%"]
+    assert [r.message for r in out[1:4]] == ["a shelf for tea tins", "a+b", "50%"]
 
 
 def test_payment_screening(spark):
@@ -169,11 +169,11 @@ def test_payment_screening(spark):
 
 
 def test_tracking_id_shape(spark):
-    address = "Muffin Man, London, "
+    address = "7 Quay Lane, Linz"
     df = spark.range(200).select("id", tracking_id(F.col("id"), F.lit(address), "s").alias("t"))
     ids = [r.t for r in df.collect()]
     assert len(set(ids)) > 190
-    assert all(len(t) == 18 and t[2:5] == "-20" and t[8:11] == "-10" for t in ids)
+    assert all(len(t) == 17 and t[2:5] == "-17" and t[8:10] == "-8" for t in ids)
     assert df.filter(~F.col("t").rlike(r"^[A-Y]{2}-\d+-\d+$")).count() == 0
 
 
@@ -223,8 +223,8 @@ def test_ads(spark):
     assert sorted(r.request_id for r in chosen) == [1, 2, 3, 4]
 
 
-def test_large_order_documents_are_split(spark):
-    """A cart of many lines, copies of one product among them, comes out whole in bounded documents."""
+def test_items_of_a_large_order(spark):
+    """A cart of many lines, copies of one product among them, comes out as one row per product."""
     catalog = spark.range(300).select(
         "id", F.lit("n").alias("name"),
         F.struct(F.lit("USD").alias("currency_code"), F.lit(1).cast("bigint").alias("units"), F.lit(0).alias("nanos")).alias("price_usd"),
@@ -236,14 +236,65 @@ def test_large_order_documents_are_split(spark):
     cart, rates = lines.unionByName(copies), dimensions.rates(spark)
     priced = checkout.priced_lines(requests, cart, catalog, rates)
     orders = checkout.place_orders(requests, cart, catalog, rates, date(2024, 6, 15))
-    documents = checkout.order_documents(orders, priced, per_document=100).collect()
-    big = [d for d in documents if d.order_id == 1]
-    assert len(big) > 3 and max(len(d["items"]) for d in big) <= 100
-    quantity = {i["item"]["product_id"]: i["item"]["quantity"] for d in big for i in d["items"]}
-    assert sum(len(d["items"]) for d in big) == len(quantity) == 300
+    items = checkout.order_items(orders, priced)
+    quantity = {r["item"]["product_id"]: r["item"]["quantity"] for r in items.filter("order_id = 1").collect()}
+    assert items.count() == len(quantity) == 300
     assert quantity[7] == 502 and sum(quantity.values()) == 1100
-    (empty,) = [d for d in documents if d.order_id == 2]
-    assert empty["items"] == [] and empty.shipping_cost.units == 0
+    heads = {r.order_id: r for r in checkout.order_heads(orders).collect()}
+    assert set(heads) == {1, 2} and heads[2].shipping_cost.units == 0
+
+
+def small_checkout(spark, lines):
+    catalog = spark.createDataFrame([(5, "tin", ("USD", 3, 500_000_000)), (6, "pot", ("USD", 20, 0))],
+                                    "id bigint, name string, price_usd struct<currency_code:string,units:bigint,nanos:int>")
+    request = {**ORDER, "user_currency": "EUR"}
+    requests = spark.createDataFrame([{**request, "order_id": o, "user_id": 100 + o} for o in (1, 2, 3)])
+    cart = spark.createDataFrame(lines, "order_id bigint, product_id bigint, quantity int")
+    rates = dimensions.rates(spark)
+    return (
+        checkout.place_orders(requests, cart, catalog, rates, date(2024, 6, 15)),
+        checkout.priced_lines(requests, cart, catalog, rates),
+    )
+
+
+def test_tampered_order_disagrees(spark):
+    orders, priced = small_checkout(spark, [(1, 5, 2), (1, 6, 1), (2, 6, 4)])
+    items = checkout.order_items(orders, priced)
+    assert all(r.agrees for r in checkout.recomputed_totals(orders, items).collect())
+    cost = F.col("cost").withField("units", F.col("cost.units") + F.when(F.col("order_id") == 2, 1).otherwise(0))
+    changed = checkout.recomputed_totals(orders, items.withColumn("cost", cost)).collect()
+    assert {r.order_id: r.agrees for r in changed} == {1: True, 2: False, 3: True}
+
+
+def test_rejected_order_has_no_total_and_keeps_its_cart(spark):
+    orders, _ = small_checkout(spark, [(1, 5, 2), (1, 999, 1), (2, 6, 4)])
+    row = {r.order_id: r for r in orders.collect()}[1]
+    assert row.reason == "unknown_product" and row.total_units is None and row.shipping_units is None
+    assert {r.user_id for r in checkout.emptied_carts(orders).collect()} == {102, 103}
+
+
+def test_metadata_ids(spark):
+    docs = [
+        ('{"id": "a", "metadata": {"id": "b"}}', ["a"]),
+        ('{"raw": {"kwargs": {"metadata": {"id": "r"}}}, "metadata": {"id": "m"}}', ["r", "m"]),
+        ('{"raw": {"kwargs": {"metadata": {"id": 4}}}, "metadata": {"id": "m"}}', ["m"]),
+        ('{"id": 7}', []), ("not json", []), (None, []),
+    ]
+    df = spark.createDataFrame([(d,) for d, _ in docs], "d string").select(text.metadata_ids(F.col("d")))
+    assert [r[0] for r in df.collect()] == [want for _, want in docs]
+
+
+def test_random_sample(spark):
+    catalog = spark.range(30).select("id")
+    users = spark.range(12).select(F.col("id").alias("user_id"))
+    cart = users.select("user_id", F.explode(F.sequence(F.lit(0), F.col("user_id") * 2)).alias("product_id"))
+    drawn = {}
+    for seed in ("x", "y"):
+        for r in recommend.recommend(users, cart, catalog, seed).collect():
+            drawn.setdefault((seed, r.user_id), []).append(r.product_id)
+    for (_, user), ids in drawn.items():
+        assert len(ids) == len(set(ids)) == min(5, 30 - (2 * user + 1)) and min(ids) > 2 * user
+    assert any(drawn["x", u] != drawn["y", u] for u in range(12))
 
 
 def test_cart_table_versions(spark, tmp_path):

@@ -35,6 +35,43 @@ def test_cart_stream(spark, tmp_path):
     assert got == want
 
 
+def test_late_adds_and_empties(spark, tmp_path):
+    """Events in any order of arrival, in a folder of part files: late adds count."""
+    log = [(10, 1, "add", 7, 2), (5, 1, "add", 7, 3), (11, 2, "add", 7, 1), (12, 2, "empty", None, None), (13, 2, "add", 8, 4)]
+    schema = "seq bigint, user_id bigint, kind string, product_id bigint, quantity bigint"
+    for row in log:
+        spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "log.parquet"))
+    df = spark.createDataFrame(log, schema)
+    stream = runs.event_stream(spark, str(tmp_path / "log.parquet"), df.schema, files_per_batch=1)
+    updates = runs.run_available(live_carts.cart_updates(stream), "update", "carts")
+    got = {tuple(r) for r in live_carts.current_lines(updates).select("user_id", "product_id", "quantity").collect()}
+    assert got == {(1, 7, 5), (2, 8, 4)}
+    assert got == {tuple(r) for r in carts.cart_state(df).select("user_id", "product_id", "quantity").collect()}
+
+
+def test_empty_stream_and_settings(spark, tmp_path):
+    df = requests(spark)
+    df.limit(0).write.parquet(str(tmp_path / "log.parquet"))
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
+    stream = runs.event_stream(spark, str(tmp_path / "log.parquet"), df.schema)
+    seen = runs.run_available(live.live_metrics(stream), "update", "metrics")
+    assert seen.count() == 0 and "requests" in seen.columns
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) == before
+
+
+def test_late_requests_count(spark, tmp_path):
+    """The oldest requests come last, hours after newer ones."""
+    df = requests(spark).withColumn("ts", F.timestamp_seconds(F.col("req_id") * 3600))
+    for low, high in ((200, 300), (100, 200), (0, 100)):
+        part = df.filter((F.col("req_id") >= low) & (F.col("req_id") < high))
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "log.parquet"))
+    stream = runs.event_stream(spark, str(tmp_path / "log.parquet"), df.schema, files_per_batch=1)
+    seen = runs.run_available(live.live_metrics(stream), "update", "metrics")
+    final = seen.groupBy("window_start", "method", "route", "status").agg(F.max_by("requests", "batch_id").alias("n"))
+    got = {tuple(r) for r in final.groupBy("method", "route", "status").agg(F.sum("n")).collect()}
+    assert got == {tuple(r) for r in telemetry.request_counts(df).collect()}
+
+
 def test_rate_limit_stream(spark, tmp_path):
     rng, at = random.Random(2), 0
     log = []
