@@ -417,6 +417,20 @@ def histogram(source: str, labels: str, value: str, bounds: list[str]) -> str:
 
 define("agg6_latency_histogram", histogram("request_log", "method, route", "(took_us / 1e6)", ["0.1", "0.3", "0.5", "1", "2", "3", "5", "8", "13"]))
 define("agg6_score_histogram", histogram("pairs", "'json' AS backend", "score", ["0", "1", "2", "3", "4", "5", "8", "13"]), *token_pairs("messages", CORPUS))
+define(
+    "agg6_assistant_latency",
+    histogram(
+        "(SELECT ['hosted', 'local'][session % 2 + 1] AS provider, ['vector', 'json'][req_id % 2 + 1] AS backend, took_us FROM request_log)",
+        "provider, backend", "(took_us / 1e6)", ["0.1", "0.3", "0.5", "1", "2", "3", "5", "8", "13"],
+    ),
+)
+define(
+    "agg7_retrieval_counters",
+    """SELECT 'queries' AS metric, 'json' AS backend, count(*) AS total FROM messages UNION ALL SELECT 'hits', 'json', count(*) FROM found
+    UNION ALL SELECT 'queries', 'vector', count(*) FROM embeddings UNION ALL SELECT 'hits', 'vector', count(*) * least(6, count(*)) FROM embeddings""",
+    *token_top("messages", CORPUS, 6),
+)
+define("agg8_vector_hit_ratio", "SELECT 'vector' AS backend, CASE WHEN count(*) > 0 THEN 1.0::DOUBLE ELSE 0.0 END AS hit_ratio FROM embeddings")
 define(
     "agg7_labelled_counters",
     """SELECT CASE WHEN status >= 500 THEN 'error' WHEN bytes < 8 THEN 'bad_request' ELSE 'ok' END AS status,
@@ -477,6 +491,11 @@ RECOMMENDED = [
 ]
 define("l4_sample", "SELECT * FROM recommended", *RECOMMENDED)
 define("l5_cap_after_lookup", "SELECT user_id, rank, product_id, name, currency_code, units, nanos FROM recommended JOIN flat_catalog ON id = product_id WHERE rank <= 4", *RECOMMENDED)
+define(
+    "p2_cart_recommendations",
+    "SELECT order_id, rank, product_id, name FROM requests r JOIN recommended c ON c.user_id = r.user_id JOIN flat_catalog ON id = product_id WHERE rank <= 4",
+    *RECOMMENDED,
+)
 define(
     "p4_recommendations",
     """SELECT user_id, count(*) AS shown, CAST(sum(units) AS BIGINT) AS units, min(name) AS first_name
@@ -660,9 +679,10 @@ define(
 SEARCHED = template(SEARCH_PROMPT, message="message", room="'minimal oak'")
 define(
     "p6_assistant_candidates",
-    f"""SELECT query_id, ids AS candidate_ids, md5({template(DESIGN_PROMPT, instruction="'You are a designer.'", room="'minimal oak'", candidates="replace(ids, ',', ', ')", message="message")}) AS prompt_digest
-    FROM (SELECT m.query_id, m.message, coalesce(string_agg(f.item_id, ',' ORDER BY f.rank), '') AS ids
-      FROM valid_messages m LEFT JOIN found f ON f.query_id = m.query_id WHERE accepted GROUP BY ALL)""",
+    f"""SELECT query_id, ids AS candidate_ids, md5({template(DESIGN_PROMPT, instruction="'You are a designer.'", room="'minimal oak'", candidates="docs", message="message")}) AS prompt_digest
+    FROM (SELECT m.query_id, m.message, coalesce(string_agg(f.item_id, ',' ORDER BY f.rank), '') AS ids,
+        coalesce(string_agg('{{"id":"' || f.item_id || '","text":' || to_json(d.text) || ',"_relevance_score":' || f.score || '}}', ', ' ORDER BY f.rank), '') AS docs
+      FROM valid_messages m LEFT JOIN found f ON f.query_id = m.query_id LEFT JOIN documents d ON d.doc_id = f.item_id WHERE accepted GROUP BY ALL)""",
     *token_top(f"(SELECT query_id, {SEARCHED} AS text FROM valid_messages WHERE accepted)", CORPUS, 6),
 )
 DEGRADED = "'当前智能推荐通道处于保护模式，已启用降级回复。' || chr(10) || '你可继续描述偏好（当前输入：' || {} || '），系统将返回基础推荐。' || chr(10) || '推荐ID: [NO_MATCH]'"
@@ -685,16 +705,14 @@ define(
     """SELECT CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS window_start_s, method, route, CAST(status AS VARCHAR) AS status, count(*) AS requests, CAST(sum(took_us) AS BIGINT) AS sum_us
     FROM request_log GROUP BY ALL""",
 )
-define(
-    "st3_rate_limit",
-    "SELECT key, call_id, allowed FROM fold",
-    """fold AS (SELECT key, call_id, n, TRUE AS allowed, [at_us] AS q FROM calls WHERE n = 1
+LIMITED = """fold AS (SELECT key, call_id, n, TRUE AS allowed, [at_us] AS q FROM calls WHERE n = 1
       UNION ALL SELECT c.key, c.call_id, c.n, len(list_filter(f.q, lambda y: c.at_us - y <= 86400000000)) < 2,
         CASE WHEN len(list_filter(f.q, lambda y: c.at_us - y <= 86400000000)) < 2
           THEN list_append(list_filter(f.q, lambda y: c.at_us - y <= 86400000000), c.at_us)
           ELSE list_filter(f.q, lambda y: c.at_us - y <= 86400000000) END
-      FROM fold f JOIN calls c ON c.key = f.key AND c.n = f.n + 1)""",
-)
+      FROM fold f JOIN calls c ON c.key = f.key AND c.n = f.n + 1)"""
+define("st3_rate_limit", "SELECT key, call_id, allowed FROM fold", LIMITED)
+define("agg7_rejected_calls", "SELECT count(*) FILTER (WHERE NOT allowed) AS rejected FROM fold", LIMITED)
 
 
 def breaker_fold(threshold: int, reset_us: int) -> str:

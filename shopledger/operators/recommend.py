@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shopledger.functions.seeded import digest, hex_number
+from shopledger.session import scratch_path
 from shopledger.sources.fixed_values import RECOMMENDED_IDS, RECOMMENDED_SHOWN
 
 # Steps produced per row, so that no single row holds a long walk.
@@ -59,8 +60,10 @@ def _walks(users: DataFrame, size: int, k: int, seed: str) -> DataFrame:
     blocks = users.select("user_id", stride.alias("a"), start.alias("b"), needed.alias("needed"), pieces.alias("piece"))
     first = F.col("piece") * STEPS_PER_ROW
     steps = F.sequence(first, F.least(first + (STEPS_PER_ROW - 1), F.col("needed") - 1))
-    # A user with a very full cart has many pieces; they are walked by many tasks.
-    walked = blocks.repartition("user_id", "piece").select("user_id", "a", "b", F.explode(steps).alias("step"))
+    # A user with a very full cart has many pieces; only those are dealt out to many tasks.
+    long = F.col("needed") > STEPS_PER_ROW
+    dealt = blocks.filter(~long).unionByName(blocks.filter(long).repartition("user_id", "piece"))
+    walked = dealt.select("user_id", "a", "b", F.explode(steps).alias("step"))
     # a * step + b stays within 63 bits for catalogs of up to three billion products.
     wide = "bigint" if prime < 3_000_000_000 else "decimal(19,0)"
     number: Column = (
@@ -72,9 +75,15 @@ def _walks(users: DataFrame, size: int, k: int, seed: str) -> DataFrame:
 def recommend(
     users: DataFrame, cart_items: DataFrame, catalog: DataFrame, seed: str, k: int = RECOMMENDED_IDS
 ) -> DataFrame:
-    """(user_id, rank, product_id): up to k products per user, none of them in the cart."""
-    numbers = numbered(catalog)
-    size = catalog.count()
+    """(user_id, rank, product_id): up to k products per user, none of them in the cart.
+
+    The numbered catalog is written once to the shared folder and read from there.
+    """
+    spark = catalog.sparkSession
+    path = scratch_path(spark, "numbered-catalog")
+    numbered(catalog).write.parquet(path)
+    numbers = spark.read.parquet(path)
+    size = numbers.count()  # from the files' footers
     carted = cart_items.select("user_id", "product_id").distinct()
     sizes = carted.groupBy("user_id").agg(F.count("*").alias("carted"))
     wanted = users.select("user_id").join(sizes, "user_id", "left").fillna(0, ["carted"])

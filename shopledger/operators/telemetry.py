@@ -129,6 +129,18 @@ def labelled_counters(samples: DataFrame, labels: list[str]) -> DataFrame:
     return samples.groupBy(*labels).agg(F.count("*").alias("total"))
 
 
+def retrieval_counters(queries: DataFrame, hits: DataFrame, backend: str) -> DataFrame:
+    """(metric, backend, total): searches of a backend and the documents they found."""
+    counts = [(n, df.agg(F.count("*").alias("total"))) for n, df in (("queries", queries), ("hits", hits))]
+    first, second = (df.select(F.lit(n).alias("metric"), F.lit(backend).alias("backend"), "total") for n, df in counts)
+    return first.unionByName(second)
+
+
+def rejected_calls(limited: DataFrame) -> DataFrame:
+    """How many calls the rate limiter turned away."""
+    return limited.agg(F.count_if(~F.col("allowed")).alias("rejected"))
+
+
 def hit_ratio(hits: Column, limit: int, corpus_size: Column | int) -> Column:
     """Share of the possible results that a token search returned."""
     size = F.lit(corpus_size) if isinstance(corpus_size, int) else corpus_size

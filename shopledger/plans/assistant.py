@@ -43,21 +43,32 @@ def assistant_candidates(
 ) -> DataFrame:
     """Valid requests(query_id, raw_message) with candidate ids and the prompt to send.
 
-    corpus(item_id, text). A request has at most k candidates, so collecting them is bounded.
+    corpus(item_id, text, ...): the prompt holds the found items as JSON with all columns of
+    the corpus and the relevance score. A request has at most k candidates, so collecting them is
+    bounded.
     """
     valid = assistant_requests(requests).filter("accepted").withColumn("room", room)
     asked = valid.select("query_id", search_prompt(F.col("message"), F.col("room")).alias("text"))
     found = search(asked, corpus, "tokens", k)
-    ranked = F.array_sort(F.collect_list(F.struct("rank", F.col("item_id").cast("string").alias("id"))))
-    candidates = found.groupBy("query_id").agg(F.transform(ranked, lambda c: c["id"]).alias("candidate_ids"))
+    own = [c for c in corpus.columns if c != "item_id"]
+    document = F.to_json(
+        F.struct(F.col("item_id").cast("string").alias("id"), *own, F.col("score").alias("_relevance_score"))
+    )
+    documents = found.join(corpus, "item_id").select(
+        "query_id", F.struct("rank", F.col("item_id").cast("string").alias("id"), document.alias("document")).alias("hit")
+    )
+    hits = F.array_sort(F.collect_list("hit"))
+    candidates = documents.groupBy("query_id").agg(hits.alias("hits"))
     joined = valid.join(candidates, "query_id", "left")
-    ids = F.coalesce("candidate_ids", F.array().cast("array<string>"))
+    none = F.array().cast("array<string>")
+    ids = F.coalesce(F.transform("hits", lambda h: h["id"]), none)
+    listed = F.array_join(F.coalesce(F.transform("hits", lambda h: h["document"]), none), ", ")
     return joined.select(
         "query_id",
         "message",
         F.array_distinct(ids).alias("candidate_ids"),
         design_prompt(
-            F.lit(instruction), F.col("room"), F.array_join(ids, ", "), F.col("message")
+            F.lit(instruction), F.col("room"), listed, F.col("message")
         ).alias("prompt"),
     )
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopledger.functions.money import display
+from shopledger.operators.recommend import shown_recommendations
 from shopledger.plans.checkout import order_totals, priced_lines
 
 
@@ -29,3 +30,9 @@ def cart_totals(requests: DataFrame, cart_items: DataFrame, catalog: DataFrame,
         display(code, F.col("shipping_units"), F.col("shipping_nanos")).alias("shipping_text"),
         display(code, F.col("total_units"), F.col("total_nanos")).alias("total_text"),
     )
+
+
+def cart_recommendations(requests: DataFrame, recommended: DataFrame, catalog: DataFrame) -> DataFrame:
+    """The products shown beside each cart: the first few recommended to its user."""
+    shown = shown_recommendations(recommended, catalog)
+    return requests.select("order_id", "user_id").join(shown, "user_id")

@@ -572,6 +572,46 @@ def _(spark, folder):
     return telemetry.labelled_counters(served, ["status", "provider", "backend"])
 
 
+def _assistant_log(spark, folder):
+    return shop.request_log(spark, folder).select(
+        shop.picked(["hosted", "local"], F.col("session")).alias("provider"),
+        shop.picked(["vector", "json"], F.col("req_id")).alias("backend"), "took_us",
+    )
+
+
+@query("agg6_assistant_latency")
+def _(spark, folder):
+    seconds = F.col("took_us") / F.lit(1e6)
+    return telemetry.cumulative_histogram(
+        _assistant_log(spark, folder), ["provider", "backend"], seconds, fixed_values.LATENCY_BOUNDS
+    )
+
+
+@query("agg7_retrieval_counters")
+def _(spark, folder):
+    asked, corpus = shop.messages(spark, folder), shop.corpus(spark, folder)
+    vectors, stored = _vectors(spark, folder)
+    return telemetry.retrieval_counters(asked, retrieval.token_search(asked, corpus), "json").unionByName(
+        telemetry.retrieval_counters(vectors, retrieval.vector_search(vectors, stored), "vector")
+    )
+
+
+@query("agg7_rejected_calls")
+def _(spark, folder):
+    return telemetry.rejected_calls(replay.rate_limited(_timed(spark, folder), 86_400, 2))
+
+
+@query("agg8_vector_hit_ratio")
+def _(spark, folder):
+    asked, stored = _vectors(spark, folder)
+    found = retrieval.vector_search(asked, stored).groupBy("query_id").agg(F.count("*").alias("hits"))
+    searches = asked.join(found, "query_id", "left").select(
+        "query_id", F.col("query_id").alias("written_at"), F.lit("vector").alias("backend"),
+        telemetry.vector_hit_ratio(F.coalesce("hits", F.lit(0))).alias("ratio"),
+    )
+    return telemetry.latest_ratio(searches)
+
+
 @query("agg8_hit_ratio")
 def _(spark, folder):
     asked = shop.messages(spark, folder)
@@ -991,6 +1031,13 @@ def _(spark, folder):
     return cart_view.cart_totals(*_checkout_inputs(spark, folder))
 
 
+@query("p2_cart_recommendations")
+def _(spark, folder):
+    requests, _, products, _ = _checkout_inputs(spark, folder)
+    shown = cart_view.cart_recommendations(requests, _recommended(spark, folder), products)
+    return shown.select("order_id", "rank", "product_id", "name")
+
+
 @query("p3_reconciliation")
 def _(spark, folder):
     requests, lines, products, rates = _checkout_inputs(spark, folder)
