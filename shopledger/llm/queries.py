@@ -70,4 +70,31 @@ QUERIES = {
     )
 }
 
-STATEMENTS: dict[str, str] = {}
+STATEMENTS: dict[str, str] = {
+    "op2_line_dedup": """WITH lines AS (
+  SELECT doc_id, i, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS i
+    FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents))),
+keys AS (SELECT key, min(doc_id) AS owner FROM lines WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE lost) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT lost), '')) AS kept_sha256
+FROM (SELECT l.*, coalesce(k.owner <> l.doc_id, false) AS lost FROM lines l LEFT JOIN keys k ON k.key = l.key)
+GROUP BY doc_id""",
+    # all windows of 400 bytes, as 800 hexadecimal digits
+    "op8_suffix_array": """WITH bytes AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+windows AS (SELECT doc_id, s, md5(substr(h, 2 * s + 1, 800)) AS w
+  FROM (SELECT doc_id, h, unnest(range(greatest(length(h) // 2 - 399, 0))) AS s FROM bytes)),
+starts AS (SELECT doc_id, s FROM windows WHERE w IN (SELECT w FROM windows GROUP BY w HAVING count(*) > 1)),
+islands AS (SELECT doc_id, s, sum(fresh) OVER (PARTITION BY doc_id ORDER BY s) AS n
+  FROM (SELECT doc_id, s, CASE WHEN s - lag(s) OVER (PARTITION BY doc_id ORDER BY s) <= 400 THEN 0 ELSE 1 END AS fresh FROM starts)),
+spans AS (SELECT doc_id, min(s) AS a, max(s) + 400 AS b FROM islands GROUP BY doc_id, n),
+edges AS (SELECT doc_id, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS a, a AS b FROM spans
+  UNION ALL SELECT doc_id, max(b), NULL FROM spans GROUP BY doc_id),
+kept AS (SELECT e.doc_id, string_agg(substr(h, 2 * e.a + 1, CASE WHEN e.b IS NULL THEN length(h) ELSE 2 * (e.b - e.a) END), '' ORDER BY e.a) AS h
+  FROM edges e JOIN bytes ON bytes.doc_id = e.doc_id GROUP BY e.doc_id)
+SELECT b.doc_id, length(b.h) // 2 AS n_bytes, CAST(coalesce(r.removed, 0) AS BIGINT) AS n_removed, coalesce(r.spans, 0) AS n_spans,
+  sha256(unhex(coalesce(k.h, b.h))) AS kept_sha256
+FROM bytes b LEFT JOIN kept k ON k.doc_id = b.doc_id
+LEFT JOIN (SELECT doc_id, sum(b - a) AS removed, count(*) AS spans FROM spans GROUP BY doc_id) r ON r.doc_id = b.doc_id""",
+}

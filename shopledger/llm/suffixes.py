@@ -267,13 +267,15 @@ def _classes(rows: DataFrame, hot_bytes: int) -> tuple[DataFrame, DataFrame]:
     )
     kinds = written(kinds, "passage-classes")
     groups = kinds.groupBy("anchor").agg(F.count("*").alias("classes"), F.sum(F.col("more") + WIDTH).alias("bytes"))
+    # written, so that Spark can split the join on an anchor with very many classes
+    groups = written(groups.filter("classes > 1"), "passage-groups")
     several = kinds.filter("rows > 1").select("anchor", "class")
     spans = (
         rows.filter("members = 1").join(several, ["anchor", "class"], "left_semi")
         .select(F.col("id").alias("__id"), F.col("row").alias("__row"), F.col("first").alias("start"), (F.col("last") + WIDTH).alias("stop"))
     )
     chosen = (
-        kinds.join(groups.filter("classes > 1"), "anchor")
+        kinds.join(groups, "anchor")
         .select("anchor", "class", F.when(F.col("rows") > 1, 2).otherwise(F.col("members")).cast("long").alias("members"), "place.*", "more", "at", (F.col("bytes") > hot_bytes).alias("hot"))
     )
     return spans, chosen
@@ -335,6 +337,7 @@ def _spans(own: DataFrame, bucket_bytes: int, hot_bytes: int) -> DataFrame:
     """__id, __row, start, stop: byte ranges to remove, overlapping."""
     found = written(_occurrences(own), "passage-snippets")
     again = found.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
+    again = written(again, "passage-anchors")  # a plain table: the join can be split where an anchor is hot
     rows = written(found.join(again, "anchor").withColumn("members", F.lit(1).cast("long")), "passage-repeated")
     spans, chosen = _classes(rows, hot_bytes)
     rows = written(_fetched(own, chosen), "passage-chosen")
