@@ -4,10 +4,10 @@ The merges fix one valid token sequence for every byte string, and a sequence is
 every token in it, alone, and every pair of neighbours is. So a transducer whose paths spell
 tokens, and may pass from token u to token v only if u v is what the merges make of their bytes,
 has exactly one accepting path per string. Read byte by byte, the paths that are still open differ
-in the token they are in the midst of. A determinised state is the set of open paths, each with
-the tokens it has chosen that the others have not; tokens all open paths agree on are emitted. An
-open path is inside one token, so the delay is at most one longest token. States and their
-steps are made when first met and kept in a bounded table; pairs are checked once, by the merges.
+in the token they are in the midst of. A determinised state is the set of open paths; tokens that
+all open paths share are emitted, and as an open path is inside one token, the lookahead this
+takes is bounded. States and their steps are made when first met and kept in a bounded table;
+pairs are checked once, by the merges at the two tokens' ends.
 
 As in the tokenizers this agrees with, a match of the pattern that is itself a token is that token.
 
@@ -22,6 +22,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
+import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -31,9 +33,15 @@ from pyspark.sql import functions as F
 
 from shopledger.llm.common import arrow_rows, texts
 
-STATES, PAIRS, PIECES = 100_000, 1_000_000, 150_000  # entries kept, at most
+STATES, PAIRS, CHUNKS = 100_000, 300_000, 400_000  # entries kept in a worker, at most
+#: White space as Unicode has it; the rank files' tokenizers split at these and no other code points.
+SPACES = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+#: Where the pattern always ends a match: before a run of other characters with at most one space in front.
+CHUNK = re.compile(f" ?[^{SPACES}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+")
 CHUNK_IDS = 8_192  # ids decoded at a time
-START = -1
+START, NONE = -1, 1 << 60
+FEW = 12  # tokens below a place up to which dead paths are found at once
+HELD = 1_024  # bytes held before the tokens that are certain are emitted
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -42,40 +50,95 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class Transducer:
-    """Encodes byte strings; compiled from ranks alone."""
+    """Encodes byte strings; compiled from ranks alone.
+
+    An open path is (token before, place in the tree of tokens); its start is as many bytes back as
+    the place is deep. A determinised state is the set of open paths. Besides the next state, a step
+    tells the one token with which a valid sequence of all bytes so far ends; going back from
+    any position over these tokens gives the sequence up to it.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
+        self.lengths = {rank: len(token) for token, rank in ranks.items()}
         self.children: list[dict[int, int]] = [{}]  # the tree of all tokens
         self.token_at: list[int | None] = [None]
+        self.depths = [0]
+        below = [0]
         for token, rank in ranks.items():
             node = 0
             for b in token:
+                below[node] += 1
                 here = self.children[node]
                 node = here.get(b) or here.setdefault(b, len(self.children))
                 if node == len(self.children):
                     self.children.append({})
                     self.token_at.append(None)
+                    self.depths.append(0)
+                    below.append(0)
             self.token_at[node] = rank
+        for node, here in enumerate(self.children):  # a child comes after its parent
+            for child in here.values():
+                self.depths[child] = self.depths[node] + 1
+        self.few = [0 < n <= FEW for n in below]
         self.pairs: dict[tuple[int, int], bool] = {}
+        self.edges: dict[int, tuple] = {}
         self._clear()
 
     def _clear(self) -> None:
-        first = (((), START, 0),)
+        first = ((START, 0),)
         self.numbers, self.threads = {first: 0}, [first]
-        self.steps: list[dict[int, tuple[int, tuple[int, ...]]]] = [{}]
-        self.rests: list[tuple[int, ...]] = [()]
+        self.steps: list[dict[int, tuple[int, int]]] = [{}]
+
+    def merged(self, data: bytes) -> tuple[list[bytes], list[bytes], list[bytes]]:
+        """The merges applied to a short byte string, lowest rank first, leftmost of equals.
 
-    def merged(self, data: bytes) -> list[int]:
-        """The merges applied to a short byte string: the lowest-ranked neighbours first, leftmost of equals."""
+        Also what stood at its left and at its right end in the course of it.
+        """
         parts = [data[i : i + 1] for i in range(len(data))]
+        left, right = parts[:1], parts[-1:]
         while len(parts) > 1:
-            rank, at = min((self.ranks.get(parts[i] + parts[i + 1], 1 << 60), i) for i in range(len(parts) - 1))
-            if rank == 1 << 60:
+            rank, at = min((self.ranks.get(parts[i] + parts[i + 1], NONE), i) for i in range(len(parts) - 1))
+            if rank == NONE:
                 break
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return [self.ranks[p] for p in parts]
+            if at == 0:
+                left.append(parts[0])
+            if at == len(parts) - 1:
+                right.append(parts[-1])
+        return parts, left, right
+
+    def _ends(self, token: int) -> tuple:
+        """(is the token what the merges make of its bytes, its left ends, its right ends)."""
+        known = self.edges.get(token)
+        if known is None:
+            parts, left, right = self.merged(self.tokens[token])
+            known = self.edges[token] = (len(parts) == 1, left, right)
+        return known
+
+    def _apart(self, before: int, token: int) -> bool:
+        """Whether no merge joins the end of one token with the start of the next.
+
+        Both ends grow by their own merges; a merge across comes first if its rank is below that of
+        the growth on the left, and not above that of the growth on the right.
+        """
+        ranks = self.ranks
+        _, _, mine = self._ends(before)
+        _, other, _ = self._ends(token)
+        i = j = 0
+        while True:
+            across = ranks.get(mine[i] + other[j], NONE)
+            grow = ranks[mine[i + 1]] if i + 1 < len(mine) else NONE
+            grow_other = ranks[other[j + 1]] if j + 1 < len(other) else NONE
+            if across < grow and across <= grow_other and across != NONE:
+                return False
+            if grow == grow_other == NONE:
+                return True
+            if grow <= grow_other:
+                i += 1
+            else:
+                j += 1
 
     def fits(self, before: int, token: int) -> bool:
         key = (before, token)
@@ -83,43 +146,55 @@ class Transducer:
         if known is None:
             if len(self.pairs) >= PAIRS:
                 self.pairs.clear()
-            if before == START:
-                known = self.merged(self.tokens[token]) == [token]
-            else:
-                known = self.merged(self.tokens[before] + self.tokens[token]) == [before, token]
+            known = self._ends(token)[0] and (before == START or self._apart(before, token))
             self.pairs[key] = known
         return known
 
-    def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        """Follow all open paths over one more byte; what they agree on is emitted."""
+    def _open(self, before: int, node: int) -> bool:
+        """Whether the path can still end in a token; only looked up where few are left."""
+        ahead = list(self.children[node].values())
+        if not ahead or not self.few[node]:
+            return bool(ahead)
+        while ahead:
+            here = ahead.pop()
+            token = self.token_at[here]
+            if token is not None and self.fits(before, token):
+                return True
+            ahead += self.children[here].values()
+        return False
+
+    def _step(self, state: int, byte: int) -> tuple[int, int]:
+        """Follow all open paths over one more byte."""
         ahead, done = [], None
-        for chosen, before, node in self.threads[state]:
+        for before, node in self.threads[state]:
             child = self.children[node].get(byte)
             if child is None:
                 continue
             token = self.token_at[child]
             if token is not None and done is None and self.fits(before, token):
-                done = (chosen + (token,), token, 0)
-            if self.children[child]:
-                ahead.append((chosen, before, child))
+                done = token
+            if self._open(before, child):
+                ahead.append((before, child))
         if done is None:
             raise ValueError("a byte is not in the vocabulary")
-        ahead.append(done)
-        agreed = 0
-        shortest = min(len(a[0]) for a in ahead)
-        while agreed < shortest and all(a[0][agreed] == done[0][agreed] for a in ahead):
-            agreed += 1
-        threads = tuple((chosen[agreed:], before, node) for chosen, before, node in ahead)
+        threads = (*ahead, (done, 0))
         number = self.numbers.get(threads)
         if number is None:
             number = self.numbers[threads] = len(self.threads)
             self.threads.append(threads)
             self.steps.append({})
-            self.rests.append(threads[-1][0])
-        made = (number, done[0][:agreed])
+        made = (number, done)
         self.steps[state][byte] = made
         return made
 
+    def _back(self, lasts: list[int], at: int, stop: int = 0) -> list[int]:
+        """Starts of the tokens before position `at`, nearest first."""
+        out = []
+        while at > stop:
+            at -= self.lengths[lasts[at - 1]]
+            out.append(at)
+        return out
+
     def encode(self, data: bytes) -> list[int]:
         if len(self.threads) > STATES:  # between strings no state is in use
             self._clear()
@@ -127,16 +202,31 @@ class Transducer:
         if whole is not None:
             return [whole]
         out: list[int] = []
+        lasts: list[int] = []  # for each byte held, the last token of all up to it
         state, steps = 0, self.steps
         for byte in data:
             made = steps[state].get(byte)
             if made is None:
                 made = self._step(state, byte)
-            state, emitted = made
-            if emitted:
-                out.extend(emitted)
-        out.extend(self.rests[state])
-        return out
+            state = made[0]
+            lasts.append(made[1])
+            if len(lasts) >= HELD:  # emit what all open paths share
+                common = set(self._back(lasts, len(lasts)))
+                for _, node in self.threads[state]:
+                    start = len(lasts) - self.depths[node]
+                    common &= {start, *self._back(lasts, start)}
+                cut = max(common)
+                if cut:
+                    out += self._tokens(lasts, cut)
+                    del lasts[:cut]
+        return out + self._tokens(lasts, len(lasts))
+
+    def _tokens(self, lasts: list[int], at: int) -> list[int]:
+        found = []
+        while at > 0:
+            found.append(lasts[at - 1])
+            at -= self.lengths[lasts[at - 1]]
+        return found[::-1]
 
 
 class Utf8Stream:
@@ -176,31 +266,46 @@ class Utf8Stream:
 
 
 class Codec:
-    """Text to ids and back, with a bounded table of the pieces met."""
+    """Text to ids and back, with a bounded table of the chunks met.
+
+    For patterns of the GPT-2 kind: a match never crosses the start of a chunk (see CHUNK).
+    """
+
+    made: dict[tuple[str, str], "Codec"] = {}  # for all tasks of a worker
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.transducer = Transducer(ranks)
-        self.pattern = regex.compile(pattern)
-        self.known: dict[str, tuple[int, ...]] = {}
+        inside = pattern.replace(r"[^\s", f"[^{SPACES}").replace(r"\S", f"[^{SPACES}]").replace(r"\s", f"[{SPACES}]")
+        self.pattern = regex.compile(inside)
+        self.known: dict[str, tuple[tuple[int, ...], str]] = {}
+
+    @classmethod
+    def of(cls, vocabulary: str, pattern: str) -> "Codec":
+        key = (vocabulary, pattern)
+        if key not in cls.made:
+            cls.made[key] = cls(read_ranks(vocabulary), pattern)
+        return cls.made[key]
+
+    def _new(self, chunk: str) -> tuple[tuple[int, ...], str]:
+        encode = self.transducer.encode
+        ids = tuple([i for piece in self.pattern.findall(chunk) for i in encode(piece.encode())])
+        made = ids, " ".join(map(str, ids))
+        if len(chunk) <= 64 and len(self.known) < CHUNKS:
+            self.known[chunk] = made
+        return made
+
+    def chunks(self, text: str) -> list[tuple[tuple[int, ...], str]]:
+        """Ids, and ids as decimal text, of each chunk."""
+        known, new = self.known, self._new
+        return [known.get(c) or new(c) for c in CHUNK.findall(text)]
 
     def encode(self, text: str) -> list[int]:
-        known, out = self.known, []
-        for match in self.pattern.finditer(text):
-            piece = match[0]
-            ids = known.get(piece)
-            if ids is None:
-                ids = tuple(self.transducer.encode(piece.encode()))
-                if len(piece) <= 64:
-                    if len(known) >= PIECES:
-                        known.clear()
-                    known[piece] = ids
-            out += ids
-        return out
+        return list(itertools.chain.from_iterable([c[0] for c in self.chunks(text)]))
 
     def decode_bytes(self, ids: list[int]) -> Iterator[bytes]:
         tokens = self.transducer.tokens
         for i in range(0, len(ids), CHUNK_IDS):
-            yield b"".join([tokens[t] for t in ids[i : i + CHUNK_IDS]])
+            yield b"".join(map(tokens.__getitem__, ids[i : i + CHUNK_IDS]))
 
 
 def decode_stream(chunks: Iterable[bytes]) -> Iterator[str]:
@@ -214,7 +319,7 @@ def encoded(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
     """doc_id, ids of every document; `vocabulary` is a rank file every executor can read."""
 
     def encode(batches):
-        codec = Codec(read_ranks(vocabulary), pattern)
+        codec = Codec.of(vocabulary, pattern)
         for batch in batches:
             ids = [codec.encode(t) for t in texts(batch)]
             yield arrow_rows({"doc_id": (pa.int64(), batch.column("doc_id").to_pylist()), "ids": (pa.list_(pa.int32()), ids)})
@@ -226,7 +331,7 @@ def decoded(ids: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
     """doc_id, text of every row of (doc_id, ids)."""
 
     def decode(batches):
-        codec = Codec(read_ranks(vocabulary), pattern)
+        codec = Codec.of(vocabulary, pattern)
         for batch in batches:
             out = ["".join(decode_stream(codec.decode_bytes(row or []))) for row in batch.column("ids").to_pylist()]
             yield arrow_rows({"doc_id": (pa.int64(), batch.column("doc_id").to_pylist()), "text": (pa.string(), out)})
@@ -238,14 +343,14 @@ def digests(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
     """Encode, decode, and return counts and checksums in one pass; `same` tells that the text came back."""
 
     def both(batches):
-        codec = Codec(read_ranks(vocabulary), pattern)
-        decimals = {i: str(i) for i in codec.transducer.tokens}
+        codec = Codec.of(vocabulary, pattern)
         for batch in batches:
             counts, of_ids, of_bytes, same = [], [], [], []
             for text in texts(batch):
-                ids = codec.encode(text)
+                chunks = codec.chunks(text)
+                ids = list(itertools.chain.from_iterable([c[0] for c in chunks]))
                 counts.append(len(ids))
-                of_ids.append(hashlib.sha256(" ".join([decimals[i] for i in ids]).encode()).hexdigest())
+                of_ids.append(hashlib.sha256(" ".join([c[1] for c in chunks]).encode()).hexdigest())
                 sha, stream, back = hashlib.sha256(), Utf8Stream(), []
                 for chunk in codec.decode_bytes(ids):
                     sha.update(chunk)
