@@ -35,6 +35,7 @@ SEED = 42
 BITS = 4  # fingerprints link at so many different bits, at most
 SHIFTS = (0, 23, 46)
 GENERATOR = 0b110001110101  # of the Golay code
+LARGE = 256
 MOST_NEAREST = 2_048  # fingerprints of a key up to which each also links to its nearest
 CLOSE = 8  # keys with so many fingerprints are compared in one sweep over the batch
 
@@ -118,12 +119,22 @@ def segment_keys(segments: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys, used
 
 
+PAIRS = ((0, 1), (0, 2), (1, 2))
+
+
+def own_keys(fps: np.ndarray) -> np.ndarray:
+    """The three combined keys of the nearest codewords, a row for each fingerprint."""
+    x = fps.view(np.uint64)
+    first = [segment_keys((x >> np.uint64(s)) & np.uint64((1 << 23) - 1))[0][:, 0].astype(np.int64) for s in SHIFTS]
+    return np.stack([(first[i] << 12) | first[j] | (pair << 24) for pair, (i, j) in enumerate(PAIRS)], axis=1)
+
+
 def keys_of(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All combined keys of the fingerprints, and beside each (fingerprint, its place)."""
     x = fps.view(np.uint64)
     parts = [segment_keys((x >> np.uint64(s)) & np.uint64((1 << 23) - 1)) for s in SHIFTS]
     keys, owners = [], []
-    for pair, (i, j) in enumerate(((0, 1), (0, 2), (1, 2))):
+    for pair, (i, j) in enumerate(PAIRS):
         used = parts[i][1][:, :, None] & parts[j][1][:, None, :]
         both = (parts[i][0].astype(np.int64)[:, :, None] << 12) | parts[j][0].astype(np.int64)[:, None, :] | (pair << 24)
         keys.append(both[used])
@@ -155,10 +166,10 @@ def grown(fps: np.ndarray, bits: int) -> list[tuple[int, int]]:
     return links
 
 
-def nearest_links(fps: np.ndarray, bits: int, each: int = 3) -> list[tuple[int, int]]:
-    """Links (places) from every fingerprint to its nearest others."""
+def nearest_links(fps: np.ndarray, places: list[int], bits: int, each: int = 3) -> list[tuple[int, int]]:
+    """Links from the fingerprints at `places` to their nearest others."""
     values, links = fps.view(np.uint64), []
-    for i in range(len(values)):
+    for i in places:
         far = np.bitwise_count(values ^ values[i])
         far[i] = 255
         for j in np.argpartition(far, min(each, len(far) - 1))[:each].tolist():
@@ -170,7 +181,9 @@ def nearest_links(fps: np.ndarray, bits: int, each: int = 3) -> list[tuple[int,
 def links_of(fps: DataFrame, bits: int = BITS, nearest: bool = False) -> DataFrame:
     """u, v: links among rows of (node, fp) that join the same classes as all links would.
 
-    With `nearest`, also links to the nearest in the key, for a check that may reject links.
+    With `nearest` the links are candidates for a check that may reject some: fingerprints also link
+    to their nearest in the keys of their own nearest codewords, and in a key with over LARGE
+    fingerprints only links with one for which the key is such count.
     """
 
     def explode(batches):
@@ -201,8 +214,12 @@ def links_of(fps: DataFrame, bits: int = BITS, nearest: bool = False) -> DataFra
             for k in np.flatnonzero(sizes > CLOSE):
                 part = own[bounds[k] : bounds[k + 1]]
                 more = grown(part, bits)
-                if nearest and more and len(part) <= MOST_NEAREST:
-                    more += nearest_links(part, bits)
+                if nearest and more:
+                    mine = (own_keys(part) == keys[bounds[k]]).any(axis=1)
+                    if len(part) > LARGE:
+                        more = [(a, b) for a, b in more if mine[a] or mine[b]]
+                    if len(part) <= MOST_NEAREST:
+                        more += nearest_links(part, np.flatnonzero(mine).tolist(), bits)
                 if more:
                     pairs = np.array(more, np.int64) + bounds[k]
                     u.append(pairs[:, 0])
@@ -258,19 +275,22 @@ CANDIDATE_BITS = 10
 
 
 def _texts(own: DataFrame) -> DataFrame:
-    """__id, __row, node, fp: the digest of a document's words, and the SimHash of its set of words."""
+    """__id, __row, node, fp, fp2: the digest of a document's words, and two SimHashes of its set of words."""
 
     def sign(batches):
         for batch in batches:
-            nodes, fps = [], []
+            nodes, fps, seconds = [], [], []
             for text in texts(batch):
                 words = text.encode().lower().split()
                 nodes.append(xxhash.xxh3_64_intdigest(b" ".join(words)))
-                fps.append(majority(np.array([xxhash.xxh64_intdigest(w, SEED) for w in set(words)], np.uint64)) if words else 0)
-            columns = [np.array(c, np.uint64).view(np.int64) for c in (nodes, fps)]
-            yield pa.RecordBatch.from_arrays([batch.column("__id"), batch.column("__row"), *map(pa.array, columns)], names=["__id", "__row", "node", "fp"])
+                for found, seed in ((fps, SEED), (seconds, SEED + 1)):
+                    found.append(majority(np.array([xxhash.xxh64_intdigest(w, seed) for w in set(words)], np.uint64)) if words else 0)
+            columns = [np.array(c, np.uint64).view(np.int64) for c in (nodes, fps, seconds)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("__id"), batch.column("__row"), *map(pa.array, columns)], names=["__id", "__row", "node", "fp", "fp2"]
+            )
 
-    return own.select("__id", "__row", "text").mapInArrow(sign, "__id long, __row long, node long, fp long")
+    return own.select("__id", "__row", "text").mapInArrow(sign, "__id long, __row long, node long, fp long, fp2 long")
 
 
 def without_near_copies(docs: DataFrame, *, similar: float = SIMILAR, bits: int = CANDIDATE_BITS) -> DataFrame:
@@ -278,16 +298,19 @@ def without_near_copies(docs: DataFrame, *, similar: float = SIMILAR, bits: int
 
     Documents link if `similar` or more of their five-word shingles (as sets) are common;
     equal word sequences, and so all documents without words, are one from the start. Candidates are
-    found by the SimHash of single words: changed words move it far less than they move
-    five-word shingles (of pairs with a similarity of 0.8 or more over 99 % differ in at most
-    `bits` bits and share a key). Every candidate link is then decided on the shingle sets. In
+    found by two SimHashes of single words: changed words move them far less than they move
+    those of five-word shingles (of pairs with a similarity of 0.8 or more over 99 % differ in at
+    most `bits` bits and share a key of either). Every candidate link is then decided on the shingle sets. In
     a key with many fingerprints the links tried are those of the search and those to the nearest.
     """
     own = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))).withColumn("__row", F.xxhash64("doc_id", "text"))
     signed = written(_texts(own), "near-copies")
-    classes = signed.groupBy("node").agg(F.max("fp").alias("fp"), F.min(F.struct("__id", "__row")).alias("least"))
+    classes = signed.groupBy("node").agg(
+        F.max("fp").alias("fp"), F.max("fp2").alias("fp2"), F.min(F.struct("__id", "__row")).alias("least")
+    )
     classes = written(classes, "near-copy-classes")
-    links = written(links_of(classes, bits, nearest=True), "near-copy-candidates")
+    first, second = (links_of(classes.select("node", F.col(c).alias("fp")), bits, nearest=True) for c in ("fp", "fp2"))
+    links = written(first.union(second).distinct(), "near-copy-candidates")
     nodes = links.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     wanted = classes.join(nodes, "node").select("node", "least.*")
 
