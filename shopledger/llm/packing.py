@@ -19,6 +19,7 @@ gives no rows; other columns are not looked at.
 
 from __future__ import annotations
 
+import array
 import heapq
 import math
 import os
@@ -37,7 +38,8 @@ END = 2
 GROUP_TOKENS = 1 << 19
 FLUSH_TOKENS = 1 << 22  # a group with more (equal ids put all in one) is packed in parts
 TOKENS_A_BYTE = 0.4  # only sets the number of groups
-WORDS = 400_000  # words kept with their ids in a worker
+WORDS = 900_000  # words kept with their ids in a worker
+TAIL = ".,;:!?"
 SPACE = re.compile(r"[ \t-\r]+")
 
 
@@ -144,19 +146,39 @@ class Tokens:
             cls.made[path] = cls(path)
         return cls.made[path]
 
-    def ids(self, text: str) -> np.ndarray:
-        words = SPACE.split(text)
-        known = self.known
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        fresh = {}
+    def _new(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of words that are not known; by their parts, where those are.
+
+        Case does not count for this tokenizer, and punctuation after a letter or digit is a
+        token of its own, so the word without either may be known.
+        """
+        parts, asked = {}, {}
+        for w in words:
+            core = w.rstrip(TAIL)
+            tail = w[len(core) :]
+            if tail and not (core and core[-1].isalnum()):
+                core, tail = w, ""
+            parts[w] = core, tail = core.lower() if core.isascii() else core, tail
+            for p in parts[w]:
+                if p not in self.known:
+                    asked[p] = b""
+        new = list(asked)
         for i in range(0, len(new), 4_096):
             part = new[i : i + 4_096]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                fresh[w] = np.array(e.ids, np.uint16).tobytes()
-        if len(known) < WORDS:
-            known.update(fresh)
-            return np.frombuffer(b"".join([known[w] for w in words]), np.uint16)
-        return np.frombuffer(b"".join([known[w] if w in known else fresh[w] for w in words]), np.uint16)
+            for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                asked[p] = array.array("H", e.ids).tobytes()
+        get = lambda p: asked[p] if p in asked else self.known[p]
+        return asked | {w: get(core) + get(tail) for w, (core, tail) in parts.items()}
+
+    def ids(self, text: str) -> np.ndarray:
+        words = SPACE.split(text)
+        found = list(map(self.known.get, words))
+        if None in found:
+            fresh = self._new({w for w, f in zip(words, found) if f is None})
+            found = [fresh[w] if f is None else f for w, f in zip(words, found)]
+            if len(self.known) < WORDS:
+                self.known.update(fresh)
+        return np.frombuffer(b"".join(found), np.uint16)
 
 
 PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
