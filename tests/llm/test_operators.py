@@ -28,7 +28,7 @@ def rows():
     """Copies, near copies, shared lines and passages, a long text, blanks, nulls and empty texts."""
     rng = random.Random(4)
     passage, line = sentence(rng, 120), "A Common Line of some length"
-    long = "\n".join(sentence(rng, 40) for _ in range(400))
+    long = "\n".join(" ".join(f"{rng.choice(WORDS)}{rng.randint(0, 999)}" for _ in range(40)) for _ in range(400))
     out = [sentence(rng, rng.randint(1, 60)) for _ in range(40)]
     out += [out[3]] * 4 + [out[5] + " tin"] + [out[3].upper()]
     out += [f"{sentence(rng, 8)}\n{line}\n{sentence(rng, 9)}" for _ in range(8)] + ["  a common line OF some length\t\nshort\nshort\n"]
