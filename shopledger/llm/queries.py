@@ -83,8 +83,11 @@ FROM (SELECT l.*, coalesce(k.owner <> l.doc_id, false) AS lost FROM lines l LEFT
 GROUP BY doc_id""",
     # all windows of 400 bytes, as 800 hexadecimal digits
     "op8_suffix_array": """WITH bytes AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-windows AS (SELECT doc_id, s, md5(substr(h, 2 * s + 1, 800)) AS w
-  FROM (SELECT doc_id, h, unnest(range(greatest(length(h) // 2 - 399, 0))) AS s FROM bytes)),
+counted AS (SELECT doc_id, h, greatest(length(h) // 2 - 399, 0) AS n FROM bytes),
+parts AS (SELECT doc_id, n, c, substr(h, 4096 * c + 1, 4896) AS part
+  FROM (SELECT doc_id, h, n, unnest(range((n + 2047) // 2048)) AS c FROM counted)),
+windows AS (SELECT doc_id, 2048 * c + j AS s, md5(substr(part, 2 * j + 1, 800)) AS w
+  FROM (SELECT doc_id, c, part, unnest(range(least(2048, n - 2048 * c))) AS j FROM parts)),
 starts AS (SELECT doc_id, s FROM windows WHERE w IN (SELECT w FROM windows GROUP BY w HAVING count(*) > 1)),
 islands AS (SELECT doc_id, s, sum(fresh) OVER (PARTITION BY doc_id ORDER BY s) AS n
   FROM (SELECT doc_id, s, CASE WHEN s - lag(s) OVER (PARTITION BY doc_id ORDER BY s) <= 400 THEN 0 ELSE 1 END AS fresh FROM starts)),
