@@ -35,8 +35,6 @@ SEED = 42
 BITS = 4  # fingerprints link at so many different bits, at most
 SHIFTS = (0, 23, 46)
 GENERATOR = 0b110001110101  # of the Golay code
-LARGE = 256
-MOST_NEAREST = 2_048  # fingerprints of a key up to which each also links to its nearest
 CLOSE = 8  # keys with so many fingerprints are compared in one sweep over the batch
 
 
@@ -122,13 +120,6 @@ def segment_keys(segments: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 PAIRS = ((0, 1), (0, 2), (1, 2))
 
 
-def own_keys(fps: np.ndarray) -> np.ndarray:
-    """The three combined keys of the nearest codewords, a row for each fingerprint."""
-    x = fps.view(np.uint64)
-    first = [segment_keys((x >> np.uint64(s)) & np.uint64((1 << 23) - 1))[0][:, 0].astype(np.int64) for s in SHIFTS]
-    return np.stack([(first[i] << 12) | first[j] | (pair << 24) for pair, (i, j) in enumerate(PAIRS)], axis=1)
-
-
 def keys_of(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All combined keys of the fingerprints, and beside each (fingerprint, its place)."""
     x = fps.view(np.uint64)
@@ -166,25 +157,8 @@ def grown(fps: np.ndarray, bits: int) -> list[tuple[int, int]]:
     return links
 
 
-def nearest_links(fps: np.ndarray, places: list[int], bits: int, each: int = 3) -> list[tuple[int, int]]:
-    """Links from the fingerprints at `places` to their nearest others."""
-    values, links = fps.view(np.uint64), []
-    for i in places:
-        far = np.bitwise_count(values ^ values[i])
-        far[i] = 255
-        for j in np.argpartition(far, min(each, len(far) - 1))[:each].tolist():
-            if far[j] <= bits:
-                links.append((i, j))
-    return links
-
-
-def links_of(fps: DataFrame, bits: int = BITS, nearest: bool = False) -> DataFrame:
-    """u, v: links among rows of (node, fp) that join the same classes as all links would.
-
-    With `nearest` the links are candidates for a check that may reject some: fingerprints also link
-    to their nearest in the keys of their own nearest codewords, and in a key with over LARGE
-    fingerprints only links with one for which the key is such count.
-    """
+def links_of(fps: DataFrame, bits: int = BITS) -> DataFrame:
+    """u, v: links among rows of (node, fp) that join the same classes as all links would."""
 
     def explode(batches):
         for batch in batches:
@@ -214,12 +188,6 @@ def links_of(fps: DataFrame, bits: int = BITS, nearest: bool = False) -> DataFra
             for k in np.flatnonzero(sizes > CLOSE):
                 part = own[bounds[k] : bounds[k + 1]]
                 more = grown(part, bits)
-                if nearest and more:
-                    mine = (own_keys(part) == keys[bounds[k]]).any(axis=1)
-                    if len(part) > LARGE:
-                        more = [(a, b) for a, b in more if mine[a] or mine[b]]
-                    if len(part) <= MOST_NEAREST:
-                        more += nearest_links(part, np.flatnonzero(mine).tolist(), bits)
                 if more:
                     pairs = np.array(more, np.int64) + bounds[k]
                     u.append(pairs[:, 0])
@@ -271,46 +239,159 @@ def as_hex(fp):
 
 SIMILAR = 0.8  # share of common five-word shingles from which documents are near copies
 SIMILAR_WORDS = 5
-CANDIDATE_BITS = 10
+BANDS, BAND_ROWS = 32, 4  # of two sets that share 0.8 of their shingles 5 in 10^8 pairs have no band in common
+BLOCK = 512  # documents of one side of a cell, on average
+
+
+@functools.cache
+def _mixers() -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(SEED)
+    return tuple(rng.integers(0, 1 << 64, BANDS * BAND_ROWS, dtype=np.uint64) for _ in range(2))
+
+
+def band_keys(hashes: np.ndarray) -> np.ndarray:
+    """A key of each band: the smallest values of BAND_ROWS random orders of the hashes, which must not be empty."""
+    flips, factors = _mixers()
+    least = np.full(len(flips), np.iinfo(np.uint64).max, np.uint64)
+    for i in range(0, len(hashes), 4_096):
+        mixed = (hashes[i : i + 4_096, None] ^ flips) * (factors | np.uint64(1))
+        mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        np.minimum(least, mixed.min(axis=0), out=least)
+    rows = least.reshape(BANDS, BAND_ROWS)
+    return np.array([xxhash.xxh3_64_intdigest(row.tobytes(), band) for band, row in enumerate(rows)], np.uint64).view(np.int64)
 
 
 def _texts(own: DataFrame) -> DataFrame:
-    """__id, __row, node, fp, fp2: the digest of a document's words, and two SimHashes of its set of words."""
+    """__id, __row, node, fp, keys: the digest of a document's words, its SimHash, the band keys of its five-word shingles."""
 
     def sign(batches):
         for batch in batches:
-            nodes, fps, seconds = [], [], []
+            nodes, fps, keys = [], [], []
             for text in texts(batch):
-                words = text.encode().lower().split()
-                nodes.append(xxhash.xxh3_64_intdigest(b" ".join(words)))
-                for found, seed in ((fps, SEED), (seconds, SEED + 1)):
-                    found.append(majority(np.array([xxhash.xxh64_intdigest(w, seed) for w in set(words)], np.uint64)) if words else 0)
-            columns = [np.array(c, np.uint64).view(np.int64) for c in (nodes, fps, seconds)]
+                nodes.append(xxhash.xxh3_64_intdigest(b" ".join(text.encode().lower().split())))
+                fps.append(fingerprint(text))
+                found = shingles(text, SIMILAR_WORDS)
+                keys.append(band_keys(np.unique(np.array(found, np.uint64))) if found else np.empty(0, np.int64))
+            columns = [np.array(c, np.uint64).view(np.int64) for c in (nodes, fps)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("__id"), batch.column("__row"), *map(pa.array, columns)], names=["__id", "__row", "node", "fp", "fp2"]
+                [batch.column("__id"), batch.column("__row"), *map(pa.array, columns), pa.array(keys, pa.list_(pa.int64()))],
+                names=["__id", "__row", "node", "fp", "keys"],
             )
 
-    return own.select("__id", "__row", "text").mapInArrow(sign, "__id long, __row long, node long, fp long, fp2 long")
+    return own.select("__id", "__row", "text").mapInArrow(sign, "__id long, __row long, node long, fp long, keys array<long>")
+
+
+def _shared(classes: DataFrame) -> DataFrame:
+    """key, node, leader, n: the band keys that several nodes have; of keys with the same nodes one."""
+    keyed = classes.select(F.explode("keys").alias("key"), "node")
+    several = (
+        keyed.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("mark"))
+        .filter("n > 1").groupBy("leader", "n", "mark").agg(F.min("key").alias("key")).drop("mark")
+    )
+    return keyed.join(written(several, "near-copy-bands"), "key")
+
+
+def walked(sets: list[np.ndarray], parts: list[int], held: list[bool], similar: float) -> list[tuple[int, int]]:
+    """Links (places) of sets that share `similar` or more, as many as join what all such links would join.
+
+    Sets of one part are known to be joined; between two that are `held` nothing is tested.
+    """
+    sizes = np.array([len(s) for s in sets])
+    names, numbers = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.cumsum(sizes) - sizes
+    part, held = np.unique(parts, return_inverse=True)[1], np.array(held)
+    flags, links = np.zeros(len(names), np.int64), []
+    for i in np.flatnonzero(~held).tolist():
+        at = numbers[starts[i] : starts[i] + sizes[i]]
+        flags[at] = 1
+        common = np.add.reduceat(flags[numbers], starts)
+        flags[at] = 0
+        for j in np.flatnonzero((common >= similar * (sizes + sizes[i] - common)) & (part != part[i])).tolist():
+            if part[j] != part[i]:
+                links.append((i, j))
+                part[part == part[j]] = part[i]
+    return links
+
+
+def _walks(shared: DataFrame, roots: DataFrame, sets: DataFrame, similar: float, block: int) -> DataFrame:
+    """u, v: links between nodes of one key that the links found so far do not join.
+
+    The nodes of a key fall into parts that are joined. Those outside the largest part (loose) are tested against all
+    others, and so each pair of nodes from two parts once or more: a grid of cells (blocks of loose nodes by blocks
+    of the largest part, and blocks of loose nodes by one another), of bounded size each.
+    """
+    placed = written(
+        shared.filter("n > 2").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("part")), "near-copy-parts"
+    )
+    parts = placed.groupBy("key", "part").agg(F.count("*").alias("n"))
+    parts = parts.groupBy("key").agg(F.count("*").alias("parts"), F.sum("n").alias("n"), F.max(F.struct("n", "part")).alias("most"))
+    many = parts.filter("parts > 1").select(
+        "key", F.col("most.part").alias("held"), F.ceil(F.col("most.n") / block).cast("int").alias("hs"),
+        F.ceil((F.col("n") - F.col("most.n")) / block).cast("int").alias("ls"),
+    )
+    held = F.col("part") == F.col("held")
+    dealt = lambda by: F.pmod(F.xxhash64("node"), F.col(by)).cast("int")
+    numbers = lambda by: F.sequence(F.lit(0), F.col(by) - 1)
+    own = dealt("ls")
+    # a cell is (block of loose nodes, block of the largest part) or (block of loose nodes, -1 - block of loose nodes)
+    with_held = F.transform(numbers("hs"), lambda h: F.struct(own.alias("a"), h.alias("b")))
+    with_loose = F.transform(numbers("ls"), lambda x: F.struct(F.least(own, x).alias("a"), (-1 - F.greatest(own, x)).alias("b")))
+    of_held = F.transform(numbers("ls"), lambda x: F.struct(x.alias("a"), dealt("hs").alias("b")))
+    cells = (
+        placed.join(written(many, "near-copy-open"), "key")
+        .select("key", "node", "part", held.alias("held"), F.explode(F.when(held, of_held).otherwise(F.concat(with_held, with_loose))).alias("cell"))
+        .select("key", "cell.a", "cell.b", "node", "part", "held")
+    )
+
+    def walk(batches):
+        now, rows = None, []
+
+        def found():
+            if len(rows) < 2:
+                return None
+            links = walked([r[1] for r in rows], [r[2] for r in rows], [r[3] for r in rows], similar)
+            return arrow_rows({"u": (pa.int64(), [rows[i][0] for i, _ in links]), "v": (pa.int64(), [rows[j][0] for _, j in links])})
+
+        for batch in batches:
+            keys = zip(*(batch.column(c).to_pylist() for c in ("key", "a", "b")))
+            column = batch.column("shingles")
+            flat, bounds = column.flatten().to_numpy(), column.offsets.to_numpy()
+            bounds = bounds - bounds[0]
+            sides = zip(*(batch.column(c).to_pylist() for c in ("node", "part", "held")))
+            for i, (key, (node, part, side)) in enumerate(zip(keys, sides)):
+                if key != now:
+                    if (out := found()) is not None:
+                        yield out
+                    now, rows = key, []
+                rows.append((node, flat[bounds[i] : bounds[i + 1]].copy(), part, side))
+        if (out := found()) is not None:
+            yield out
+
+    return (
+        cells.join(sets, "node").repartition("key", "a", "b").sortWithinPartitions("key", "a", "b")
+        .select("key", "a", "b", "node", "part", "held", "shingles").mapInArrow(walk, "u long, v long")
+    )
 
 
-def without_near_copies(docs: DataFrame, *, similar: float = SIMILAR, bits: int = CANDIDATE_BITS) -> DataFrame:
+def without_near_copies(docs: DataFrame, *, similar: float = SIMILAR, block: int = BLOCK) -> DataFrame:
     """docs with one document, that with the smallest id, of each group of near copies; all columns stay.
 
     Documents link if `similar` or more of their five-word shingles (as sets) are common;
-    equal word sequences, and so all documents without words, are one from the start. Candidates are
-    found by two SimHashes of single words: changed words move them far less than they move
-    those of five-word shingles (of pairs with a similarity of 0.8 or more over 99 % differ in at
-    most `bits` bits and share a key of either). Every candidate link is then decided on the shingle sets. In
-    a key with many fingerprints the links tried are those of the search and those to the nearest.
+    equal word sequences, and so all documents without words, are one from the start. Candidates are the links of
+    near SimHashes and the documents that share a band key: the smallest values of the shingles in
+    random orders, so that only the share of common shingles counts and not the kind of edit. Every candidate is
+    decided on the shingle sets: first the SimHash links and those of each document with the first of its key,
+    then, in keys whose documents these do not join, all pairs of documents that are still apart.
     """
     own = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))).withColumn("__row", F.xxhash64("doc_id", "text"))
     signed = written(_texts(own), "near-copies")
     classes = signed.groupBy("node").agg(
-        F.max("fp").alias("fp"), F.max("fp2").alias("fp2"), F.min(F.struct("__id", "__row")).alias("least")
+        F.max("fp").alias("fp"), F.max("keys").alias("keys"), F.min(F.struct("__id", "__row")).alias("least")
     )
     classes = written(classes, "near-copy-classes")
-    first, second = (links_of(classes.select("node", F.col(c).alias("fp")), bits, nearest=True) for c in ("fp", "fp2"))
-    links = written(first.union(second).distinct(), "near-copy-candidates")
+    shared = written(_shared(classes), "near-copy-keys")
+    first = shared.filter("node != leader").select(F.col("node").alias("u"), F.col("leader").alias("v"))
+    links = written(first.union(links_of(classes.select("node", "fp"))).distinct(), "near-copy-candidates")
     nodes = links.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     wanted = classes.join(nodes, "node").select("node", "least.*")
 
@@ -330,7 +411,9 @@ def without_near_copies(docs: DataFrame, *, similar: float = SIMILAR, bits: int
     )
     common = F.size(F.array_intersect("a", "b"))
     decided = both.filter(common >= F.lit(similar) * (F.size("a") + F.size("b") - common)).select("u", "v")
-    roots = components(decided, "near-copy-links")
+    decided = written(decided, "near-copy-decided")
+    more = written(_walks(shared, components(decided, "near-copy-links"), gathered, similar, block), "near-copy-walks")
+    roots = components(decided.union(more), "near-copy-links")
     named = classes.join(roots, "node", "left").select(F.coalesce("root", "node").alias("root"), "least")
     kept = written(named.groupBy("root").agg(F.min("least").alias("least")).select("least.*"), "near-copy-kept")
     return own.join(kept, ["__id", "__row"], "left_semi").dropDuplicates(["__id", "__row"]).select(*docs.columns)

@@ -196,6 +196,50 @@ def test_near_copies(docs, rows):
     assert kept == {find(i) for i in sets}
 
 
+def linked(texts, similar=0.8):
+    """Smallest number of each text's group by all pairs of shingle sets."""
+    sets = [frozenset(golay.shingles(t, 5)) for t in texts]
+    root = list(range(len(sets)))
+
+    def find(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            common = len(a & sets[j])
+            if common >= similar * (len(a) + len(sets[j]) - common):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    return [find(i) for i in range(len(sets))]
+
+
+def test_near_copies_of_a_template(spark):
+    """Texts of one frame with parts of their own: each is like few of the others."""
+    rng = random.Random(11)
+    word = lambda: f"w{rng.randint(0, 10**6)}"
+    frame, texts = [word() for _ in range(150)], []
+    for _ in range(60):
+        at, own = rng.randrange(100), [word() for _ in range(30)]
+        family = frame[:at] + own + frame[at + 20 :]
+        for _ in range(5):
+            member = list(family)
+            for _ in range(rng.randint(0, 3)):
+                member[rng.randrange(len(member))] = word()
+            texts.append(" ".join(member))
+    for _ in range(40):  # the same words in other orders: near in words, far in shingles, but for the copy of each
+        rng.shuffle(frame)
+        texts += [" ".join(frame), " ".join(frame + [word() for _ in range(30)])]
+    rng.shuffle(texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    want = set(linked(texts))
+    assert 50 < len(want) < 240
+    for block in (512, 7):
+        assert {r.doc_id for r in golay.without_near_copies(df, block=block).collect()} == want
+
+
 def test_order_minhash(docs, rows, empty, odd):
     got = {r.doc_id: r for r in order_minhash.compared(docs).collect()}
     text = {i: t or "" for i, t in rows}
