@@ -240,6 +240,30 @@ def test_near_copies_of_a_template(spark):
         assert {r.doc_id for r in golay.without_near_copies(df, block=block).collect()} == want
 
 
+def test_near_copies_of_every_edit(spark):
+    """Pairs just above the limit, by kind of edit."""
+    rng = random.Random(12)
+    word = lambda: f"w{rng.randint(0, 10**6)}"
+    texts = []
+    for kind in ("append", "cut", "block", "scattered"):
+        for _ in range(100):
+            a = [word() for _ in range(200)]
+            b = list(a)
+            if kind == "append":
+                b += [word() for _ in range(48)]
+            elif kind == "cut":
+                b = b[:162]
+            elif kind == "block":
+                b[80:97] = [word() for _ in range(17)]
+            else:
+                for i in rng.sample(range(2, 40), 4):
+                    b[5 * i] = word()
+            texts += [" ".join(a), " ".join(b)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    assert linked(texts) == [i - i % 2 for i in range(len(texts))]
+    assert {r.doc_id for r in golay.without_near_copies(df).collect()} == set(range(0, len(texts), 2))
+
+
 def test_order_minhash(docs, rows, empty, odd):
     got = {r.doc_id: r for r in order_minhash.compared(docs).collect()}
     text = {i: t or "" for i, t in rows}
