@@ -40,7 +40,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Bytes of passages of 400 bytes that occur twice."""
+    """Passages of more than 50 words, and passages of 400 bytes, that occur twice go at every place."""
     tune(spark)
     return _counted(suffixes.without_repeated_passages(docs))
 

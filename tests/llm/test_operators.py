@@ -119,6 +119,25 @@ def test_passages(docs, rows, empty, odd):
     assert suffixes.without_repeated_passages(docs).columns == docs.columns
 
 
+def test_passages_of_few_bytes(spark):
+    """Repeated stretches of 51 to 60 words go, whatever their bytes and white space; those of 50 words stay."""
+    rng = random.Random(9)
+    word = lambda: f"{rng.randint(0, 10**5)}"
+    rows, want = [], []
+    for n in (20, 50, 51, 52, 55, 60):
+        passage = [word() for _ in range(n)]
+        assert len(" ".join(passage)) < 400
+        for glue in (" ", "\n", "  "):
+            head, tail = " ".join(word() for _ in range(30)), " ".join(word() for _ in range(20))
+            rows.append((len(rows), f"{head} {glue.join(passage)} {tail}"))
+            want.append(f"{head}  {tail}" if n > 50 else rows[-1][1])
+    rows.append((len(rows), None))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for hot, bucket in ((1 << 20, 1 << 19), (900, 3000)):
+        got = {r.doc_id: r.text for r in suffixes.without_repeated_passages(df, hot_bytes=hot, bucket_bytes=bucket).collect()}
+        assert [got[i] for i in range(len(want))] == want and got[len(want)] is None
+
+
 def test_twins_are_two_documents(spark):
     text = " ".join(f"w{i}" for i in range(200))
     df = spark.createDataFrame([(1, text), (1, text), (None, "x" + text[:300])], "doc_id long, text string")
