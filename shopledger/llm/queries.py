@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from shopledger.llm import byte_bpe, golay, language, lines, neighbours, order_minhash, packing, sharding, suffixes, toxicity
+from shopledger.llm import byte_bpe, golay, language, lines, manifest, neighbours, order_minhash, packing, sharding, suffixes, toxicity
 from shopledger.llm.common import table
 from shopledger.session import tune
 
@@ -62,15 +62,21 @@ def op10_golay_simhash(spark, folder):
     return found.select("doc_id", golay.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op11_merkle_manifest(spark, folder):
+    tune(spark)
+    return manifest.manifest(table(spark, folder, "documents")).drop("proof")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_line_dedup, op3_order_minhash, op4_language, op5_byte_bpe, op6_neighbours, op7_packing, op8_suffix_array,
-        op9_sharding, op10_golay_simhash,
+        op9_sharding, op10_golay_simhash, op11_merkle_manifest,
     )
 }
 
 STATEMENTS: dict[str, str] = {
+    "op11_merkle_manifest": manifest.SQL,
     "op2_line_dedup": """WITH lines AS (
   SELECT doc_id, i, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key

