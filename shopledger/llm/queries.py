@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from shopledger.llm import byte_bpe, golay, language, lines, manifest, neighbours, order_minhash, packing, sharding, suffixes, token_files, toxicity
+from shopledger.llm import byte_bpe, golay, language, lines, manifest, neighbours, order_minhash, packing, sharding, suffixes, token_files, toxicity, whitening
 from shopledger.llm.common import table
 from shopledger.session import tune
 
@@ -67,6 +67,11 @@ def op11_merkle_manifest(spark, folder):
     return manifest.manifest(table(spark, folder, "documents")).drop("proof")
 
 
+def op12_whitening(spark, folder):
+    tune(spark)
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
 def op13_token_files(spark, folder):
     tune(spark)
     return token_files.digests(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -76,7 +81,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_line_dedup, op3_order_minhash, op4_language, op5_byte_bpe, op6_neighbours, op7_packing, op8_suffix_array,
-        op9_sharding, op10_golay_simhash, op11_merkle_manifest, op13_token_files,
+        op9_sharding, op10_golay_simhash, op11_merkle_manifest, op12_whitening, op13_token_files,
     )
 }
 
