@@ -10,8 +10,11 @@ too, and no task holds a whole shard.
 
 Law `rows`: shard sizes differ by one at most. Only ids, sizes and checksums are moved, never texts.
 
+A row's random numbers are hashes of where it was read, written before they are used, so rows that are equal
+in all columns fall apart like any others. The same files read in the same parts give the same shuffle.
+
 Defined results: a null text has size 1 (0 bytes plus 1) and the checksum of the empty text; null
-and repeated ids are rows like any other; an empty table gives an empty result; other columns of
+and repeated ids and equal rows are rows like any other; an empty table gives an empty result; other columns of
 the input are not looked at, so their names cannot clash.
 """
 
@@ -121,8 +124,10 @@ def shard_documents(docs: DataFrame, shards: int = 8, seed: int = 42, *, block_r
         F.col("doc_id"),
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")).alias("draw"),
+        F.monotonically_increasing_id().alias("row"),
     )
+    # by where a row was read: equal rows are rows like any other
+    keys = keys.withColumn("draw", F.xxhash64(F.lit(seed), F.col("row"), F.col("text_crc32")))
     placed = shuffled_shards(written(keys, "shard-keys"), shards, seed, block_rows=block_rows)
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard"), "slot",
