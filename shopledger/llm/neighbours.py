@@ -11,6 +11,9 @@ vectors or queries is cut into a grid of salted cells by its measured size. In a
 come first and vectors stream past them; only the best k of each query and cell leave it. Of equal
 vectors only the k + 1 smallest ids are candidates, which is exact: ties go to the smaller id.
 
+A query that has met fewer than k vectors, though there are more of its length, asks for all cells of one
+table, which hold every vector; so few candidates come back whole.
+
 Defined results: vectors that are null or zero, or hold a null or a non-finite component, take no
 part; vectors of different length never meet; a query is no candidate of its own id; repeated rows of
 an id give its neighbours once; null ids take no part; an empty table gives no rows; other
@@ -134,13 +137,40 @@ def nearest(
     probes: int = PROBES, functions: int = FUNCTIONS, seed: int = SEED, cell_vectors: int = CELL_VECTORS, cell_queries: int = CELL_QUERIES,
 ) -> DataFrame:
     """query_id, rank, vec_id, score (Euclidean distance): the k nearest found of each row that `query` picks."""
-    spark = vectors.sparkSession
     own = usable(vectors, key, vector)
     picked = usable(vectors.filter(query), key, vector).distinct()
     same = Window.partitionBy("vector").orderBy("id")
     base = own.distinct().withColumn("place", F.row_number().over(same)).filter(F.col("place") <= k + 1).drop("place")
     base = written(hashed(base, 1, tables, functions, seed), "neighbours-base")
     asked = written(hashed(picked, probes, tables, functions, seed), "neighbours-queries")
+    found = written(best_of(met(base, asked, k, cell_vectors, cell_queries), k), "neighbours-found")
+    # queries that met too few vectors, though there are more of their length: all cells of one table hold all of them
+    there = base.groupBy(F.size("vector").alias("length")).agg(F.count("*").alias("n"))
+    had = found.groupBy("query_id").agg(F.count("*").alias("had"))
+    short = (
+        asked.join(had, asked["id"] == had["query_id"], "left").withColumn("length", F.size("vector")).join(there, "length")
+        .filter(F.coalesce("had", F.lit(0)) < F.least(F.lit(k), F.col("n") - 1)).select("id", "vector", "length")
+    )
+    axes = F.lit(1)
+    for _ in range(functions):
+        axes = axes * 2 * F.pow(2.0, F.ceil(F.log2("length"))).cast("long")
+    every = F.transform(F.sequence(F.lit(0).cast("long"), axes - 1), lambda c: c * 65_521 + F.col("length"))
+    short = written(short.select("id", "vector", every.alias("cells")), "neighbours-short")
+    if not short.isEmpty():
+        one = base.withColumn("cells", F.slice("cells", 1, 1))
+        found = best_of(found.select("query_id", "vec_id", "square").union(met(one, short, k, cell_vectors, cell_queries)), k)
+    return found.select("query_id", "rank", "vec_id", F.sqrt("square").alias("score"))
+
+
+def best_of(pairs: DataFrame, k: int) -> DataFrame:
+    """query_id, vec_id, square, rank: the k nearest of each query; a pair may come more than once."""
+    ranked = Window.partitionBy("query_id").orderBy("square", "vec_id")
+    once = pairs.groupBy("query_id", "vec_id").agg(F.min("square").alias("square"))
+    return once.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)
+
+
+def met(base: DataFrame, asked: DataFrame, k: int, cell_vectors: int, cell_queries: int) -> DataFrame:
+    """query_id, vec_id, square: the k nearest vectors of each query in every cell that both are in."""
 
     def counted(rows: DataFrame, name: str) -> DataFrame:
         return rows.select(F.explode("cells").alias("cell")).groupBy("cell").agg(F.count("*").alias(name))
@@ -200,13 +230,7 @@ def nearest(
         if (out := result()) is not None:
             yield out
 
-    found = (
+    return (
         left.union(right).repartition("cell", "a", "b").sortWithinPartitions("cell", "a", "b", "kind")
         .mapInArrow(rerank, "query_id long, vec_id long, square double")
-        .groupBy("query_id", "vec_id").agg(F.min("square").alias("square"))
-    )
-    ranked = Window.partitionBy("query_id").orderBy("square", "vec_id")
-    return (
-        found.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", F.sqrt("square").alias("score"))
     )
