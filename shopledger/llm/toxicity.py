@@ -18,8 +18,9 @@ Three quarters give counts and a quarter calibrates.
 
 Defined results: null and empty texts have no token and get the score of no evidence; a label row
 with a null in it is left out; of several labels of one document the largest holds; repeated
-documents are scored each; other columns are not looked at. Without both labels the score is the
-share of toxic labels (0 without labels).
+documents are scored each; other columns are not looked at. Labels of documents that are not in the table
+count for nothing, but where the labelled documents are not of both kinds: then every score is a share of
+all labels (see `learn`; 0 without labels). Without calibration rows no evidence means the toxic share.
 """
 
 from __future__ import annotations
@@ -148,13 +149,22 @@ def labelled_rows(labels: DataFrame, label: str, most: int) -> DataFrame:
 
 
 def learn(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", most: int = LABELLED_ROWS) -> Model | float:
-    """The model from all rows of `labels` (at most about `most`); a plain share without both labels."""
+    """The model from all rows of `labels` (at most about `most`) whose documents are there.
+
+    Where these are not of both kinds, a plain share: of toxic rows among all labels and two clean ones more,
+    so that few labels call no text toxic.
+    """
     chosen = labelled_rows(labels, label, most)
-    totals = {r["y"] > 0: r["n"] for r in chosen.groupBy((F.col("y") > 0).cast("int").alias("y")).agg(F.count("*").alias("n")).collect()}
-    if len(totals) < 2:
-        return float(bool(totals.get(True)))
+
+    def kinds(rows: DataFrame) -> dict[bool, int]:
+        return {r["y"] > 0: r["n"] for r in rows.groupBy((F.col("y") > 0).cast("int").alias("y")).agg(F.count("*").alias("n")).collect()}
+
     # at most about `most` rows of two numbers: a bounded broadcast, and no text is shuffled
     marked = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    totals = kinds(marked)
+    if len(totals) < 2:
+        told = kinds(chosen)
+        return told.get(True, 0) / (sum(told.values()) + 2)
     quarter = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(4)) == 0
 
     def count(batches):
@@ -217,17 +227,18 @@ def learn(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", most: int
         held.mapInArrow(bins, "bin int, y int").groupBy("bin")
         .agg(F.sum((F.col("y") > 0).cast("int")).alias("t"), F.count("*").alias("n")).collect()
     )
-    model.curve = logistic([(r["bin"] * BIN, r["t"], r["n"]) for r in held_bins])
+    model.curve = logistic([(r["bin"] * BIN, r["t"], r["n"]) for r in held_bins], totals[True] / (totals[True] + totals[False]))
     return model
 
 
-def logistic(points: list[tuple[float, int, int]]) -> tuple[float, float]:
+def logistic(points: list[tuple[float, int, int]], share: float) -> tuple[float, float]:
     """Slope and offset of the likeliest curve through (x, hits, trials), slope held above zero.
 
-    A small quadratic penalty keeps the slope finite where the classes do not overlap.
+    A small quadratic penalty keeps the slope finite where the classes do not overlap. Without points the
+    curve gives `share` where there is no evidence.
     """
     if not points:
-        return 1.0, 0.0
+        return 1.0, math.log(share / (1 - share))
     x, hits, n = (np.array(c, float) for c in zip(*points))
     x = np.clip(x, -20, 20)
     beta = np.array([0.5, 0.0])
