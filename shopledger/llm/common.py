@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +24,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def on_own_columns(work: Callable[[DataFrame], DataFrame], docs: DataFrame) -> DataFrame:
+    """work on (doc_id, text, others): all other columns lie in one struct meanwhile, so no name of theirs can clash."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    held = F.struct(*[docs[f"`{c}`"].alias(f"c{i}") for i, c in enumerate(others)]) if others else F.lit(None).cast("string")
+    done = work(docs.select("doc_id", "text", held.alias("others")))
+    back = {c: F.col(f"others.c{i}").alias(c) for i, c in enumerate(others)}
+    return done.select(*[back.get(c, F.col(c)) for c in docs.columns])
+
+
 def remainder(key: Column, by: int) -> Column:
     """crc32 of the key as decimal text, modulo by; a null key counts as the empty text."""
     return F.pmod(F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")), F.lit(by))

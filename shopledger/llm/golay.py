@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopledger.llm.common import arrow_rows, texts, written
+from shopledger.llm.common import arrow_rows, on_own_columns, texts, written
 from shopledger.llm.components import components
 
 WORDS = 4
@@ -383,6 +383,10 @@ def without_near_copies(docs: DataFrame, *, similar: float = SIMILAR, block: int
     decided on the shingle sets: first the SimHash links and those of each document with the first of its key,
     then, in keys whose documents these do not join, all pairs of documents that are still apart.
     """
+    return on_own_columns(lambda own: _near_copies_out(own, similar, block), docs)
+
+
+def _near_copies_out(docs: DataFrame, similar: float, block: int) -> DataFrame:
     own = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))).withColumn("__row", F.xxhash64("doc_id", "text"))
     signed = written(_texts(own), "near-copies")
     classes = signed.groupBy("node").agg(

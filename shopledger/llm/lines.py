@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopledger.llm.common import arrow_rows, texts, written
+from shopledger.llm.common import arrow_rows, on_own_columns, texts, written
 
 BLANK = b" \t\n\x0b\x0c\r"
 LEAST = 10  # code points of a key that counts
@@ -253,14 +253,17 @@ def line_digests(docs: DataFrame, *, shard_keys: int = SHARD_KEYS, shard_probes:
             })
 
     return (
-        _decided(docs, shard_keys, shard_probes).select(F.col("doc_id").cast("long").alias("doc_id"), "text", "__drop")
+        _decided(docs.select("doc_id", "text"), shard_keys, shard_probes).select(F.col("doc_id").cast("long").alias("doc_id"), "text", "__drop")
         .mapInArrow(digest, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
     )
 
 
 def without_repeated_lines(docs: DataFrame, *, shard_keys: int = SHARD_KEYS, shard_probes: int = SHARD_PROBES) -> DataFrame:
     """docs with the lines taken out of `text`; all other columns stay."""
+    return on_own_columns(lambda own: _repeated_lines_out(own, shard_keys, shard_probes), docs)
 
+
+def _repeated_lines_out(docs: DataFrame, shard_keys: int, shard_probes: int) -> DataFrame:
     @F.pandas_udf("string")
     def kept(text: pd.Series, drop: pd.Series) -> pd.Series:
         return pd.Series(["\n".join(kept_lines(t, d)[0]) for t, d in zip(text, drop)], dtype=object)

@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopledger.llm.common import arrow_rows, texts, written
+from shopledger.llm.common import arrow_rows, on_own_columns, texts, written
 
 WIDTH = 400
 K = 128
@@ -449,7 +449,7 @@ def passage_digests(docs: DataFrame, *, bucket_bytes: int = BUCKET_BYTES, hot_by
             yield arrow_rows(ids | {c: (k, [o[i] for o in out]) for i, (c, k) in enumerate(kinds.items())})
 
     return (
-        _marked(docs, bucket_bytes, hot_bytes).select(F.col("doc_id").cast("long").alias("doc_id"), "text", "__spans")
+        _marked(docs.select("doc_id", "text"), bucket_bytes, hot_bytes).select(F.col("doc_id").cast("long").alias("doc_id"), "text", "__spans")
         .mapInArrow(digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     )
 
@@ -464,7 +464,10 @@ def byte_spans(data: bytes, spans) -> list[dict]:
 
 def without_repeated_passages(docs: DataFrame, *, bucket_bytes: int = BUCKET_BYTES, hot_bytes: int = HOT_BYTES) -> DataFrame:
     """docs with the repeated passages of WIDTH bytes, and those of more than 50 words, taken out of `text`; all other columns stay."""
+    return on_own_columns(lambda own: _repeated_passages_out(own, bucket_bytes, hot_bytes), docs)
 
+
+def _repeated_passages_out(docs: DataFrame, bucket_bytes: int, hot_bytes: int) -> DataFrame:
     @F.pandas_udf("string")
     def kept(text: pd.Series, starts: pd.Series, stops: pd.Series, sizes: pd.Series) -> pd.Series:
         out = []
