@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shopledger.session import written
+
 GRAM = 3
+# Places of a letter group that are joined in one task, as long as few groups have more.
+LEAST_PLACES, HOT_GROUPS = 50_000, 4_096
 
 
 def point_lookup(requests: DataFrame, catalog: DataFrame) -> DataFrame:
@@ -14,51 +20,63 @@ def point_lookup(requests: DataFrame, catalog: DataFrame) -> DataFrame:
     return looked_up.withColumn("found", F.col("id").isNotNull()).drop("id")
 
 
-def _haystacks() -> tuple[Column, Column]:
-    return F.lower(F.col("name")), F.lower(F.col("description"))
+def _places(text: Column, size: int) -> Column:
+    """(gram, place) of every letter group of a text, in lower case."""
+    starts = F.sequence(F.lit(0), F.length(text) - size)
+    every = F.transform(starts, lambda i: F.struct(F.substring(text, i + 1, F.lit(size)).alias("gram"), i.alias("place")))
+    return F.when(F.length(text) >= size, every)
 
 
-def _grams(text: Column, size: Column | int) -> Column:
-    size = F.lit(size) if isinstance(size, int) else size
-    starts = F.sequence(F.lit(1), F.length(text) - size + 1)
-    grams = F.transform(starts, lambda i: F.substring(text, i, size))
-    return F.when(F.length(text) >= size, F.array_distinct(grams)).otherwise(
-        F.array().cast("array<string>")
-    )
-
-
-def search_products(terms: DataFrame, catalog: DataFrame) -> DataFrame:
+def search_products(terms: DataFrame, catalog: DataFrame, *, places: int = LEAST_PLACES) -> DataFrame:
     """(query, id, name): products whose name or description contains the text, ignoring case.
 
-    Texts are literal ('%' and '_' mean themselves); the empty text matches everything. Equi-join
-    on the rarest letter group of each text, then the exact test. A text shorter than GRAM
-    is its own letter group, so every text has one.
+    Texts are literal ('%' and '_' mean themselves); the empty text matches everything. Places of the letter
+    groups that texts need are written once, with ids only. A text's rarest group gives the places where
+    it can begin; its second rarest group has to lie at the right distance from there; what is left is tested
+    on the product's texts. A text shorter than GRAM is its own letter group, so every text has one. A group
+    with more than `places` places (and more than a 4,096th of all, so that there are at most 4,096 such
+    groups) is dealt out by product.
     """
     distinct = terms.select("query").distinct()
-    name, description = _haystacks()
     lowered = F.lower(F.col("query"))
-    own_grams = _grams(lowered, F.greatest(F.lit(1), F.least(F.lit(GRAM), F.length(lowered))))
-    # The empty text is a letter group that every product has.
-    query_grams = distinct.select(
-        "query", F.explode(F.when(lowered == "", F.array(F.lit(""))).otherwise(own_grams)).alias("gram")
-    )
-    every_gram = F.array_distinct(
-        F.concat(F.array(F.lit("")), *[_grams(text, n) for n in range(1, GRAM + 1) for text in (name, description)])
-    )
-    needed = query_grams.select("gram").distinct()
-    postings = catalog.select("id", "name", "description", F.explode(every_gram).alias("gram")).join(
-        needed, "gram", "left_semi"
+    texts = distinct.filter(F.length(lowered) > 0).withColumn("size", F.least(F.length(lowered), F.lit(GRAM)))
+    sizes = sorted(r["size"] for r in texts.select("size").distinct().collect())  # GRAM at most
+    name, description = F.lower("name"), F.lower("description")
+    none = F.array().cast("array<struct<gram:string,place:int>>")
+    grams = none
+    for n in sizes:
+        grams = F.when(F.col("size") == n, _places(lowered, n)).otherwise(grams)
+    wanted = texts.select("query", F.inline(grams)).withColumnRenamed("place", "offset")
+
+    every = [F.coalesce(_places(text, n), none) for n in sizes for text in (name, description)]
+    fields = [f for _ in sizes for f in (0, 1)]
+    found = reduce(DataFrame.unionByName, [
+        catalog.select("id", F.lit(f).alias("field"), F.inline(e)) for e, f in zip(every, fields)
+    ]) if sizes else catalog.select("id", F.lit(0).alias("field"), F.inline(none))
+    postings = written(found.join(wanted.select("gram").distinct(), "gram", "left_semi"), "letter-groups")
+    counts = written(postings.groupBy("gram").agg(F.count("*").alias("n")), "letter-counts")
+    most = max(places, -(-(counts.agg(F.sum("n")).collect()[0][0] or 0) // HOT_GROUPS))
+    shares = F.ceil(F.coalesce("n", F.lit(1)) / most).cast("int")
+
+    # A text with a letter group no product has cannot match: its rarest group finds nothing.
+    ranked = wanted.join(counts, "gram", "left").groupBy("query").agg(
+        F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram", "offset"))).alias("groups")
     )
-    frequency = postings.groupBy("gram").agg(F.count("*").alias("n"))
-    # A text with a letter group no product has cannot match, so its anchor finds nothing.
-    anchors = (
-        query_grams.join(frequency, "gram", "left")
-        .groupBy("query")
-        .agg(F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)), "gram")).alias("gram"))
+    first, second = F.col("groups")[0], F.get("groups", F.lit(1))
+    anchors = ranked.select(
+        "query", first["gram"].alias("gram"), first["offset"].alias("offset"), second["gram"].alias("other"),
+        (second["offset"] - first["offset"]).alias("apart"), F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(first["n"] / most), F.lit(1)).cast("int") - 1)).alias("share"),
     )
-    candidates = postings.join(anchors, "gram")
-    hits = candidates.filter(F.contains(name, lowered) | F.contains(description, lowered))
-    return hits.select("query", "id", "name")
+    hot = counts.filter(F.col("n") > most).select("gram", shares.alias("shares"))
+    share = F.pmod(F.xxhash64("id"), F.coalesce("shares", F.lit(1))).cast("int")
+    dealt = postings.join(F.broadcast(hot), "gram", "left").withColumn("share", share).drop("shares")
+    begun = anchors.join(dealt, ["gram", "share"]).select("query", "id", "field", "other", (F.col("place") + F.col("apart")).alias("place"))
+    alone = begun.filter("other is null").select("query", "id")
+    paired = begun.filter("other is not null").withColumnRenamed("other", "gram").join(postings, ["id", "field", "gram", "place"], "left_semi").select("query", "id")
+    candidates = alone.union(paired).distinct()
+    hits = candidates.join(catalog.select("id", "name", "description"), "id").filter(F.contains(name, lowered) | F.contains(description, lowered))
+    whole = catalog.withColumn("query", F.lit("")).join(distinct.filter(F.col("query") == ""), "query", "left_semi")
+    return hits.select("query", "id", "name").unionByName(whole.select("query", "id", "name"))
 
 
 def not_in_cart(users_products: DataFrame, cart_items: DataFrame) -> DataFrame:

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopledger.functions.text import with_id_footer
-from shopledger.operators.retrieval import search
+from shopledger.operators.retrieval import only_found, search
 from shopledger.operators.validation import assistant_requests
+from shopledger.session import written
 from shopledger.sources.fixed_values import DEGRADED_REPLY, DESIGN_PROMPT, SEARCH_LIMIT, SEARCH_PROMPT
 
 
@@ -45,16 +46,16 @@ def assistant_candidates(
 
     corpus(item_id, text, ...): the prompt holds the found items as JSON with all columns of
     the corpus and the relevance score. A request has at most k candidates, so collecting them is
-    bounded.
+    bounded. Texts of items that no request has found are left out before they move.
     """
     valid = assistant_requests(requests).filter("accepted").withColumn("room", room)
     asked = valid.select("query_id", search_prompt(F.col("message"), F.col("room")).alias("text"))
-    found = search(asked, corpus, "tokens", k)
+    found = written(search(asked, corpus, "tokens", k), "assistant-found")
     own = [c for c in corpus.columns if c != "item_id"]
     document = F.to_json(
         F.struct(F.col("item_id").cast("string").alias("id"), *own, F.col("score").alias("_relevance_score"))
     )
-    documents = found.join(corpus, "item_id").select(
+    documents = found.join(only_found(corpus, found), "item_id").select(
         "query_id", F.struct("rank", F.col("item_id").cast("string").alias("id"), document.alias("document")).alias("hit")
     )
     hits = F.array_sort(F.collect_list("hit"))

@@ -44,16 +44,26 @@ def priced_lines(requests: DataFrame, cart_items: DataFrame, catalog: DataFrame,
     )
 
 
+def merged_lines(priced: DataFrame) -> DataFrame:
+    """Priced lines of a product in an order as one, with their number (`lines`)."""
+    merged = priced.groupBy("order_id", "product_id", "currency_code", "unit_units", "unit_nanos").agg(
+        F.sum("quantity").alias("quantity"), F.count("*").alias("lines"), F.min("line_reason").alias("line_reason")
+    )
+    line_units, line_nanos = times(F.col("unit_units"), F.col("unit_nanos"), F.col("quantity"))
+    return merged.withColumn("line_units", line_units).withColumn("line_nanos", line_nanos)
+
+
 def order_totals(requests: DataFrame, lines: DataFrame, rates: DataFrame) -> DataFrame:
     """Requests with item count, shipping and total; an empty cart is an order of total 0.
 
     ``prep_reason`` is set when a line or the shipping could not be priced; such a request has
     neither shipping nor total.
     """
+    count = F.sum("lines") if "lines" in lines.columns else F.count("*")
     sums = lines.groupBy("order_id").agg(
         exact_sum(F.col("line_units"), F.col("line_nanos")).alias("items_nanos"),
         F.sum("quantity").alias("item_count"),
-        F.count("*").alias("line_count"),
+        count.alias("line_count"),
         F.min("line_reason").alias("line_reason"),
     )
     carts = requests.join(sums, "order_id", "left").fillna(0, ["item_count", "line_count"])
@@ -85,12 +95,15 @@ def place_orders(
     rates: DataFrame,
     as_of: date,
     seed: str = "ship",
+    lines: DataFrame | None = None,
 ) -> DataFrame:
     """One row per request with ``decision``, ``reason`` and, when accepted, a tracking id.
 
-    A request fails as a whole: on a line that cannot be priced, or on its card.
+    A request fails as a whole: on a line that cannot be priced, or on its card. ``lines`` are the
+    priced lines, where the caller has them already.
     """
-    lines = priced_lines(requests, cart_items, catalog, rates)
+    if lines is None:
+        lines = priced_lines(requests, cart_items, catalog, rates)
     screened = screen_payments(order_totals(requests, lines, rates), as_of)
     reason = F.coalesce("prep_reason", "reason")
     address = address_text(F.col("street_address"), F.col("city"), F.col("state"))
@@ -104,6 +117,26 @@ def place_orders(
     )
 
 
+def issue_orders(
+    requests: DataFrame,
+    cart_items: DataFrame,
+    catalog: DataFrame,
+    rates: DataFrame,
+    as_of: date,
+    seed: str = "ship",
+) -> tuple[DataFrame, DataFrame]:
+    """(orders, items): all requests as `place_orders` decides them, and the items of the accepted ones.
+
+    Lines are scanned and priced once: totals and items are both made of the lines merged by product, with the
+    same columns, so that Spark reuses their shuffle. It is dealt out by order and product,
+    so an order of very many lines does not gather in one task.
+    """
+    merged = merged_lines(priced_lines(requests, cart_items, catalog, rates))
+    orders = place_orders(requests, cart_items, catalog, rates, as_of, seed, merged)
+    # an accepted order has no line with a reason; asking for it keeps the columns of both uses the same
+    return orders, order_items(orders, merged.filter(F.col("line_reason").isNull() & (F.col("lines") > 0)))
+
+
 def accepted(orders: DataFrame) -> DataFrame:
     return orders.filter(F.col("reason").isNull())
 
@@ -136,9 +169,7 @@ def order_items(orders: DataFrame, lines: DataFrame) -> DataFrame:
 
     A flat table, so that no row grows with its order; lines of a product are merged.
     """
-    merged = lines.groupBy("order_id", "product_id", "currency_code", "unit_units", "unit_nanos").agg(
-        F.sum("quantity").alias("quantity")
-    )
+    merged = lines if "lines" in lines.columns else merged_lines(lines)
     item = F.struct("product_id", "quantity").alias("item")
     cost = F.struct("currency_code", F.col("unit_units").alias("units"), F.col("unit_nanos").alias("nanos")).alias("cost")
     return merged.join(accepted(orders).select("order_id"), "order_id", "left_semi").select("order_id", item, cost)

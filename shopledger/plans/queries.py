@@ -1001,9 +1001,7 @@ def _(spark, folder):
 @query("p1_order_documents")
 def _(spark, folder):
     requests, lines, products, rates = _checkout_inputs(spark, folder)
-    priced = checkout.priced_lines(requests, lines, products, rates)
-    orders = checkout.place_orders(requests, lines, products, rates, AS_OF)
-    items = checkout.order_items(orders, priced)
+    orders, items = checkout.issue_orders(requests, lines, products, rates, AS_OF)
     return items.join(checkout.order_heads(orders), "order_id").select(
         "order_id", "shipping_tracking_id", F.col("shipping_cost.units").alias("shipping_units"),
         "item.product_id", "item.quantity", F.col("cost.units").alias("cost_units"), F.col("cost.nanos").alias("cost_nanos"),
@@ -1041,8 +1039,7 @@ def _(spark, folder):
 @query("p3_reconciliation")
 def _(spark, folder):
     requests, lines, products, rates = _checkout_inputs(spark, folder)
-    orders = checkout.place_orders(requests, lines, products, rates, AS_OF)
-    issued = checkout.order_items(orders, checkout.priced_lines(requests, lines, products, rates))
+    orders, issued = checkout.issue_orders(requests, lines, products, rates, AS_OF)
     # Every 50th order was tampered with after it was issued: one more of its first product.
     first = F.col("item.product_id") == F.min("item.product_id").over(W.partitionBy("order_id"))
     more = F.when((F.col("order_id") % 50 == 0) & first, 1).otherwise(0)

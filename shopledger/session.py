@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the operators count on. Skewed joins are split at run time, also where
 # the split costs one more shuffle, so that no hot key is left to a single task.
@@ -42,3 +42,10 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the checkpoint folder that no earlier run has used."""
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """df as a table in the shared scratch folder, so that a lost executor costs no recomputation."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.options(**options).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
