@@ -3,11 +3,11 @@
 The merges fix one valid token sequence for every byte string, and a sequence is valid exactly if
 every token in it, alone, and every pair of neighbours is. So a transducer whose paths spell
 tokens, and may pass from token u to token v only if u v is what the merges make of their bytes,
-has exactly one accepting path per string. Read byte by byte, the paths that are still open differ
-in the token they are in the midst of. A determinised state is the set of open paths; tokens that
-all open paths share are emitted, and as an open path is inside one token, the lookahead this
-takes is bounded. States and their steps are made when first met and kept in a bounded table;
-pairs are checked once, by the merges at the two tokens' ends.
+has exactly one accepting path per string. Read byte by byte, the places in the tree of tokens that open paths have
+come to are one state of the determinised machine, made when first met. Tokens that all open paths share are
+emitted, and as an open path is inside one token, the lookahead this takes is bounded. Pairs of
+tokens are checked by the merges at their ends and kept, as are chunks of text with their ids, in
+two generations of bounded size: what was not met again when the younger is full is dropped.
 
 As in the tokenizers this agrees with, a match of the pattern that is itself a token is that token.
 
@@ -33,14 +33,16 @@ from pyspark.sql import functions as F
 
 from shopledger.llm.common import arrow_rows, texts
 
-STATES, PAIRS, CHUNKS = 100_000, 300_000, 400_000  # entries kept in a worker, at most
+PAIRS, CHUNKS = 300_000, 200_000  # entries of each generation kept in a worker, at most
 #: White space as Unicode has it; the rank files' tokenizers split at these and no other code points.
 SPACES = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: Where the pattern always ends a match: before a run of other characters with at most one space in front.
 CHUNK = re.compile(f" ?[^{SPACES}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+")
+WORD = re.compile(" ?[A-Za-z]+")  # one match by itself
+TAIL = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")  # a contraction starts with '
 CHUNK_IDS = 8_192  # ids decoded at a time
 START, NONE = -1, 1 << 60
-FEW = 12  # tokens below a place up to which dead paths are found at once
+PAIR = 1 << 32  # a pair of tokens as one number: (token before + 1) x PAIR + token
 HELD = 1_024  # bytes held before the tokens that are certain are emitted
 
 
@@ -52,10 +54,12 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Transducer:
     """Encodes byte strings; compiled from ranks alone.
 
-    An open path is (token before, place in the tree of tokens); its start is as many bytes back as
-    the place is deep. A determinised state is the set of open paths. Besides the next state, a step
-    tells the one token with which a valid sequence of all bytes so far ends; going back from
-    any position over these tokens gives the sequence up to it.
+    A path spells a token along the tree of tokens and may begin after any byte. The places in the tree that
+    open paths have come to after a byte are one determinised state; states and their steps are made when first met,
+    and as the deepest place decides all others there are no more of them than places. A state names the tokens that
+    end there, longest first. The one of them that may follow the token with which the bytes before it end is the
+    token with which a valid sequence of all bytes so far ends; going back from any position over these tokens gives
+    the sequence up to it.
     """
 
     def __init__(self, ranks: dict[bytes, int]):
@@ -65,31 +69,26 @@ class Transducer:
         self.children: list[dict[int, int]] = [{}]  # the tree of all tokens
         self.token_at: list[int | None] = [None]
         self.depths = [0]
-        below = [0]
         for token, rank in ranks.items():
             node = 0
             for b in token:
-                below[node] += 1
                 here = self.children[node]
                 node = here.get(b) or here.setdefault(b, len(self.children))
                 if node == len(self.children):
                     self.children.append({})
                     self.token_at.append(None)
                     self.depths.append(0)
-                    below.append(0)
             self.token_at[node] = rank
         for node, here in enumerate(self.children):  # a child comes after its parent
             for child in here.values():
                 self.depths[child] = self.depths[node] + 1
-        self.few = [0 < n <= FEW for n in below]
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}  # two generations
+        self.old_pairs: dict[int, bool] = {}
         self.edges: dict[int, tuple] = {}
-        self._clear()
-
-    def _clear(self) -> None:
-        first = ((START, 0),)
-        self.numbers, self.threads = {first: 0}, [first]
-        self.steps: list[dict[int, tuple[int, int]]] = [{}]
+        self.numbers: dict[tuple[int, ...], int] = {(): 0}
+        self.places: list[tuple[int, ...]] = [()]  # of each state, deepest first
+        self.ending: list[tuple[tuple[int, int], ...]] = [()]  # (token, length), longest first
+        self.steps: list[dict[int, int]] = [{}]
 
     def merged(self, data: bytes) -> tuple[list[bytes], list[bytes], list[bytes]]:
         """The merges applied to a short byte string, lowest rank first, leftmost of equals.
@@ -141,51 +140,31 @@ class Transducer:
                 j += 1
 
     def fits(self, before: int, token: int) -> bool:
-        key = (before, token)
+        return self._pair((before + 1) * PAIR + token)
+
+    def _pair(self, key: int) -> bool:
         known = self.pairs.get(key)
         if known is None:
+            known = self.old_pairs.get(key)
+            if known is None:
+                before, token = divmod(key, PAIR)
+                known = self._ends(token)[0] and (before == 0 or self._apart(before - 1, token))
             if len(self.pairs) >= PAIRS:
-                self.pairs.clear()
-            known = self._ends(token)[0] and (before == START or self._apart(before, token))
+                self.old_pairs, self.pairs = self.pairs, {}
             self.pairs[key] = known
         return known
 
-    def _open(self, before: int, node: int) -> bool:
-        """Whether the path can still end in a token; only looked up where few are left."""
-        ahead = list(self.children[node].values())
-        if not ahead or not self.few[node]:
-            return bool(ahead)
-        while ahead:
-            here = ahead.pop()
-            token = self.token_at[here]
-            if token is not None and self.fits(before, token):
-                return True
-            ahead += self.children[here].values()
-        return False
-
-    def _step(self, state: int, byte: int) -> tuple[int, int]:
-        """Follow all open paths over one more byte."""
-        ahead, done = [], None
-        for before, node in self.threads[state]:
-            child = self.children[node].get(byte)
-            if child is None:
-                continue
-            token = self.token_at[child]
-            if token is not None and done is None and self.fits(before, token):
-                done = token
-            if self._open(before, child):
-                ahead.append((before, child))
-        if done is None:
-            raise ValueError("a byte is not in the vocabulary")
-        threads = (*ahead, (done, 0))
-        number = self.numbers.get(threads)
+    def _step(self, state: int, byte: int) -> int:
+        """Follow all open paths, and a new one, over one more byte."""
+        ahead = tuple([c for c in (self.children[node].get(byte) for node in (*self.places[state], 0)) if c is not None])
+        number = self.numbers.get(ahead)
         if number is None:
-            number = self.numbers[threads] = len(self.threads)
-            self.threads.append(threads)
+            number = self.numbers[ahead] = len(self.places)
+            self.places.append(ahead)
             self.steps.append({})
-        made = (number, done)
-        self.steps[state][byte] = made
-        return made
+            self.ending.append(tuple([(self.token_at[n], self.depths[n]) for n in ahead if self.token_at[n] is not None and self._ends(self.token_at[n])[0]]))
+        self.steps[state][byte] = number
+        return number
 
     def _back(self, lasts: list[int], at: int, stop: int = 0) -> list[int]:
         """Starts of the tokens before position `at`, nearest first."""
@@ -196,30 +175,43 @@ class Transducer:
         return out
 
     def encode(self, data: bytes) -> list[int]:
-        if len(self.threads) > STATES:  # between strings no state is in use
-            self._clear()
         whole = self.ranks.get(data)
         if whole is not None:
             return [whole]
         out: list[int] = []
         lasts: list[int] = []  # for each byte held, the last token of all up to it
-        state, steps = 0, self.steps
+        state, prior, n = 0, START, 0
+        steps, ending, pair, known = self.steps, self.ending, self._pair, self.pairs.get
         for byte in data:
-            made = steps[state].get(byte)
-            if made is None:
-                made = self._step(state, byte)
-            state = made[0]
-            lasts.append(made[1])
-            if len(lasts) >= HELD:  # emit what all open paths share
-                common = set(self._back(lasts, len(lasts)))
-                for _, node in self.threads[state]:
-                    start = len(lasts) - self.depths[node]
-                    common &= {start, *self._back(lasts, start)}
+            now = steps[state].get(byte)
+            state = self._step(state, byte) if now is None else now
+            for token, length in ending[state]:
+                if length > n:
+                    if length > n + 1:
+                        continue
+                    key = (prior + 1) * PAIR + token
+                else:
+                    key = (lasts[n - length] + 1) * PAIR + token
+                fits = known(key)
+                if fits or (fits is None and pair(key)):
+                    lasts.append(token)
+                    break
+            else:
+                raise ValueError("a byte is not in the vocabulary")
+            n += 1
+            if n >= HELD:  # emit what all open paths share
+                common = set(self._back(lasts, n))
+                for node in self.places[state]:
+                    start = n - self.depths[node]
+                    if start >= 0:
+                        common &= {start, *self._back(lasts, start)}
                 cut = max(common)
                 if cut:
                     out += self._tokens(lasts, cut)
+                    prior = out[-1]
                     del lasts[:cut]
-        return out + self._tokens(lasts, len(lasts))
+                    n = len(lasts)
+        return out + self._tokens(lasts, n)
 
     def _tokens(self, lasts: list[int], at: int) -> list[int]:
         found = []
@@ -277,7 +269,8 @@ class Codec:
         self.transducer = Transducer(ranks)
         inside = pattern.replace(r"[^\s", f"[^{SPACES}").replace(r"\S", f"[^{SPACES}]").replace(r"\s", f"[{SPACES}]")
         self.pattern = regex.compile(inside)
-        self.known: dict[str, tuple[tuple[int, ...], str]] = {}
+        self.known: dict[str, tuple[tuple[int, ...], str]] = {}  # two generations
+        self.old: dict[str, tuple[tuple[int, ...], str]] = {}
 
     @classmethod
     def of(cls, vocabulary: str, pattern: str) -> "Codec":
@@ -287,17 +280,31 @@ class Codec:
         return cls.made[key]
 
     def _new(self, chunk: str) -> tuple[tuple[int, ...], str]:
-        encode = self.transducer.encode
-        ids = tuple([i for piece in self.pattern.findall(chunk) for i in encode(piece.encode())])
-        made = ids, " ".join(map(str, ids))
-        if len(chunk) <= 64 and len(self.known) < CHUNKS:
+        """A chunk that is not in the younger generation: from the older, or from its two parts, or by the transducer.
+
+        Punctuation that follows a letter or digit is a match of its own, so the chunk without it may be known.
+        """
+        made = self.old.get(chunk)
+        if made is None:
+            core = chunk.rstrip(TAIL)
+            if core and len(core) < len(chunk) and core[-1].isalnum():
+                a, b = (self.known.get(p) or self._new(p) for p in (core, chunk[len(core) :]))
+                made = a[0] + b[0], f"{a[1]} {b[1]}"
+            else:
+                encode = self.transducer.encode
+                pieces = (chunk,) if WORD.fullmatch(chunk) else self.pattern.findall(chunk)
+                ids = tuple([i for piece in pieces for i in encode(piece.encode())])
+                made = ids, " ".join(map(str, ids))
+        if len(chunk) <= 64:
+            if len(self.known) >= CHUNKS:  # what was not met again since the last time goes
+                self.old, self.known = self.known, {}
             self.known[chunk] = made
         return made
 
     def chunks(self, text: str) -> list[tuple[tuple[int, ...], str]]:
         """Ids, and ids as decimal text, of each chunk."""
-        known, new = self.known, self._new
-        return [known.get(c) or new(c) for c in CHUNK.findall(text)]
+        new = self._new
+        return [self.known.get(c) or new(c) for c in CHUNK.findall(text)]
 
     def encode(self, text: str) -> list[int]:
         return list(itertools.chain.from_iterable([c[0] for c in self.chunks(text)]))
