@@ -9,21 +9,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopledger.session import scratch_path
+from shopledger.session import written  # noqa: F401
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a table in the shared scratch folder, so that a lost executor costs no recomputation."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def on_own_columns(work: Callable[[DataFrame], DataFrame], docs: DataFrame) -> DataFrame:
     """work on (doc_id, text, others): all other columns lie in one struct meanwhile, so no name of theirs can clash."""
     others = [c for c in docs.columns if c not in ("doc_id", "text")]

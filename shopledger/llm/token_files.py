@@ -3,7 +3,7 @@
 Documents are encoded once by the tokenizer; all ids of the corpus are counted, and an id is written as
 its rank by falling count (equal counts: smaller id first), so that the ids met most often take one byte. A
 rank takes 1 to 4 bytes, little-endian; two bits of a control byte give the length, four ranks a control
-byte, and control and data bytes lie in separate streams. Decoding looks the lengths of four
+byte (a document starts a new one), and control and data bytes lie in separate streams. Decoding looks the lengths of four
 ranks up by their control byte, sums them up to places and gathers the bytes; no step looks at single ids.
 
 A file set is a folder that holds
@@ -25,7 +25,7 @@ from __future__ import annotations
 import itertools
 import os
 import re
-import zlib
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,15 +41,15 @@ from shopledger.session import scratch_path
 END = 0
 BLOCK_IDS = 1 << 18
 BATCH_ROWS = 256  # documents encoded at a time
-CACHED = 300_000  # chunks of each of two generations kept in a worker
+CACHED = 500_000  # chunks of each of two generations kept in a worker
 LONGEST = 48  # characters of a chunk that is kept
-BREAK = "\n"  # stands between unknown chunks; a match of the pattern of its own there
-LINE = re.compile("[ ]?[^\\x00-\\x20\\x7f-\\xa0\\u1680\\u180e\\u2000-\\u200f\\u2028-\\u202f\\u205f-\\u206f\\u3000\\ufeff]+")
+WORD = re.compile(" ?[A-Za-z]+")
+SPACE = "\u0120"  # how byte-level vocabularies write a space
 TAIL = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")  # a contraction starts with '
 
 
 class Chunks:
-    """Ids of texts by a byte-level tokenizer, as bytes (unsigned 32-bit, little-endian).
+    """Ids of texts by a byte-level tokenizer, as bytes (`width`: unsigned, little-endian, 16 bits where the vocabulary allows).
 
     A match of the tokenizer's pattern never crosses the start of a chunk, so a chunk's ids don't
     depend on its neighbours, and those met before are kept: in two generations, of which the
@@ -67,8 +67,8 @@ class Chunks:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.kept = kept
-        ids = self.tokenizer.encode(BREAK, add_special_tokens=False).ids
-        self.gap = ids[0] if len(ids) == 1 else None
+        self.width = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        self.model = self.tokenizer.model
 
     @classmethod
     def of(cls, path: str) -> "Chunks":
@@ -78,21 +78,18 @@ class Chunks:
 
     def _each(self, pieces: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def _new(self, pieces: list[str]) -> dict[str, bytes]:
-        """Ids of pieces that are not known; those without white space are encoded as one text, a line each."""
-        lines = [p for p in pieces if LINE.fullmatch(p)] if self.gap is not None else []
-        out = {}
-        if lines:
-            ids = np.array(self.tokenizer.encode_batch_fast([BREAK.join(lines)], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.append(np.flatnonzero(ids == self.gap), len(ids)).tolist()
-            data, start = ids.tobytes(), 0
-            if len(ends) == len(lines):
-                for p, end in zip(lines, ends):
-                    out[p] = data[4 * start : 4 * end]
-                    start = end + 1
-        rest = [p for p in pieces if p not in out]
+        return [np.array(e.ids, self.width).tobytes() for e in found]
+
+    def _new(self, pieces: set[str]) -> dict[str, bytes]:
+        """Ids of pieces that are not known; one that is a word of ASCII letters is a match by itself, so the merges see it whole."""
+        out, rest, merges = {}, [], self.model.tokenize
+        code = "<H" if self.width == "<u2" else "<I"
+        for p in pieces:
+            if WORD.fullmatch(p):
+                ids = [t.id for t in merges(p.replace(" ", SPACE))]
+                out[p] = struct.pack(f"{code[0]}{len(ids)}{code[1]}", *ids)
+            else:
+                rest.append(p)
         out.update(zip(rest, self._each(rest)))
         return out
 
@@ -117,7 +114,7 @@ class Chunks:
                     ask.add(p)
                 else:
                     out[p] = ids
-        out.update(self._new(list(ask)))
+        out.update(self._new(ask))
         for c, core, tail in parts:
             out[c] = out[core] + out[tail]
         return out
@@ -129,10 +126,14 @@ class Chunks:
             split[i] = []
         young = self.young
         fresh = self._missing(set().union(*split).difference(young))
-        out = [b"".join([young.get(c) or fresh[c] for c in chunks]) for chunks in split]
+        young.update(fresh)
+        known = young.__getitem__
+        out = [b"".join(map(known, chunks)) for chunks in split]
         for i, ids in zip(whole, self._each([batch[i] for i in whole])):
             out[i] = ids
-        young.update([(c, ids) for c, ids in fresh.items() if len(c) <= LONGEST])
+        for c in fresh:
+            if len(c) > LONGEST:
+                del young[c]
         if len(young) >= self.kept:
             self.old, self.young = young, {}
         return out
@@ -143,7 +144,7 @@ LENGTHS = (np.arange(256)[:, None] >> np.arange(0, 8, 2) & 3).astype(np.int64) +
 
 
 def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
-    """Control bytes and data bytes of ranks; the last control byte is filled up with lengths of ranks that aren't there."""
+    """Control bytes and data bytes of a document's ranks; the last control byte may have room for ranks that aren't there."""
     ranks = ranks.astype("<u4")
     long = (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)  # length less one
     padded = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
@@ -153,8 +154,18 @@ def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
     return control.tobytes(), ranks.view(np.uint8).reshape(-1, 4)[taken].tobytes()
 
 
-def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
-    lengths = LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:count]
+def unpack(control: bytes, data: bytes, counts: list[int]) -> np.ndarray:
+    """The ranks of documents with so many ranks, from their streams put together."""
+    lengths = LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)
+    counts = np.array(counts, np.int64)
+    room = -(-counts // 4) * 4
+    if (room != counts).any():
+        ends = np.cumsum(room)
+        empty = room - counts  # up to three places before a document's end
+        gaps = np.repeat(ends, empty) - 1 - (np.arange(empty.sum()) - np.repeat(np.cumsum(empty) - empty, empty))
+        there = np.ones(len(lengths), bool)
+        there[gaps] = False
+        lengths = lengths[there]
     ends = np.cumsum(lengths)
     starts = ends - lengths
     stream = np.frombuffer(data + b"\0\0\0", np.uint8)
@@ -166,11 +177,11 @@ def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
 
 
 def encoded(docs: DataFrame, tokenizer: str, end: int = END) -> DataFrame:
-    """doc_id, ids (bytes, unsigned 32-bit little-endian, with the end id) of every row."""
-    last = np.array([end], "<u4").tobytes()
+    """doc_id, ids (bytes of the tokenizer's width, with the end id) of every row."""
 
     def encode(batches):
         chunks = Chunks.of(tokenizer)
+        last = np.array([end], chunks.width).tobytes()
         for batch in batches:
             for i in range(0, batch.num_rows, BATCH_ROWS):
                 part = batch.slice(i, BATCH_ROWS)
@@ -180,16 +191,18 @@ def encoded(docs: DataFrame, tokenizer: str, end: int = END) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(encode, "doc_id long, ids binary")
 
 
-def counted(ids: DataFrame) -> DataFrame:
+def counted(ids: DataFrame, width: str) -> DataFrame:
     """id, n: how often every id occurs; a task gives a row for each id it meets."""
 
     def count(batches):
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for row in batch.column("ids"):
-                new = np.bincount(np.frombuffer(row.as_buffer(), "<u4"), minlength=len(total))
-                new[: len(total)] += total
-                total = new
+            column = batch.column("ids")
+            first, last = column.offset, column.offset + len(column)
+            bounds = np.frombuffer(column.buffers()[1], np.int32)
+            new = np.bincount(np.frombuffer(column.buffers()[2] or b"", np.uint8)[bounds[first] : bounds[last]].view(width), minlength=len(total))
+            new[: len(total)] += total
+            total = new
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["id", "n"])
 
@@ -202,34 +215,32 @@ BLOCKS = "part int, block int, ids_before long, ids long, doc_ids array<long>, l
 def write(docs: DataFrame, tokenizer: str, path: str, *, end: int = END, block_ids: int = BLOCK_IDS) -> str:
     """Write the file set of the documents to the folder and return it."""
     spark = docs.sparkSession
-    ids = written(encoded(docs, tokenizer, end), "token-ids")
-    ranked = [r["id"] for r in counted(ids).orderBy(F.desc("n"), "id").collect()]  # a row for each id of the vocabulary at most
+    ids = written(encoded(docs, tokenizer, end), "token-ids", compression="zstd")
+    width = Chunks.of(tokenizer).width
+    ranked = [r["id"] for r in counted(ids, width).orderBy(F.desc("n"), "id").collect()]  # a row for each id of the vocabulary at most
     spark.createDataFrame(list(enumerate(ranked)), "rank int, id long").coalesce(1).write.parquet(f"{path}/ranks")
     rank_of = np.zeros(max(ranked, default=0) + 1, np.uint32)
     rank_of[ranked] = np.arange(len(ranked), dtype=np.uint32)
 
     def blocks(batches) -> Iterator[pa.RecordBatch]:
-        part, number, before = TaskContext.get().partitionId(), 0, 0
-        names: list = []
-        held: list[np.ndarray] = []
+        part, number, before, size = TaskContext.get().partitionId(), 0, 0, 0
+        held: list[tuple] = []
 
         def block() -> pa.RecordBatch:
-            control, data = pack(rank_of[np.concatenate(held)])
-            lengths = [len(h) for h in held]
-            row = [part, number, before, sum(lengths), names, lengths, control, data]
+            names, lengths, control, data = (list(c) for c in zip(*held))
+            row = [part, number, before, size, names, lengths, b"".join(control), b"".join(data)]
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=[c.split()[0] for c in BLOCKS.split(", ")])
 
-        size = 0
         for batch in batches:
-            for doc_id, own in zip(batch.column("doc_id").to_pylist(), batch.column("ids")):
-                names.append(doc_id)
-                held.append(np.frombuffer(own.as_py(), "<u4"))
-                size += len(held[-1])
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), batch.column("ids")):
+                own = np.frombuffer(ids.as_buffer(), width)
+                held.append((doc_id, len(own), *pack(rank_of[own])))
+                size += len(own)
                 if size >= block_ids:
                     yield block()
                     number, before, size = number + 1, before + size, 0
-                    names, held = [], []
+                    held = []
         if held:
             yield block()
 
@@ -255,7 +266,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     def documents(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                ids = id_of[unpack(row["control"], row["data"], row["ids"])].tobytes()
+                ids = id_of[unpack(row["control"], row["data"], row["lengths"])].tobytes()
                 at = np.cumsum([0, *row["lengths"]])
                 own = [ids[4 * a : 4 * b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
                 first = starts[row["part"]] + row["ids_before"]
