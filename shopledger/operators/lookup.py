@@ -39,8 +39,9 @@ def search_products(terms: DataFrame, catalog: DataFrame, *, places: int = LEAST
     """
     distinct = terms.select("query").distinct()
     lowered = F.lower(F.col("query"))
-    texts = distinct.filter(F.length(lowered) > 0).withColumn("size", F.least(F.length(lowered), F.lit(GRAM)))
-    sizes = sorted(r["size"] for r in texts.select("size").distinct().collect())  # GRAM at most
+    sized = distinct.filter("query is not null").withColumn("size", F.least(F.length(lowered), F.lit(GRAM)))
+    asked = {r["size"] for r in sized.select("size").distinct().collect()}  # 0 to GRAM
+    texts, sizes = sized.filter("size > 0"), sorted(asked - {0})
     name, description = F.lower("name"), F.lower("description")
     none = F.array().cast("array<struct<gram:string,place:int>>")
     grams = none
@@ -75,8 +76,8 @@ def search_products(terms: DataFrame, catalog: DataFrame, *, places: int = LEAST
     paired = begun.filter("other is not null").withColumnRenamed("other", "gram").join(postings, ["id", "field", "gram", "place"], "left_semi").select("query", "id")
     candidates = alone.union(paired).distinct()
     hits = candidates.join(catalog.select("id", "name", "description"), "id").filter(F.contains(name, lowered) | F.contains(description, lowered))
-    whole = catalog.withColumn("query", F.lit("")).join(distinct.filter(F.col("query") == ""), "query", "left_semi")
-    return hits.select("query", "id", "name").unionByName(whole.select("query", "id", "name"))
+    hits = hits.select("query", "id", "name")
+    return hits.unionByName(catalog.select(F.lit("").alias("query"), "id", "name")) if 0 in asked else hits
 
 
 def not_in_cart(users_products: DataFrame, cart_items: DataFrame) -> DataFrame:

@@ -33,3 +33,13 @@ def test_scans_are_pruned_and_filtered(spark):
 @pytest.mark.parametrize("name", ["l4_sample", "t1_token_search", "t2_vector_search"])
 def test_top_k_is_cut_before_the_shuffle(spark, name):
     assert re.search(r"WindowGroupLimit .*Partial", plan(spark, name))
+
+
+@pytest.mark.parametrize("name", ["p3_reconciliation", "p1_order_documents"])
+def test_orders_are_priced_once(spark, name):
+    """Lines and catalog are scanned by one branch of the executed plan; the others reuse its shuffle."""
+    found = entry_file.queries()[name](spark, FOLDER)
+    found.collect()
+    final = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("/lineitem") == 1 or final.count("l_orderkey#") and len(re.findall(r"FileScan parquet \[l_orderkey", final)) == 1
+    assert "ReusedExchange" in final

@@ -6,7 +6,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from shopledger.operators import carts
+from shopledger.operators import carts, lookup, retrieval
 from shopledger.plans import checkout
 from shopledger.sources import dimensions
 
@@ -89,3 +89,42 @@ def test_checkout_of_a_hot_order(spark, small_partitions):
     for r in counts:
         total[r.order_id] = total.get(r.order_id, euros(8, 990_000_000)) + price[r.product_id] * r.q
     assert {r.order_id: r.total_units * 10**9 + r.total_nanos for r in rows} == total
+
+
+def test_token_search_with_a_token_in_a_third_of_the_items(spark, small_partitions):
+    """Same rows as counting all pairs; postings of the common token are dealt out by item."""
+    stored = spark.range(0, 6_000, numPartitions=4).select(
+        F.col("id").alias("item_id"),
+        F.concat_ws(" ", F.when(F.col("id") % 3 == 0, "common"), F.concat(F.lit("w"), F.col("id") % 50), F.concat(F.lit("r"), F.col("id") % 997)).alias("text"),
+    )
+    queries = {1: "common w7 r70", 2: "common", 3: "w3 common nothing", 4: "r5 w5 r6 w6 common", 5: "", 6: "nothing"}
+    asked = spark.createDataFrame(list(queries.items()), "query_id bigint, text string")
+    rows, _ = executed(retrieval.token_search(asked, stored, 6, 100))
+    found = retrieval.token_search(asked, stored, 6, 100)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(code#\w+, share#\w+|\[code#\w+, share#\w+\], \[code#", plan)
+    items = {r.item_id: set(r.text.split()) for r in stored.collect()}
+    expected = set()
+    for q, text in queries.items():
+        scored = sorted((-len(set(text.split()) & t), i) for i, t in items.items())
+        expected |= {(q, i, -s, n) for n, (s, i) in enumerate([x for x in scored if x[0] < 0][:6], 1)}
+    assert {(r.query_id, r.item_id, r.score, r["rank"]) for r in rows} == expected
+
+
+def test_substring_search_with_a_hot_letter_group(spark, small_partitions):
+    """A letter group that a third of the products have is dealt out by product; short and empty texts too."""
+    catalog = spark.range(0, 3_000, numPartitions=4).select(
+        "id", F.concat(F.when(F.col("id") % 3 == 0, "Common ").otherwise("rare"), F.col("id").cast("string")).alias("name"),
+        F.when(F.col("id") % 7 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("xx common_ab "), F.col("id") % 11)).alias("description"),
+    )
+    texts = ["common 12", "ON_a", "mm", "9", "", "common_ab 10", "%", "omm", "nomatch", "aaaa", "Common 9"]
+    terms = spark.createDataFrame([(t,) for t in texts + ["mm"]], "query string")
+    found = lookup.search_products(terms, catalog, places=200)
+    rows, plan = executed(found)
+    assert re.search(r"gram#\w+, share#\w+", plan)
+    products = catalog.collect()
+    expected = {
+        (t, p.id, p.name) for t in texts for p in products
+        if t.lower() in p.name.lower() or (p.description is not None and t.lower() in p.description.lower())
+    }
+    assert {tuple(r) for r in rows} == expected and len(rows) == len(expected)
