@@ -6,20 +6,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-# Copies of the one-row-per-user side of a join, so that a user's rows meet it in as many tasks.
-SALTS = 16
+# Rows of a user that meet the user's row in one task, as long as few users have more.
+USER_ROWS, HOT_USERS = 1_000_000, 4_096
 
 
-def join_users(rows: DataFrame, users: DataFrame, how: str, differing: list[str]) -> DataFrame:
+def join_users(rows: DataFrame, users: DataFrame, how: str, differing: list[str], user_rows: int = USER_ROWS) -> DataFrame:
     """``rows`` joined on user_id with a table of one row per user.
 
-    The rows of a user are salted by the ``differing`` columns. Spark's own splitting of
-    skewed joins does not apply here: it needs both sides to come straight from a shuffle,
-    and the users usually come from an aggregate.
+    Users with more than ``user_rows`` rows (the 4,096 with most of them; no other has more than a 4,096th
+    of all rows) are dealt out by the ``differing`` columns over as many tasks as their rows
+    need, and their own row is copied as often; all others are copied once. Spark's own splitting
+    of skewed joins does not apply here: it needs both sides to come straight from a shuffle, and
+    the users usually come from an aggregate.
     """
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*differing), F.lit(SALTS)).cast("int"))
-    copies = users.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies, ["user_id", "_salt"], how).drop("_salt")
+    shares = F.coalesce("_shares", F.lit(1))
+    hot = hot_users(rows, user_rows)
+    salted = rows.join(hot, "user_id", "left").withColumn("_salt", F.pmod(F.xxhash64(*differing), shares).cast("int")).drop("_shares")
+    return salted.join(user_copies(rows, users, user_rows), ["user_id", "_salt"], how).drop("_salt")
+
+
+def hot_users(rows: DataFrame, user_rows: int) -> DataFrame:
+    """(user_id, _shares) of users with more rows; HOT_USERS at most, so they can be broadcast."""
+    counts = rows.groupBy("user_id").agg(F.count("*").alias("n")).filter(F.col("n") > user_rows)
+    most = counts.orderBy(F.desc("n"), "user_id").limit(HOT_USERS)
+    return F.broadcast(most.select("user_id", F.ceil(F.col("n") / user_rows).cast("int").alias("_shares")))
+
+
+def user_copies(rows: DataFrame, users: DataFrame, user_rows: int) -> DataFrame:
+    """users with ``_salt``: a copy for each share of the user's rows."""
+    shares = F.coalesce("_shares", F.lit(1))
+    copied = users.join(hot_users(rows, user_rows), "user_id", "left")
+    return copied.withColumn("_salt", F.explode(F.sequence(F.lit(0), shares - 1))).drop("_shares")
 
 
 def merge_lines(lines: DataFrame, owner: str = "user_id") -> DataFrame:

@@ -128,3 +128,23 @@ def test_substring_search_with_a_hot_letter_group(spark, small_partitions):
         if t.lower() in p.name.lower() or (p.description is not None and t.lower() in p.description.lower())
     }
     assert {tuple(r) for r in rows} == expected and len(rows) == len(expected)
+
+
+@pytest.mark.parametrize("how", ["left_semi", "left_anti", "left"])
+def test_only_hot_users_are_copied(spark, small_partitions, how):
+    """Two hot users get as many tasks as their rows need; every other user's row is copied once."""
+    rows = spark.range(0, 30_000, numPartitions=4).select(
+        F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 3 == 1, 1).otherwise(F.col("id") % 1_000).cast("bigint").alias("user_id"),
+        F.col("id").alias("product_id"),
+    )
+    users = spark.range(0, 600, 1, 4).withColumnRenamed("id", "user_id").withColumn("x", F.lit(1)).groupBy("user_id").agg(F.max("x").alias("x"))
+    found = carts.join_users(rows, users, how, ["product_id"], 1_000)
+    plan = executed(found)[1]
+    assert re.search(r"user_id#\w+, _salt#\w+", plan)
+    want = {
+        "left_semi": rows.filter("user_id < 600").count(), "left_anti": rows.filter("user_id >= 600").count(), "left": rows.count(),
+    }[how]
+    assert found.count() == want
+    joined = carts.user_copies(rows, users, 1_000)
+    counts = {r.user_id: r["count"] for r in joined.groupBy("user_id").count().collect()}
+    assert counts == {u: 11 if u < 2 else 1 for u in range(600)}
