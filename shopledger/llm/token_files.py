@@ -3,7 +3,7 @@
 Documents are encoded once by the tokenizer; all ids of the corpus are counted, and an id is written as
 its rank by falling count (equal counts: smaller id first), so that the ids met most often take one byte. A
 rank takes 1 to 4 bytes, little-endian; two bits of a control byte give the length, four ranks a control
-byte (a document starts a new one), and control and data bytes lie in separate streams. Decoding looks the lengths of four
+byte, and control and data bytes lie in separate streams. Decoding looks the lengths of four
 ranks up by their control byte, sums them up to places and gathers the bytes; no step looks at single ids.
 
 A file set is a folder that holds
@@ -43,8 +43,10 @@ BLOCK_IDS = 1 << 18
 BATCH_ROWS = 256  # documents encoded at a time
 CACHED = 500_000  # chunks of each of two generations kept in a worker
 LONGEST = 48  # characters of a chunk that is kept
-WORD = re.compile(" ?[A-Za-z]+")
-SPACE = "\u0120"  # how byte-level vocabularies write a space
+WORD = re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
+#: How byte-level vocabularies write a byte: as itself where it can be seen, else by the next code point from 256 on.
+SEEN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTES = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(SEEN)))}
 TAIL = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")  # a contraction starts with '
 
 
@@ -81,12 +83,12 @@ class Chunks:
         return [np.array(e.ids, self.width).tobytes() for e in found]
 
     def _new(self, pieces: set[str]) -> dict[str, bytes]:
-        """Ids of pieces that are not known; one that is a word of ASCII letters is a match by itself, so the merges see it whole."""
+        """Ids of pieces that are not known; one that is a word of Latin letters is a match by itself, so the merges see it whole."""
         out, rest, merges = {}, [], self.model.tokenize
         code = "<H" if self.width == "<u2" else "<I"
         for p in pieces:
             if WORD.fullmatch(p):
-                ids = [t.id for t in merges(p.replace(" ", SPACE))]
+                ids = [t.id for t in merges(p.encode().decode("latin-1").translate(BYTES))]
                 out[p] = struct.pack(f"{code[0]}{len(ids)}{code[1]}", *ids)
             else:
                 rest.append(p)
@@ -144,7 +146,7 @@ LENGTHS = (np.arange(256)[:, None] >> np.arange(0, 8, 2) & 3).astype(np.int64) +
 
 
 def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
-    """Control bytes and data bytes of a document's ranks; the last control byte may have room for ranks that aren't there."""
+    """Control bytes and data bytes of ranks; the last control byte may have room for ranks that aren't there."""
     ranks = ranks.astype("<u4")
     long = (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)  # length less one
     padded = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
@@ -154,18 +156,8 @@ def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
     return control.tobytes(), ranks.view(np.uint8).reshape(-1, 4)[taken].tobytes()
 
 
-def unpack(control: bytes, data: bytes, counts: list[int]) -> np.ndarray:
-    """The ranks of documents with so many ranks, from their streams put together."""
-    lengths = LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)
-    counts = np.array(counts, np.int64)
-    room = -(-counts // 4) * 4
-    if (room != counts).any():
-        ends = np.cumsum(room)
-        empty = room - counts  # up to three places before a document's end
-        gaps = np.repeat(ends, empty) - 1 - (np.arange(empty.sum()) - np.repeat(np.cumsum(empty) - empty, empty))
-        there = np.ones(len(lengths), bool)
-        there[gaps] = False
-        lengths = lengths[there]
+def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
+    lengths = LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:count]
     ends = np.cumsum(lengths)
     starts = ends - lengths
     stream = np.frombuffer(data + b"\0\0\0", np.uint8)
@@ -227,15 +219,16 @@ def write(docs: DataFrame, tokenizer: str, path: str, *, end: int = END, block_i
         held: list[tuple] = []
 
         def block() -> pa.RecordBatch:
-            names, lengths, control, data = (list(c) for c in zip(*held))
-            row = [part, number, before, size, names, lengths, b"".join(control), b"".join(data)]
+            names, own = zip(*held)
+            control, data = pack(rank_of[np.concatenate(own)])
+            row = [part, number, before, size, list(names), [len(ids) for ids in own], control, data]
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=[c.split()[0] for c in BLOCKS.split(", ")])
 
         for batch in batches:
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), batch.column("ids")):
                 own = np.frombuffer(ids.as_buffer(), width)
-                held.append((doc_id, len(own), *pack(rank_of[own])))
+                held.append((doc_id, own))
                 size += len(own)
                 if size >= block_ids:
                     yield block()
@@ -266,7 +259,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     def documents(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                ids = id_of[unpack(row["control"], row["data"], row["lengths"])].tobytes()
+                ids = id_of[unpack(row["control"], row["data"], row["ids"])].tobytes()
                 at = np.cumsum([0, *row["lengths"]])
                 own = [ids[4 * a : 4 * b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
                 first = starts[row["part"]] + row["ids_before"]
