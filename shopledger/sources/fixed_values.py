@@ -53,10 +53,6 @@ RECOMMENDED_IDS = 5
 RECOMMENDED_SHOWN = 4
 SEARCH_LIMIT = 6
 SESSION_SECONDS = 48 * 3600
-RATE_WINDOW_SECONDS = 60
-RATE_MAX_REQUESTS = 60
-BREAKER_THRESHOLD = 4
-BREAKER_RESET_SECONDS = 30
 
 # Histogram bounds.
 LATENCY_BOUNDS = [0.1, 0.3, 0.5, 1, 2, 3, 5, 8, 13]

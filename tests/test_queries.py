@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_file
+from shopledger.sources import shop_tables
 from check import TABLES, duck_rows, spark_rows
 
 FOLDER = "/root/testdata/sf0.001"
@@ -31,7 +32,12 @@ def test_query_equals_sql(spark, duck, name):
 
 def test_random_sample(spark):
     got = entry_file.queries()["l4_random_sample"](spark, FOLDER).collect()
-    assert got and all(len(r["sample"].split(" ")) <= 5 for r in got)
+    carted = {(r.user_id, str(r.product_id)) for r in shop_tables.user_carts(spark, FOLDER).collect()}
+    assert got
+    for r in got:
+        ids = r["sample"].split(" ")
+        assert 0 < len(ids) <= 5 and len(set(ids)) == len(ids)
+        assert not any((r.user_id, i) in carted for i in ids)
 
 
 def test_entry(spark):
