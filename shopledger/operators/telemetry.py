@@ -66,8 +66,13 @@ def _sample(name: str, labels: list[str], value: Column) -> Column:
 
 def metrics_text(requests: DataFrame) -> DataFrame:
     """(section, labels, part, line): all exposition lines; ordering by the first three gives the page."""
-    counts = request_counts(requests)
-    durations = duration_summary(requests)
+    # one scan: counts and sums per status, and these rolled up over the statuses
+    base = with_route(requests).groupBy("method", "route", "status").agg(
+        F.sum("took_us").alias("sum_us"), F.count("*").alias("requests")
+    )
+    both = base.groupingSets([["method", "route", "status"], ["method", "route"]], "method", "route", "status").agg(
+        F.sum("sum_us").alias("sum_us"), F.sum("requests").alias("requests"), F.grouping("status").alias("rolled")
+    )
     total, took = "frontend_http_requests_total", "frontend_http_request_duration_seconds"
     # Exact decimal division by a power of ten; format_number would group digits.
     seconds = (F.col("sum_us").cast("decimal(28,0)") / F.lit(MICROS).cast("decimal(7,0)")).cast("decimal(34,6)")
@@ -83,26 +88,17 @@ def metrics_text(requests: DataFrame) -> DataFrame:
         ]
     )
     head = requests.sparkSession.range(1).select(F.inline(headers))
-    count_lines = counts.select(
-        F.lit(0).alias("section"),
-        F.concat("method", "route", "status").alias("labels"),
-        F.lit(2).alias("part"),
-        _sample(total, ["method", "route", "status"], F.col("requests").cast("string")).alias("line"),
-    )
-    pair = F.array(
-        F.struct(
-            F.lit(2).alias("part"),
-            _sample(took + "_sum", ["method", "route"], seconds.cast("string")).alias("line"),
-        ),
-        F.struct(
-            F.lit(3).alias("part"),
-            _sample(took + "_count", ["method", "route"], F.col("requests").cast("string")).alias("line"),
-        ),
-    )
-    duration_lines = durations.select(
-        F.lit(1).alias("section"), F.concat("method", "route").alias("labels"), F.inline(pair)
-    )
-    return head.unionByName(count_lines).unionByName(duration_lines)
+
+    def line(section: int, labels: Column, part: int, text: Column) -> Column:
+        return F.struct(F.lit(section).alias("section"), labels.alias("labels"), F.lit(part).alias("part"), text.alias("line"))
+
+    requested = F.col("requests").cast("string")
+    counted = line(0, F.concat("method", "route", "status"), 2, _sample(total, ["method", "route", "status"], requested))
+    pair, names = F.concat("method", "route"), ["method", "route"]
+    summed = line(1, pair, 2, _sample(took + "_sum", names, seconds.cast("string")))
+    number = line(1, pair, 3, _sample(took + "_count", names, requested))
+    lines = both.select(F.inline(F.when(F.col("rolled") == 0, F.array(counted)).otherwise(F.array(summed, number))))
+    return head.unionByName(lines)
 
 
 def write_metrics_text(requests: DataFrame, path: str) -> None:

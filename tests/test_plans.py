@@ -44,3 +44,7 @@ def test_orders_are_priced_once(spark, name):
     for column in ("l_orderkey", "p_partkey"):
         assert len(re.findall(rf"FileScan parquet \[{column}#", final)) == 1
     assert "ReusedExchange" in final
+
+
+def test_metrics_page_scans_the_log_once(spark):
+    assert plan(spark, "snk5_metrics_text").split("== Physical Plan ==")[1].count("FileScan parquet") == 1
