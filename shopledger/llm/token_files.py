@@ -41,7 +41,7 @@ from shopledger.session import scratch_path
 END = 0
 BLOCK_IDS = 1 << 18
 BATCH_ROWS = 256  # documents encoded at a time
-CACHED = 500_000  # chunks of each of two generations kept in a worker
+CACHED = 700_000  # chunks of each of two generations kept in a worker
 LONGEST = 48  # characters of a chunk that is kept
 WORD = re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
 #: How byte-level vocabularies write a byte: as itself where it can be seen, else by the next code point from 256 on.

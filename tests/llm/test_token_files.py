@@ -37,7 +37,7 @@ def test_codes():
     assert control == bytes([0b11100100, 0]) and data == bytes([1, 0, 1, 0, 0, 1, 0, 0, 0, 1, 5])
 
 
-@pytest.mark.parametrize("kept", [5, 500_000])
+@pytest.mark.parametrize("kept", [5, 700_000])
 def test_chunks_equal_the_library(tokenizer, kept):
     chunks = token_files.Chunks(PATH, kept)
     rng = random.Random(3)
