@@ -106,15 +106,69 @@ def test_labels_do_not_depend_on_the_task(spark, many_partitions, pause):
         assert {r.call_id: int(r.session_start_us) for r in moved(lifetimes).collect()} == starts
 
 
-def test_jobs_do_not_grow_with_the_parts(spark, many_partitions):
+def test_jobs_grow_with_the_logarithm_of_the_parts(spark, many_partitions):
+    """Twice the parts are one round of links more, of at most eight jobs with its pass."""
     tracker, jobs = spark.sparkContext.statusTracker(), []
-    for parts in ("16", "48"):
+    for parts in ("16", "64"):
         spark.conf.set("spark.sql.shuffle.partitions", parts)
         spark.sparkContext.setJobGroup(f"replay-{parts}", "")
         replay.session_log(spark.createDataFrame(calls(5, pause=0.0), CALLS), 45).collect()
         jobs.append(len(tracker.getJobIdsForGroup(f"replay-{parts}")))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
-    assert jobs[1] == jobs[0]
+    assert jobs[1] <= jobs[0] + 2 * 8
+
+
+def never(*_):
+    raise AssertionError("read in sequence")
+
+
+def in_step(n=4000):
+    """Key 0 calls every second and makes a third of the log; key 1 calls in bursts; others pause."""
+    rows = [(0, i * SECOND, i, False) for i in range(n // 3)]
+    rows += [(1, (i // 50) * 20 * SECOND + i % 3, n + i, False) for i in range(n // 3)]
+    return rows + [(2 + i % 9, i * 7 * SECOND, 2 * n + i, False) for i in range(n // 3)]
+
+
+@pytest.mark.parametrize("lifetime", [1, 7, 45, 400, 3000])
+def test_sessions_of_keys_in_step_are_not_read_in_sequence(spark, many_partitions, monkeypatch, lifetime):
+    """Also lifetimes of several parts, and ones so short that every call starts a session."""
+    monkeypatch.setattr(replay, "_in_sequence", lambda advance: never)
+    for rows in (in_step(), calls(3, pause=0.0)):
+        got = replay.session_log(spark.createDataFrame(rows, CALLS), lifetime).collect()
+        assert {r.call_id: int(r.session_start_us) for r in got} == started(rows, lifetime)
+
+
+def test_links_settle_many_parts(spark, many_partitions, monkeypatch):
+    """A key in step lies in a dozen parts, which the passes leave open."""
+    rows, settled, by_links = in_step(), [], replay._by_links
+
+    def watched(lifetime):
+        finish = by_links(lifetime)
+        return lambda ordered, parts, heads, ends: settled.extend(parts) or finish(ordered, parts, heads, ends)
+
+    monkeypatch.setattr(replay, "_by_links", watched)
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    got = replay.session_log(spark.createDataFrame(rows, CALLS), 45).collect()
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert {r.call_id: int(r.session_start_us) for r in got} == started(rows, 45)
+    assert len(settled) > 8
+
+
+def test_limiter_of_irregular_calls_is_not_read_in_sequence(spark, many_partitions, monkeypatch):
+    """A key with a third of the log and no pause: its parts settle side by side."""
+    monkeypatch.setattr(replay, "_in_sequence", lambda advance: never)
+    rng, at, rows = random.Random(4), 0, []
+    for i in range(12000):
+        at += rng.randint(0, 3 * SECOND)
+        rows.append((0, at, i, False) if i % 3 == 0 else (rng.randint(1, 500), at, i, False))
+    got = replay.rate_limited(spark.createDataFrame(rows, CALLS), 60, 5).collect()
+    assert {r.call_id: r.allowed for r in got} == limited(rows, 60, 5)
+
+
+def test_limiter_of_keys_in_step(spark, many_partitions):
+    rows = in_step()
+    got = replay.rate_limited(spark.createDataFrame(rows, CALLS), 45, 7).collect()
+    assert {r.call_id: r.allowed for r in got} == limited(rows, 45, 7)
 
 
 def test_limiter_edges():
