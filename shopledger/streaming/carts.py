@@ -10,14 +10,20 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 # A user's products are dealt over this many keys, so a busy user is not one task's work.
 SHARES = 8
-OUT = "user_id bigint, product_id bigint, quantity bigint, seq bigint"
+
+
+def _type(events: DataFrame, column: str) -> str:
+    return events.schema[column].dataType.simpleString()
 
 
 class _CartShare(StatefulProcessor):
-    """State of one share of a user's products: quantity per product."""
+    """State of one share of a user's products: quantity per product, ids of the stream's own type."""
+
+    def __init__(self, product_type: str):
+        self._product_type = product_type
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._lines = handle.getMapState("lines", "product_id bigint", "quantity bigint")
+        self._lines = handle.getMapState("lines", f"product_id {self._product_type}", "quantity bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         user_id, last = key[0], {}
@@ -40,17 +46,19 @@ class _CartShare(StatefulProcessor):
 
 
 def cart_updates(events: DataFrame) -> DataFrame:
-    """Changed lines per micro-batch; quantity 0 means the line is gone.
+    """Changed lines per micro-batch; quantity 0 means the line is gone. Ids keep the stream's types.
 
     An add goes to its product's share, an empty to every share of the user. The session
     needs the RocksDB state store provider.
     """
     share = F.pmod(F.xxhash64("product_id"), F.lit(SHARES)).cast("int")
     shares = F.when(F.col("kind") == "empty", F.sequence(F.lit(0), F.lit(SHARES - 1))).otherwise(F.array(share))
+    product = _type(events, "product_id")
+    out = f"user_id {_type(events, 'user_id')}, product_id {product}, quantity bigint, seq {_type(events, 'seq')}"
     return (
         events.withColumn("share", F.explode(shares))
         .groupBy("user_id", "share")
-        .transformWithState(_CartShare(), OUT, "Update", "None")
+        .transformWithState(_CartShare(product), out, "Update", "None")
     )
 
 

@@ -51,9 +51,10 @@ class _Limiter(StatefulProcessor):
 
 
 def live_rate_limit(calls: DataFrame, window_seconds: int, max_requests: int) -> DataFrame:
-    """A stream of calls(key, at_us, call_id) with ``allowed``."""
+    """A stream of calls(key, at_us, call_id) with ``allowed``; keys and ids keep the stream's types."""
+    key, call = (calls.schema[c].dataType.simpleString() for c in ("key", "call_id"))
     return calls.groupBy("key").transformWithState(
-        _Limiter(window_seconds, max_requests), "key bigint, call_id bigint, allowed boolean", "Append", "None"
+        _Limiter(window_seconds, max_requests), f"key {key}, call_id {call}, allowed boolean", "Append", "None"
     )
 
 

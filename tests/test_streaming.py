@@ -86,6 +86,31 @@ def test_rate_limit_stream(spark, tmp_path):
     assert got == {(r.call_id, r.allowed) for r in replay.rate_limited(df, 20, 3).collect()}
 
 
+def test_string_ids(spark, tmp_path):
+    """Users, products, keys and calls named by text, over several micro-batches."""
+    rng = random.Random(6)
+    log = [
+        (i, f"user-{rng.randint(0, 4)}", "empty" if rng.random() < 0.1 else "add", f"OLJ{rng.randint(0, 9)}", rng.randint(1, 4))
+        for i in range(240)
+    ]
+    df = spark.createDataFrame(log, "seq bigint, user_id string, kind string, product_id string, quantity bigint")
+    stream = runs.event_stream(spark, in_files(df, tmp_path / "carts", "seq"), df.schema, "*.parquet", files_per_batch=1)
+    updates = runs.run_available(live_carts.cart_updates(stream), "update", "carts")
+    assert dict(updates.dtypes)["user_id"] == dict(updates.dtypes)["product_id"] == "string"
+    got = {tuple(r) for r in live_carts.current_lines(updates).select("user_id", "product_id", "quantity").collect()}
+    assert got == {tuple(r) for r in carts.cart_state(df).select("user_id", "product_id", "quantity").collect()}
+
+    calls = spark.createDataFrame(
+        [(f"key-{i % 3}", i * 2_000_000, f"call-{i:03}", i) for i in range(150)], "key string, at_us bigint, call_id string, n bigint"
+    )
+    folder = in_files(calls, tmp_path / "calls", "n")
+    stream = runs.event_stream(spark, folder, calls.schema, "*.parquet", files_per_batch=1).drop("n")
+    seen = runs.run_available(live.live_rate_limit(stream, 20, 2), "append", "limits")
+    want = {tuple(r) for r in replay.rate_limited(calls.drop("n"), 20, 2).select("key", "call_id", "allowed").collect()}
+    assert {tuple(r) for r in seen.select("key", "call_id", "allowed").collect()} == want
+    assert {allowed for _, _, allowed in want} == {True, False}
+
+
 def requests(spark):
     rows = spark.range(300).select(
         F.col("id").alias("req_id"), F.timestamp_seconds(F.col("id") * 7).alias("ts"), F.lit("GET").alias("method"),
