@@ -1,13 +1,13 @@
 """Repeated lines dropped by probing a sharded minimal perfect hash.
 
-A line's key is hashed to 128 bits. Keys that two documents have are indexed: they are dealt to shards
-of about SHARD_KEYS keys, and every shard gets a minimal perfect hash, built level by level (a key
-that is alone on its bit of a level stays there, the others go on to the next level; the rank of
-its bit is its place), with an array of 64-bit fingerprints, one of document counts and one of
-owners, the smallest doc_id of each key. Documents never join with lines: their key hashes go to
-the shard, stream past its arrays, and the fingerprint tells strangers from members. A
-shard with many probes, such as those of one very common line, is copied to several tasks by the
-measured counts.
+A line's key is hashed to 128 bits. The distinct hashes are dealt to shards of about SHARD_KEYS
+keys, and every shard gets a minimal perfect hash, built level by level (a key that is alone on its
+bit of a level stays there, the others go on to the next level; the rank of its bit is its place),
+with an array of 64-bit fingerprints. Documents never join with lines: their key hashes go to the
+shard and stream past it twice. The first time they fill an array of document counts and one of
+owners, the smallest doc_id of each key; the second time these arrays say which lines are lost.
+A shard with many probes, such as those of one very common line, is copied to several tasks by the
+measured counts, and what the copies counted is added up in two steps.
 
 Defined results: a null or empty text is one empty line; rows with the same doc_id are one document,
 null ids together the one after all others; a repeated row is treated like its twin; an empty
@@ -23,7 +23,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,6 +34,7 @@ LEAST = 10  # code points of a key that counts
 SHARD_KEYS = 1 << 16
 SHARD_PROBES = 1 << 18  # probes of a shard before it is copied
 MOST_COPIED = 10_000  # shards that can be copied, at most (those with the most probes)
+COPIES_ADDED = 128  # copies of a shard whose counts are added up in the first step
 NO_ID = (1 << 63) - 1
 
 
@@ -130,95 +131,169 @@ def _keys(docs: DataFrame) -> DataFrame:
     return docs.select("__id", "__row", "text").mapInArrow(split, "id long, row long, high long, low long, lines array<int>")
 
 
-def _index(repeated: DataFrame) -> DataFrame:
-    """shard, load, hash, prints, counts, owners: one row a shard; load is the number of its members' probes."""
+def _index(distinct: DataFrame, shard: Column) -> DataFrame:
+    """shard, hash, prints of the distinct keys: one row a shard."""
 
     def build(batches):
         parts, now = [], None
 
         def row():
-            high, low, count, owner = (np.concatenate(c) for c in zip(*parts))
-            made = PerfectHash.build(high.view(np.uint64), low.view(np.uint64))
-            at = made.places(high.view(np.uint64), low.view(np.uint64))
-            prints, counts, owners = np.empty(len(at), "<u8"), np.empty(len(at), "<u4"), np.empty(len(at), "<i8")
-            prints[at], counts[at], owners[at] = low.view(np.uint64), np.minimum(count, 0xFFFFFFFF), owner
+            high, low = (np.concatenate(c).view(np.uint64) for c in zip(*parts))
+            made = PerfectHash.build(high, low)
+            prints = np.empty(len(high), "<u8")
+            prints[made.places(high, low)] = low
             return arrow_rows({
-                "shard": (pa.int64(), [now]), "load": (pa.int64(), [int(count.sum())]), "hash": (pa.binary(), [made.to_bytes()]),
-                "prints": (pa.binary(), [prints.tobytes()]), "counts": (pa.binary(), [counts.tobytes()]), "owners": (pa.binary(), [owners.tobytes()]),
+                "shard": (pa.int64(), [now]), "hash": (pa.binary(), [made.to_bytes()]), "prints": (pa.binary(), [prints.tobytes()]),
             })
 
         for batch in batches:
-            shard = batch.column("shard").to_numpy()
-            columns = [batch.column(c).to_numpy() for c in ("high", "low", "count", "owner")]
-            bounds = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1], [True]])) if len(shard) else []
-            for a, b in zip(bounds[:-1], bounds[1:]):
-                if now is not None and shard[a] != now:
+            columns = [batch.column(c).to_numpy() for c in ("high", "low")]
+            for number, a, b in _stretches(batch.column("shard").to_numpy()):
+                if now is not None and number != now:
                     yield row()
                     parts = []
-                now = int(shard[a])
+                now = number
                 parts.append([c[a:b] for c in columns])
         if parts:
             yield row()
 
     return (
-        repeated.repartition("shard").sortWithinPartitions("shard").select("shard", "high", "low", "count", "owner")
-        .mapInArrow(build, "shard long, load long, hash binary, prints binary, counts binary, owners binary")
+        distinct.repartition(shard).select(shard.alias("shard"), "high", "low").sortWithinPartitions("shard")
+        .mapInArrow(build, "shard long, hash binary, prints binary")
     )
 
 
-def _drops(docs: DataFrame, shard_keys: int, shard_probes: int) -> DataFrame:
-    """__id, __row, __drop: the line numbers each document loses."""
-    spark = docs.sparkSession
-    keys = written(_keys(docs), "line-keys")
-    repeated = written(
-        keys.groupBy("high", "low").agg(F.min("id").alias("owner"), F.max("id").alias("last"), F.count("*").alias("count"))
-        .filter("owner != last").drop("last"), "line-repeated",
-    )
-    shards = max(1, math.ceil(repeated.count() / shard_keys))
-    shard = F.pmod(F.col("high"), F.lit(shards))
-    index = written(_index(repeated.withColumn("shard", shard)), "line-index")
-    total = index.agg(F.sum("load")).collect()[0][0] or 0
-    # at most MOST_COPIED rows: their loads are above that share of the total
-    most = max(shard_probes, total // MOST_COPIED)
-    busy = index.filter(F.col("load") > most).select("shard", F.ceil(F.col("load") / most).cast("int").alias("copies")).collect()
-    copies = F.broadcast(spark.createDataFrame([tuple(r) for r in busy], T.StructType([T.StructField("shard", T.LongType()), T.StructField("copies", T.IntegerType())])))
-    arrays = (
-        index.join(copies, "shard", "left").withColumn("copy", F.explode(F.sequence(F.lit(0), F.coalesce("copies", F.lit(1)) - 1)))
-        .select("shard", "copy", F.lit(0).alias("kind"), "hash", "prints", "counts", "owners", *(F.lit(None).cast(t).alias(c) for c, t in (("high", "long"), ("low", "long"), ("id", "long"), ("row", "long"), ("lines", "array<int>"))))
+def _stretches(values: np.ndarray) -> list[tuple[int, int, int]]:
+    """(value, from, to) of every stretch of equal values."""
+    bounds = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1], [True]])).tolist() if len(values) else []
+    return [(int(values[a]), a, b) for a, b in zip(bounds[:-1], bounds[1:])]
+
+
+ARRAYS = {"hash": "binary", "prints": "binary", "counts": "binary", "owners": "binary"}
+PROBE = {"high": "long", "low": "long", "id": "long", "row": "long", "lines": "array<int>"}
+
+
+def _past(arrays: DataFrame, keys: DataFrame, shard: Column, copies: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows of both kinds by shard and copy, the arrays of each (kind 0) before its probes."""
+    nulls = lambda kinds: [F.lit(None).cast(t).alias(c) for c, t in kinds.items()]
+    held = {c: t for c, t in ARRAYS.items() if c in arrays.columns}
+    asked = {c: t for c, t in PROBE.items() if c in columns}
+    copied = (
+        arrays.join(copies, "shard", "left").withColumn("copy", F.explode(F.sequence(F.lit(0), F.coalesce("copies", F.lit(1)) - 1)))
+        .select("shard", "copy", F.lit(0).alias("kind"), *held, *nulls(asked))
     )
     probes = (
         keys.withColumn("shard", shard).join(copies, "shard", "left")
-        .select("shard", F.pmod(F.col("row"), F.coalesce("copies", F.lit(1))).cast("int").alias("copy"), F.lit(1).alias("kind"), *(F.lit(None).cast("binary").alias(c) for c in ("hash", "prints", "counts", "owners")), "high", "low", "id", "row", "lines")
+        .select("shard", F.pmod(F.col("row"), F.coalesce("copies", F.lit(1))).cast("int").alias("copy"), F.lit(1).alias("kind"), *nulls(held), *asked)
     )
-
-    def probe(batches):
-        now, arrays_ = None, None
+    return copied.union(probes).repartition("shard", "copy").sortWithinPartitions("shard", "copy", "kind")
+
+
+def _cells(batches):
+    """(shard, copy, arrays, probes): a stretch of probes with the arrays of its cell, which come with probes None first."""
+    now = None
+    for batch in batches:
+        copy, kind = batch.column("copy").to_numpy(), batch.column("kind").to_numpy()
+        for shard, a, b in _stretches(batch.column("shard").to_numpy()):
+            for number, c, d in _stretches(copy[a:b]):
+                first = a + c + int((kind[a + c : a + d] == 0).sum())
+                if first > a + c:
+                    get = {n: batch.column(n)[a + c].as_py() for n in ARRAYS if n in batch.schema.names}
+                    now = PerfectHash.from_bytes(get["hash"]), np.frombuffer(get["prints"], "<u8"), get
+                    yield shard, number, now, None
+                if first < a + d:
+                    yield shard, number, now, batch.slice(first, a + d - first)
+
+
+def _placed(arrays, probes) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the probes, and whether the fingerprint there is theirs."""
+    made, prints, _ = arrays
+    high, low = (probes.column(c).to_numpy().view(np.uint64) for c in ("high", "low"))
+    at = made.places(high, low)
+    return at, (at >= 0) & (prints[at] == low)
+
+
+def _count_row(shard: int, copy: int, counts: np.ndarray, owners: np.ndarray) -> pa.RecordBatch:
+    return arrow_rows({
+        "shard": (pa.int64(), [shard]), "copy": (pa.int32(), [copy]),
+        "counts": (pa.binary(), [counts.tobytes()]), "owners": (pa.binary(), [owners.tobytes()]),
+    })
+
+
+COUNTED = "shard long, copy int, counts binary, owners binary"
+
+
+def _count(batches):
+    """Counts and owners of one copy's probes."""
+    cell = counts = owners = None
+    for shard, copy, arrays, probes in _cells(batches):
+        if probes is None:
+            if cell is not None:
+                yield _count_row(*cell, counts, owners)
+            n = len(arrays[1])
+            cell, counts, owners = (shard, copy), np.zeros(n, "<u4"), np.full(n, NO_ID, "<i8")
+            continue
+        at, member = _placed(arrays, probes)
+        np.minimum.at(owners, at[member], probes.column("id").to_numpy()[member])
+        more = np.bincount(at[member], minlength=len(counts)) + counts
+        counts = np.minimum(more, 0xFFFFFFFF).astype("<u4")
+    if cell is not None:
+        yield _count_row(*cell, counts, owners)
+
+
+def _added_up(counted: DataFrame, copy: Column) -> DataFrame:
+    """Counts added and owners compared over the rows of a shard with one value of copy; two rows are held at a time."""
+
+    def add(batches):
+        cell = counts = owners = None
         for batch in batches:
-            cell = list(zip(batch.column("shard").to_pylist(), batch.column("copy").to_pylist(), batch.column("kind").to_pylist()))
-            i = 0
-            while i < len(cell):
-                j = i
-                while j < len(cell) and cell[j] == cell[i]:
-                    j += 1
-                if cell[i][2] == 0:
-                    get = lambda c: batch.column(c)[i].as_py()
-                    now = cell[i][:2]
-                    arrays_ = PerfectHash.from_bytes(get("hash")), np.frombuffer(get("prints"), "<u8"), np.frombuffer(get("owners"), "<i8")
-                elif now == cell[i][:2]:
-                    part = batch.slice(i, j - i)
-                    made, prints, owners = arrays_
-                    high, low = part.column("high").to_numpy().view(np.uint64), part.column("low").to_numpy().view(np.uint64)
-                    at = made.places(high, low)
-                    member = (at >= 0) & (prints[at] == low)
-                    lost = member & (owners[at] != part.column("id").to_numpy())
-                    if lost.any():
-                        kept = pa.RecordBatch.from_arrays([part.column("id"), part.column("row"), part.column("lines")], names=["__id", "__row", "lines"])
-                        yield kept.filter(pa.array(lost))
-                i = j
+            for i, key in enumerate(zip(batch.column("shard").to_pylist(), batch.column("copy").to_pylist())):
+                more = np.frombuffer(batch.column("counts")[i].as_py(), "<u4")
+                other = np.frombuffer(batch.column("owners")[i].as_py(), "<i8")
+                if key != cell:
+                    if cell is not None:
+                        yield _count_row(*cell, counts, owners)
+                    cell, counts, owners = key, more, other
+                else:
+                    counts = np.minimum(counts.astype("<u8") + more, 0xFFFFFFFF).astype("<u4")
+                    owners = np.minimum(owners, other)
+        if cell is not None:
+            yield _count_row(*cell, counts, owners)
+
+    return counted.withColumn("copy", copy.cast("int")).repartition("shard", "copy").sortWithinPartitions("shard", "copy").mapInArrow(add, COUNTED)
+
+
+def _lose(batches):
+    """Probes whose key two documents have and whose document is not its owner."""
+    for _, _, arrays, probes in _cells(batches):
+        if probes is None:
+            counts, owners = np.frombuffer(arrays[2]["counts"], "<u4"), np.frombuffer(arrays[2]["owners"], "<i8")
+            continue
+        at, member = _placed(arrays, probes)
+        # Rows of one doc_id count apart, but then the owner is that document itself.
+        lost = member & (counts[at] > 1) & (owners[at] != probes.column("id").to_numpy())
+        if lost.any():
+            kept = [probes.column(c) for c in ("id", "row", "lines")]
+            yield pa.RecordBatch.from_arrays(kept, names=["__id", "__row", "lines"]).filter(pa.array(lost))
+
 
+def _drops(docs: DataFrame, shard_keys: int, shard_probes: int) -> DataFrame:
+    """__id, __row, __drop: the line numbers each document loses."""
+    spark = docs.sparkSession
+    keys = written(_keys(docs), "line-keys")
+    distinct = written(keys.select("high", "low").distinct(), "line-distinct")
+    shard = F.pmod(F.col("high"), F.lit(max(1, math.ceil(distinct.count() / shard_keys))))
+    index = written(_index(distinct, shard), "line-index")
+    loads = keys.groupBy(shard.alias("shard")).agg(F.count("*").alias("load"))
+    # at most MOST_COPIED rows: their loads are above that share of the total
+    most = max(shard_probes, keys.count() // MOST_COPIED)
+    busy = loads.filter(F.col("load") > most).select("shard", F.ceil(F.col("load") / most).cast("int").alias("copies")).collect()
+    copies = F.broadcast(spark.createDataFrame([tuple(r) for r in busy], T.StructType([T.StructField("shard", T.LongType()), T.StructField("copies", T.IntegerType())])))
+    counted = _past(index, keys, shard, copies, ["high", "low", "id"]).mapInArrow(_count, COUNTED)
+    counted = _added_up(_added_up(counted, F.floor(F.col("copy") / COPIES_ADDED)), F.lit(0)).drop("copy")
+    filled = written(index.join(counted, "shard"), "line-counts")
     return (
-        arrays.union(probes).repartition("shard", "copy").sortWithinPartitions("shard", "copy", "kind")
-        .mapInArrow(probe, "__id long, __row long, lines array<int>")
+        _past(filled, keys, shard, copies, list(PROBE)).mapInArrow(_lose, "__id long, __row long, lines array<int>")
         .groupBy("__id", "__row").agg(F.array_distinct(F.flatten(F.collect_list("lines"))).alias("__drop"))
     )
 

@@ -55,6 +55,29 @@ def odd(spark):
     return spark.createDataFrame([(i, t, None, None, None, None, None, None, None) for i, t in rows], SCHEMA)
 
 
+def test_line_counts_of_many_copies(docs, rows, monkeypatch):
+    """One shard, a task per probe or so, counts added up two by two and then together."""
+    monkeypatch.setattr(lines, "COPIES_ADDED", 2)
+    got = lines.line_digests(docs, shard_keys=1 << 20, shard_probes=3).collect()
+    assert {r.doc_id: (r.n_lines, r.n_dropped, r.kept_sha256) for r in got} == brute.line_digests(rows)
+
+
+def test_line_arrays(spark):
+    """The arrays hold, at each key's place, its fingerprint, how many rows have it and the smallest doc_id."""
+    keys = [(i % 7 * 1000 + 1, i % 7 + 50, 30 - i) for i in range(30)]
+    low = spark.createDataFrame(keys, "high long, low long, id long").withColumn("row", F.xxhash64("id"))
+    shard, copies = F.lit(0).cast("long"), spark.createDataFrame([(0, 4)], "shard long, copies int")
+    index = lines._index(low.select("high", "low").distinct(), shard)
+    counted = lines._past(index, low, shard, copies, ["high", "low", "id"]).mapInArrow(lines._count, lines.COUNTED)
+    assert counted.count() == 4
+    (row,) = lines._added_up(counted, F.lit(0)).collect()
+    made = lines.PerfectHash.from_bytes(index.collect()[0]["hash"])
+    for n in range(7):
+        mine = [i for high, _, i in keys if high == n * 1000 + 1]
+        (at,) = made.places(np.array([n * 1000 + 1], np.uint64), np.array([n + 50], np.uint64))
+        assert np.frombuffer(row.counts, "<u4")[at] == len(mine) and np.frombuffer(row.owners, "<i8")[at] == min(mine)
+
+
 def test_lines(docs, rows, empty, odd):
     want = brute.line_digests(rows)
     for shard_keys, probes in ((1 << 16, 1 << 18), (3, 2)):
