@@ -47,14 +47,15 @@ WORD = re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
 #: How byte-level vocabularies write a byte: as itself where it can be seen, else by the next code point from 256 on.
 SEEN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTES = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(SEEN)))}
+SPACE = chr(BYTES[32])
 TAIL = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")  # a contraction starts with '
 
 
-class Chunks:
+class Chunks(dict):
     """Ids of texts by a byte-level tokenizer, as bytes (`width`: unsigned, little-endian, 16 bits where the vocabulary allows).
 
     A match of the tokenizer's pattern never crosses the start of a chunk, so a chunk's ids don't
-    depend on its neighbours, and those met before are kept: in two generations, of which the
+    depend on its neighbours, and those met before are kept by chunk: in two generations, of which the
     older is dropped when the younger is full; what is met again moves to the younger.
     """
 
@@ -66,11 +67,12 @@ class Chunks:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.kept = kept
         self.width = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self.model = self.tokenizer.model
+        code = "H" if self.width == "<u2" else "I"
+        self.packs = [struct.Struct(f"<{n}{code}").pack for n in range(LONGEST)]
+        self.merges = self.tokenizer.model.tokenize
 
     @classmethod
     def of(cls, path: str) -> "Chunks":
@@ -82,62 +84,39 @@ class Chunks:
         found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         return [np.array(e.ids, self.width).tobytes() for e in found]
 
-    def _new(self, pieces: set[str]) -> dict[str, bytes]:
-        """Ids of pieces that are not known; one that is a word of Latin letters is a match by itself, so the merges see it whole."""
-        out, rest, merges = {}, [], self.model.tokenize
-        code = "<H" if self.width == "<u2" else "<I"
-        for p in pieces:
-            if WORD.fullmatch(p):
-                ids = [t.id for t in merges(p.encode().decode("latin-1").translate(BYTES))]
-                out[p] = struct.pack(f"{code[0]}{len(ids)}{code[1]}", *ids)
+    def _new(self, piece: str) -> bytes:
+        """Ids of a piece that is not known; a word of Latin letters is a match by itself, so the merges see it whole."""
+        if not WORD.fullmatch(piece):
+            return self._each([piece])[0]
+        seen = piece.replace(" ", SPACE) if piece.isascii() else piece.encode().decode("latin-1").translate(BYTES)
+        ids = [t.id for t in self.merges(seen)]
+        return self.packs[len(ids)](*ids) if len(ids) < LONGEST else np.array(ids, self.width).tobytes()
+
+    def __missing__(self, chunk: str) -> bytes:
+        """Ids of a chunk that is not in the younger generation; with punctuation cut off, where it follows a letter or digit."""
+        ids = self.old.get(chunk)
+        if ids is None:
+            core = chunk.rstrip(TAIL)
+            if core and len(core) < len(chunk) and core[-1].isalnum():
+                ids = self[core] + self[chunk[len(core) :]]
             else:
-                rest.append(p)
-        out.update(zip(rest, self._each(rest)))
-        return out
-
-    def _missing(self, chunks: set[str]) -> dict[str, bytes]:
-        """Ids of chunks that are not in the younger generation; with punctuation cut off, where it follows a letter or digit."""
-        young, old = self.young, self.old
-        out, parts, ask = {}, [], set()
-        for c in chunks:
-            ids = old.get(c)
-            if ids is not None:
-                out[c] = ids
-                continue
-            core = c.rstrip(TAIL)
-            if len(core) == len(c) or not core or not core[-1].isalnum():
-                ask.add(c)
-                continue
-            tail = c[len(core) :]
-            parts.append((c, core, tail))
-            for p in (core, tail):
-                ids = young.get(p) or old.get(p)
-                if ids is None:
-                    ask.add(p)
-                else:
-                    out[p] = ids
-        out.update(self._new(ask))
-        for c, core, tail in parts:
-            out[c] = out[core] + out[tail]
-        return out
+                ids = self._new(chunk)
+        if len(chunk) <= LONGEST:
+            self[chunk] = ids
+        return ids
 
     def encode(self, batch: list[str]) -> list[bytes]:
+        known = self.__getitem__
         whole = [i for i, t in enumerate(batch) if any(s in t for s in self.special)]
-        split = [CHUNK.findall(t) for t in batch]
-        for i in whole:  # special strings are cut out before the pattern is looked for
-            split[i] = []
-        young = self.young
-        fresh = self._missing(set().union(*split).difference(young))
-        young.update(fresh)
-        known = young.__getitem__
-        out = [b"".join(map(known, chunks)) for chunks in split]
+        out = [b""] * len(batch)
+        for i in sorted({*range(len(batch))}.difference(whole)):
+            out[i] = b"".join(map(known, CHUNK.findall(batch[i])))
+            if len(self) >= self.kept:
+                self.old = dict(self)
+                self.clear()
+        # special strings are cut out before the pattern is looked for
         for i, ids in zip(whole, self._each([batch[i] for i in whole])):
             out[i] = ids
-        for c in fresh:
-            if len(c) > LONGEST:
-                del young[c]
-        if len(young) >= self.kept:
-            self.old, self.young = young, {}
         return out
 
 

@@ -84,3 +84,16 @@ def test_odd_tables(spark, tokenizer):
     assert [r.start for r in got] == [0, *np.cumsum([r.n_tokens for r in got])[:-1]]
     assert token_files.digests(docs.limit(0), PATH).collect() == []
     assert dict(token_files.digests(docs.filter(F.lit(False)), PATH).dtypes) == {"doc_id": "bigint", "start": "bigint", "n_tokens": "bigint", "ids_crc32": "bigint"}
+
+
+def test_kept_chunks_stay_bounded_within_a_batch(tokenizer):
+    """Generations change between the texts of a batch; a chunk found again moves to the younger."""
+    chunks = token_files.Chunks(PATH, 20)
+    batch = [" ".join(f"w{i}x{j}," for j in range(5)) for i in range(40)] + ["again"] * 3
+    for text, found in zip(batch, chunks.encode(batch)):
+        assert np.frombuffer(found, chunks.width).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+        assert len(found) == len(b"".join(chunks[c] for c in token_files.CHUNK.findall(text)))
+    chunks.clear()
+    chunks.old = {}
+    chunks.encode(batch)
+    assert len(chunks) < 20 + 15 and len(chunks.old) < 20 + 15 and "again" in chunks
