@@ -33,16 +33,16 @@ from pyspark.sql import functions as F
 
 from shopledger.llm.common import arrow_rows, texts
 
-PAIRS, CHUNKS = 300_000, 200_000  # entries of each generation kept in a worker, at most
+PAIRS, CHUNKS = 300_000, 500_000  # entries of each generation kept in a worker, at most
 #: White space as Unicode has it; the rank files' tokenizers split at these and no other code points.
 SPACES = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: Where the pattern always ends a match: before a run of other characters with at most one space in front.
 CHUNK = re.compile(f" ?[^{SPACES}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+")
-WORD = re.compile(" ?[A-Za-z]+")  # one match by itself
+WORD = re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")  # one match by itself
 TAIL = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")  # a contraction starts with '
 CHUNK_IDS = 8_192  # ids decoded at a time
-START, NONE = -1, 1 << 60
-PAIR = 1 << 32  # a pair of tokens as one number: (token before + 1) x PAIR + token
+NONE = 1 << 60
+PAIR = 1 << 32  # a pair of tokens as one number: (token before + 1) x PAIR + token; at the start, only the token
 HELD = 1_024  # bytes held before the tokens that are certain are emitted
 
 
@@ -59,7 +59,7 @@ class Transducer:
     and as the deepest place decides all others there are no more of them than places. A state names the tokens that
     end there, longest first. The one of them that may follow the token with which the bytes before it end is the
     token with which a valid sequence of all bytes so far ends; going back from any position over these tokens gives
-    the sequence up to it.
+    the sequence up to it. As exactly one of them may, the last needs no check if no longer one may.
     """
 
     def __init__(self, ranks: dict[bytes, int]):
@@ -87,8 +87,7 @@ class Transducer:
         self.edges: dict[int, tuple] = {}
         self.numbers: dict[tuple[int, ...], int] = {(): 0}
         self.places: list[tuple[int, ...]] = [()]  # of each state, deepest first
-        self.ending: list[tuple[tuple[int, int], ...]] = [()]  # (token, length), longest first
-        self.steps: list[dict[int, int]] = [{}]
+        self.steps: list[dict[int, tuple]] = [{}]  # by byte: the state, its steps, the tokens that end there
 
     def merged(self, data: bytes) -> tuple[list[bytes], list[bytes], list[bytes]]:
         """The merges applied to a short byte string, lowest rank first, leftmost of equals.
@@ -154,23 +153,29 @@ class Transducer:
             self.pairs[key] = known
         return known
 
-    def _step(self, state: int, byte: int) -> int:
-        """Follow all open paths, and a new one, over one more byte."""
+    def _step(self, state: int, byte: int) -> tuple:
+        """Follow all open paths, and a new one, over one more byte.
+
+        Tokens that end there, longest first: (token, length, its share of a pair's number); the last by itself.
+        """
         ahead = tuple([c for c in (self.children[node].get(byte) for node in (*self.places[state], 0)) if c is not None])
         number = self.numbers.get(ahead)
         if number is None:
             number = self.numbers[ahead] = len(self.places)
             self.places.append(ahead)
             self.steps.append({})
-            self.ending.append(tuple([(self.token_at[n], self.depths[n]) for n in ahead if self.token_at[n] is not None and self._ends(self.token_at[n])[0]]))
-        self.steps[state][byte] = number
-        return number
+        met = [(self.token_at[n], self.depths[n]) for n in ahead if self.token_at[n] is not None and self._ends(self.token_at[n])[0]]
+        if not met:
+            raise ValueError("a byte is not in the vocabulary")
+        ending = [(token, length, (token + 1) * PAIR) for token, length in met]
+        made = self.steps[state][byte] = (number, self.steps[number], tuple(ending[:-1]), ending[-1][2])
+        return made
 
-    def _back(self, lasts: list[int], at: int, stop: int = 0) -> list[int]:
+    def _back(self, held: list[int], at: int) -> list[int]:
         """Starts of the tokens before position `at`, nearest first."""
         out = []
-        while at > stop:
-            at -= self.lengths[lasts[at - 1]]
+        while at > 0:
+            at -= self.lengths[held[at] // PAIR - 1]
             out.append(at)
         return out
 
@@ -179,45 +184,40 @@ class Transducer:
         if whole is not None:
             return [whole]
         out: list[int] = []
-        lasts: list[int] = []  # for each byte held, the last token of all up to it
-        state, prior, n = 0, START, 0
-        steps, ending, pair, known = self.steps, self.ending, self._pair, self.pairs.get
+        held = [0]  # the token before those held, and for each byte held the last token of all up to it, as shares of pairs
+        state, n = 0, 0
+        steps, pair, known, add = self.steps[0], self._pair, self.pairs.get, held.append
         for byte in data:
-            now = steps[state].get(byte)
-            state = self._step(state, byte) if now is None else now
-            for token, length in ending[state]:
-                if length > n:
-                    if length > n + 1:
-                        continue
-                    key = (prior + 1) * PAIR + token
-                else:
-                    key = (lasts[n - length] + 1) * PAIR + token
-                fits = known(key)
-                if fits or (fits is None and pair(key)):
-                    lasts.append(token)
-                    break
-            else:
-                raise ValueError("a byte is not in the vocabulary")
+            state, steps, ending, last = steps.get(byte) or self._step(state, byte)
             n += 1
+            for token, length, share in ending:
+                if length <= n:
+                    key = held[n - length] + token
+                    fits = known(key)
+                    if fits or (fits is None and pair(key)):
+                        add(share)
+                        break
+            else:
+                add(last)
             if n >= HELD:  # emit what all open paths share
-                common = set(self._back(lasts, n))
+                common = set(self._back(held, n))
                 for node in self.places[state]:
                     start = n - self.depths[node]
                     if start >= 0:
-                        common &= {start, *self._back(lasts, start)}
+                        common &= {start, *self._back(held, start)}
                 cut = max(common)
                 if cut:
-                    out += self._tokens(lasts, cut)
-                    prior = out[-1]
-                    del lasts[:cut]
-                    n = len(lasts)
-        return out + self._tokens(lasts, n)
+                    out += self._tokens(held, cut)
+                    del held[:cut]
+                    n -= cut
+        return out + self._tokens(held, n)
 
-    def _tokens(self, lasts: list[int], at: int) -> list[int]:
+    def _tokens(self, held: list[int], at: int) -> list[int]:
         found = []
         while at > 0:
-            found.append(lasts[at - 1])
-            at -= self.lengths[lasts[at - 1]]
+            token = held[at] // PAIR - 1
+            found.append(token)
+            at -= self.lengths[token]
         return found[::-1]
 
 
