@@ -10,8 +10,8 @@ too, and no task holds a whole shard.
 
 Law `rows`: shard sizes differ by one at most. Only ids, sizes and checksums are moved, never texts.
 
-A row's random numbers are hashes of where it was read, written before they are used, so rows that are equal
-in all columns fall apart like any others. The same files read in the same parts give the same shuffle.
+A row's random numbers are hashes of its columns and its number among rows that are equal in all of them, so such
+rows fall apart like any others, and the same rows give the same shuffle, however they are read.
 
 Defined results: a null text has size 1 (0 bytes plus 1) and the checksum of the empty text; null
 and repeated ids and equal rows are rows like any other; an empty table gives an empty result; other columns of
@@ -31,6 +31,7 @@ from pyspark.sql.window import Window
 from shopledger.llm.common import written
 
 BLOCK_ROWS = 1_024  # rows a block holds on average, as long as there are at most MOST_BLOCKS
+EQUAL_ROWS = 1 << 16  # rows equal in all columns that are numbered at a time
 MOST_BLOCKS = 100_000  # bounds the matrix on the driver; beyond, blocks grow
 
 
@@ -124,10 +125,14 @@ def shard_documents(docs: DataFrame, shards: int = 8, seed: int = 42, *, block_r
         F.col("doc_id"),
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.monotonically_increasing_id().alias("row"),
     )
-    # by where a row was read: equal rows are rows like any other
-    keys = keys.withColumn("draw", F.xxhash64(F.lit(seed), F.col("row"), F.col("text_crc32")))
+    # equal rows are counted and numbered: they are rows like any other
+    columns = keys.columns
+    keys = keys.groupBy(*columns).agg(F.count("*").alias("copies"))
+    first = F.explode(F.sequence(F.lit(1).cast("long"), "copies", F.lit(EQUAL_ROWS).cast("long"))).alias("first")
+    keys = keys.select(*columns, "copies", first).repartition(*columns, "first")
+    keys = keys.select(*columns, F.explode(F.sequence("first", F.least("copies", F.col("first") + (EQUAL_ROWS - 1)))).alias("row"))
+    keys = keys.withColumn("draw", F.xxhash64(F.lit(seed), F.isnull("doc_id"), *columns, "row"))
     placed = shuffled_shards(written(keys, "shard-keys"), shards, seed, block_rows=block_rows)
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard"), "slot",

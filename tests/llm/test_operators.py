@@ -524,3 +524,15 @@ def test_stages_judge_all_rows(spark, docs):
 def test_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
     assert numbers == list(range(1, 14)) and len(corpus_pipeline.STAGES) == 5
+
+
+def test_sharding_numbers_equal_rows_in_pieces(spark, monkeypatch):
+    """Many equal rows lie in all shards, alike however the rows are read, and are numbered some at a time."""
+    monkeypatch.setattr(sharding, "EQUAL_ROWS", 16)
+    rows = [(None, "same")] * 300 + [(1, "same")] * 16 + [(2, None), (2, None), (3, "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got, again = (sorted(map(str, sharding.shard_documents(d, 8, block_rows=20).collect())) for d in (docs.repartition(3), docs.coalesce(1)))
+    assert got == again and len(got) == len(rows)
+    counts = [sum(f"shard={s}," in r for r in got) for s in range(8)]
+    assert max(counts) - min(counts) <= 1
+    assert all(any("doc_id=None" in r and f"shard={s}," in r for r in got) for s in range(8))
