@@ -536,3 +536,14 @@ def test_sharding_numbers_equal_rows_in_pieces(spark, monkeypatch):
     counts = [sum(f"shard={s}," in r for r in got) for s in range(8)]
     assert max(counts) - min(counts) <= 1
     assert all(any("doc_id=None" in r and f"shard={s}," in r for r in got) for s in range(8))
+
+
+def test_latin_words_need_no_pattern_and_last_tokens_no_check():
+    """A word of Latin letters is encoded as one match; where one token can end, no pair is looked up."""
+    codec = byte_bpe.Codec(byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
+    words = [" straße", "Ñandú", " çàéïõ", " ɏɏɏ", "ÀÖØöø"]
+    wanted = [[i for piece in codec.pattern.findall(w) for i in codec.transducer.encode(piece.encode())] for w in words]
+    codec.pattern = None
+    assert [codec.encode(w) for w in words] == wanted
+    plain = byte_bpe.Transducer({bytes([b]): b for b in range(256)})
+    assert plain.encode(b"abc" * 1_000) == list(b"abc" * 1_000) and not plain.pairs
