@@ -4,7 +4,7 @@ Documents are encoded once by the tokenizer; all ids of the corpus are counted,
 its rank by falling count (equal counts: smaller id first), so that the ids met most often take one byte. A
 rank takes 1 to 4 bytes, little-endian; two bits of a control byte give the length, four ranks a control
 byte, and control and data bytes lie in separate streams. Decoding looks the lengths of four
-ranks up by their control byte, sums them up to places and gathers the bytes; no step looks at single ids.
+ranks up by their control byte and lays the bytes out at the width of the longest; no step looks at single ids.
 
 A file set is a folder that holds
     blocks  control and data bytes of about BLOCK_IDS ids of whole documents a row, with the documents' ids and lengths,
@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopledger.llm.byte_bpe import CHUNK
+from shopledger.llm.byte_bpe import CHUNK, SPACES
 from shopledger.llm.common import texts, written
 from shopledger.session import scratch_path
 
@@ -43,20 +43,80 @@ BLOCK_IDS = 1 << 18
 BATCH_ROWS = 256  # documents encoded at a time
 CACHED = 700_000  # chunks of each of two generations kept in a worker
 LONGEST = 48  # characters of a chunk that is kept
-WORD = re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
+LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
+WORD = re.compile(f" ?{LETTERS.pattern}")
+START = re.compile(f" (?=[^{SPACES}])")  # here a chunk starts whatever is in front
+BLANK = re.compile(f"(?![^{SPACES}])")
 #: How byte-level vocabularies write a byte: as itself where it can be seen, else by the next code point from 256 on.
 SEEN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTES = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(SEEN)))}
 SPACE = chr(BYTES[32])
+#: What a word may hold, by code point: its bytes as byte-level vocabularies write them.
+WRITTEN = {c: "".join(chr(BYTES.get(b, b)) for b in chr(c).encode()) for c in range(0x250) if chr(c).isalpha() or c == 32}
 TAIL = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")  # a contraction starts with '
 
 
+class Unsplit(Exception):
+    """A space that starts no chunk by itself: more white space or the end of the text follows."""
+
+
+class Spaced(dict):
+    """Ids of texts with a space in front, by the text alone: what a split at single spaces gives, without the regular expression.
+
+    A space and what is no white space after it are the start of a chunk (see CHUNK), so what lies between two such
+    starts has ids of its own; white space inside or at the end of it is left to the chunks.
+    """
+
+    def __init__(self, chunks: "Chunks"):
+        self.chunks = chunks
+        self.old: dict[str, bytes] = {}
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
+        if ids is None:
+            chunks = self.chunks
+            core = piece.rstrip(TAIL)
+            if not core.isalnum():
+                return self._other(piece)
+            if len(core) < len(piece):
+                ids = self[core] + chunks[piece[len(core) :]]
+            elif piece.isascii() and piece.isalpha():
+                ids = chunks.word(SPACE + piece)
+            elif LETTERS.fullmatch(piece):
+                ids = chunks.word(SPACE + piece.translate(WRITTEN))
+            else:
+                ids = chunks.each([f" {piece}"])[0]
+        if len(piece) < LONGEST:
+            self[piece] = ids
+        return ids
+
+    def _other(self, piece: str) -> bytes:
+        """Ids of a piece that is not just letters and digits before punctuation; it is kept if it has no white space."""
+        chunks = self.chunks
+        last, _, line = piece.partition("\n")
+        if piece.split() == [last, line]:
+            return self[last] + chunks["\n"] + chunks[line]
+        if BLANK.match(piece):
+            raise Unsplit
+        first, *others = CHUNK.findall(f" {piece}")
+        if others:
+            return self[first[1:]] + b"".join(map(chunks.__getitem__, others))
+        core = piece.rstrip(TAIL)
+        if core and len(core) < len(piece) and core[-1].isalnum():
+            ids = self[core] + chunks[piece[len(core) :]]
+        else:
+            ids = chunks.each([first])[0]
+        if len(piece) < LONGEST:
+            self[piece] = ids
+        return ids
+
+
 class Chunks(dict):
     """Ids of texts by a byte-level tokenizer, as bytes (`width`: unsigned, little-endian, 16 bits where the vocabulary allows).
 
     A match of the tokenizer's pattern never crosses the start of a chunk, so a chunk's ids don't
-    depend on its neighbours, and those met before are kept by chunk: in two generations, of which the
-    older is dropped when the younger is full; what is met again moves to the younger.
+    depend on its neighbours, and those met before are kept by chunk (those with a space in front in `spaced`, without
+    it): in two generations, of which the older is dropped when the younger is full; what is met again moves to the younger.
     """
 
     made: dict[str, "Chunks"] = {}  # by file, for all tasks of a worker
@@ -68,6 +128,7 @@ class Chunks(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.old: dict[str, bytes] = {}
+        self.spaced = Spaced(self)
         self.kept = kept
         self.width = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         code = "H" if self.width == "<u2" else "I"
@@ -80,18 +141,21 @@ class Chunks(dict):
             cls.made[path] = cls(path)
         return cls.made[path]
 
-    def _each(self, pieces: list[str]) -> list[bytes]:
+    def each(self, pieces: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         return [np.array(e.ids, self.width).tobytes() for e in found]
 
-    def _new(self, piece: str) -> bytes:
-        """Ids of a piece that is not known; a word of Latin letters is a match by itself, so the merges see it whole."""
-        if not WORD.fullmatch(piece):
-            return self._each([piece])[0]
-        seen = piece.replace(" ", SPACE) if piece.isascii() else piece.encode().decode("latin-1").translate(BYTES)
+    def word(self, seen: str) -> bytes:
+        """Ids of one match of the pattern, its bytes as the vocabulary writes them, so that the merges see it whole."""
         ids = [t.id for t in self.merges(seen)]
         return self.packs[len(ids)](*ids) if len(ids) < LONGEST else np.array(ids, self.width).tobytes()
 
+    def _new(self, piece: str) -> bytes:
+        """Ids of a piece that is not known; a word of Latin letters is a match by itself."""
+        if not WORD.fullmatch(piece):
+            return self.each([piece])[0]
+        return self.word(piece.translate(WRITTEN))
+
     def __missing__(self, chunk: str) -> bytes:
         """Ids of a chunk that is not in the younger generation; with punctuation cut off, where it follows a letter or digit."""
         ids = self.old.get(chunk)
@@ -105,79 +169,96 @@ class Chunks(dict):
             self[chunk] = ids
         return ids
 
+    def _text(self, text: str) -> bytes:
+        try:
+            first, *pieces = text.split(" ")
+            spaced = b"".join(map(self.spaced.__getitem__, pieces))
+        except Unsplit:
+            first, *pieces = START.split(text)
+            spaced = b"".join(map(self.spaced.__getitem__, pieces))
+        return b"".join(map(self.__getitem__, CHUNK.findall(first))) + spaced
+
     def encode(self, batch: list[str]) -> list[bytes]:
-        known = self.__getitem__
         whole = [i for i, t in enumerate(batch) if any(s in t for s in self.special)]
         out = [b""] * len(batch)
         for i in sorted({*range(len(batch))}.difference(whole)):
-            out[i] = b"".join(map(known, CHUNK.findall(batch[i])))
-            if len(self) >= self.kept:
-                self.old = dict(self)
-                self.clear()
+            out[i] = self._text(batch[i])
+            if len(self) + len(self.spaced) >= self.kept:
+                for young in (self, self.spaced):
+                    young.old = dict(young)
+                    young.clear()
         # special strings are cut out before the pattern is looked for
-        for i, ids in zip(whole, self._each([batch[i] for i in whole])):
+        for i, ids in zip(whole, self.each([batch[i] for i in whole])):
             out[i] = ids
         return out
 
 
-# control byte -> lengths of its four ranks
-LENGTHS = (np.arange(256)[:, None] >> np.arange(0, 8, 2) & 3).astype(np.int64) + 1
+# control byte -> lengths of its four ranks, as one number
+LENGTHS = ((np.arange(256)[:, None] >> np.arange(0, 8, 2) & 3).astype(np.uint8) + 1).view("<u4").reshape(-1)
+
+
+def _width(longest: int) -> int:
+    """Bytes of the narrowest unsigned type for ranks of at most that many bytes."""
+    return longest if longest < 3 else 4
 
 
 def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes and data bytes of ranks; the last control byte may have room for ranks that aren't there."""
-    ranks = ranks.astype("<u4")
-    long = (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)  # length less one
-    padded = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
-    padded[: len(ranks)] = long
-    control = (padded.reshape(-1, 4) << np.arange(0, 8, 2, dtype=np.uint8)).sum(axis=1, dtype=np.uint8)
-    taken = np.arange(4, dtype=np.uint8)[None, :] <= long[:, None]
-    return control.tobytes(), ranks.view(np.uint8).reshape(-1, 4)[taken].tobytes()
+    width = _width(max(1, -(-int(ranks.max(initial=0)).bit_length() // 8)))
+    ranks = ranks.astype(f"<u{width}")
+    taken = np.ones((len(ranks), width), bool)
+    long = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)  # length less one
+    for more in range(1, width):
+        np.greater(ranks, (1 << 8 * more) - 1, out=taken[:, more])
+        long[: len(ranks)] += taken[:, more]
+    control = long[0::4] | long[1::4] << 2 | long[2::4] << 4 | long[3::4] << 6
+    return control.tobytes(), ranks.view(np.uint8).reshape(-1, width)[taken].tobytes()
 
 
 def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
-    lengths = LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:count]
-    ends = np.cumsum(lengths)
-    starts = ends - lengths
-    stream = np.frombuffer(data + b"\0\0\0", np.uint8)
-    out = stream[starts].astype(np.uint32)
-    for more in range(1, int(lengths.max(initial=1))):
-        at = np.flatnonzero(lengths > more)
-        out[at] |= stream[starts[at] + more].astype(np.uint32) << np.uint32(8 * more)
-    return out
+    lengths = LENGTHS[np.frombuffer(control, np.uint8)].view(np.uint8)[:count]
+    width = _width(int(lengths.max(initial=1)))
+    taken = np.ones((count, width), bool)
+    for more in range(1, width):
+        np.greater(lengths, more, out=taken[:, more])
+    out = np.zeros((count, width), np.uint8)
+    out[taken] = np.frombuffer(data, np.uint8)
+    return out.view(f"<u{width}").reshape(-1)
+
+
+MET = pa.list_(pa.struct([("id", pa.int64()), ("n", pa.int64())]))
 
 
 def encoded(docs: DataFrame, tokenizer: str, end: int = END) -> DataFrame:
-    """doc_id, ids (bytes of the tokenizer's width, with the end id) of every row."""
+    """doc_id, ids (bytes of the tokenizer's width, with the end id) of every row.
+
+    `met` is null there; a last row of each task has no ids, but in `met` how often the task gave each id.
+    """
+    kinds = {"doc_id": pa.int64(), "ids": pa.binary(), "met": MET}
 
     def encode(batches):
         chunks = Chunks.of(tokenizer)
         last = np.array([end], chunks.width).tobytes()
+        total = np.zeros(0, np.int64)
         for batch in batches:
             for i in range(0, batch.num_rows, BATCH_ROWS):
                 part = batch.slice(i, BATCH_ROWS)
                 ids = [found + last for found in chunks.encode(texts(part))]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(encode, "doc_id long, ids binary")
-
+                new = np.bincount(np.frombuffer(b"".join(ids), chunks.width), minlength=len(total))
+                new[: len(total)] += total
+                total = new
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, kinds["ids"]), pa.nulls(len(ids), MET)], names=list(kinds))
+        at = np.flatnonzero(total)
+        met = pa.StructArray.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], fields=list(MET.value_type))
+        row = [pa.nulls(1, kinds["doc_id"]), pa.nulls(1, kinds["ids"]), pa.ListArray.from_arrays(pa.array([0, len(at)], pa.int32()), met, type=MET)]
+        yield pa.RecordBatch.from_arrays(row, names=list(kinds))
 
-def counted(ids: DataFrame, width: str) -> DataFrame:
-    """id, n: how often every id occurs; a task gives a row for each id it meets."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(encode, "doc_id long, ids binary, met array<struct<id: long, n: long>>")
 
-    def count(batches):
-        total = np.zeros(0, np.int64)
-        for batch in batches:
-            column = batch.column("ids")
-            first, last = column.offset, column.offset + len(column)
-            bounds = np.frombuffer(column.buffers()[1], np.int32)
-            new = np.bincount(np.frombuffer(column.buffers()[2] or b"", np.uint8)[bounds[first] : bounds[last]].view(width), minlength=len(total))
-            new[: len(total)] += total
-            total = new
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["id", "n"])
 
-    return ids.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+def counted(ids: DataFrame) -> DataFrame:
+    """id, n: how often every id occurs; a task has given an entry for each id it met."""
+    return ids.select(F.inline("met")).groupBy("id").agg(F.sum("n").alias("n"))
 
 
 BLOCKS = "part int, block int, ids_before long, ids long, doc_ids array<long>, lengths array<long>, control binary, data binary"
@@ -188,10 +269,10 @@ def write(docs: DataFrame, tokenizer: str, path: str, *, end: int = END, block_i
     spark = docs.sparkSession
     ids = written(encoded(docs, tokenizer, end), "token-ids", compression="zstd")
     width = Chunks.of(tokenizer).width
-    ranked = [r["id"] for r in counted(ids, width).orderBy(F.desc("n"), "id").collect()]  # a row for each id of the vocabulary at most
+    ranked = [r["id"] for r in counted(ids).orderBy(F.desc("n"), "id").collect()]  # a row for each id of the vocabulary at most
     spark.createDataFrame(list(enumerate(ranked)), "rank int, id long").coalesce(1).write.parquet(f"{path}/ranks")
-    rank_of = np.zeros(max(ranked, default=0) + 1, np.uint32)
-    rank_of[ranked] = np.arange(len(ranked), dtype=np.uint32)
+    rank_of = np.zeros(max(ranked, default=0) + 1, np.uint16 if len(ranked) <= 1 << 16 else np.uint32)
+    rank_of[ranked] = np.arange(len(ranked))
 
     def blocks(batches) -> Iterator[pa.RecordBatch]:
         part, number, before, size = TaskContext.get().partitionId(), 0, 0, 0
@@ -217,7 +298,7 @@ def write(docs: DataFrame, tokenizer: str, path: str, *, end: int = END, block_i
             yield block()
 
     by = [F.col("doc_id").asc_nulls_first(), F.col("_read")]
-    dealt = ids.withColumn("_read", F.monotonically_increasing_id()).repartitionByRange(*by).sortWithinPartitions(*by)
+    dealt = ids.filter("ids IS NOT NULL").withColumn("_read", F.monotonically_increasing_id()).repartitionByRange(*by).sortWithinPartitions(*by)
     dealt.select("doc_id", "ids").mapInArrow(blocks, BLOCKS).write.option("compression", "none").parquet(f"{path}/blocks")
     sums = [tuple(r) for r in read_blocks(spark, path).groupBy("part").agg(F.sum("ids")).orderBy("part").collect()]  # a row a file
     starts = [0, *itertools.accumulate(n for _, n in sums)]
@@ -240,10 +321,11 @@ def read(spark: SparkSession, path: str) -> DataFrame:
             for row in batch.to_pylist():
                 ids = id_of[unpack(row["control"], row["data"], row["ids"])].tobytes()
                 at = np.cumsum([0, *row["lengths"]])
-                own = [ids[4 * a : 4 * b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+                ends = pa.array(4 * at, pa.int32())  # refused if beyond what a column of a batch can hold
+                own = pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, ends.buffers()[1], pa.py_buffer(ids)])
                 first = starts[row["part"]] + row["ids_before"]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(row["doc_ids"], pa.int64()), pa.array(at[:-1] + first, pa.int64()), pa.array(own, pa.binary())], names=["doc_id", "start", "ids"]
+                    [pa.array(row["doc_ids"], pa.int64()), pa.array(at[:-1] + first, pa.int64()), own], names=["doc_id", "start", "ids"]
                 )
 
     return read_blocks(spark, path).mapInArrow(documents, "doc_id long, start long, ids binary")

@@ -97,3 +97,42 @@ def test_kept_chunks_stay_bounded_within_a_batch(tokenizer):
     chunks.old = {}
     chunks.encode(batch)
     assert len(chunks) < 20 + 15 and len(chunks.old) < 20 + 15 and "again" in chunks
+
+
+SPACED = ["a  b", "a   b", " a", "  a", "a ", "a  ", "a \nb", "a  \nb", "a\n b", "a\n\n b", "a\n\nb", "a \n \n b", "\n a", " \n", "\n", " ", "   ", "a\tb c", "a \tb", "a  b", "a  b", "a \x1cb", "a\x1c b",
+          "one.\nTwo, three\nfour  five", "x.\r\ny z", "señor, niño's\nÜber 漢字 한 12,3", "a   b c", "ḱo lé, 7b", "word\x85 word", "a\u00a0 b", "a \u00a0b", " \u2003a", "a \u2003 b"]
+
+
+@pytest.mark.parametrize("kept", [3, 700_000])
+def test_spaces_equal_the_library(tokenizer, kept):
+    """Texts are split at single spaces; where a space starts no chunk, at those only that do."""
+    chunks = token_files.Chunks(PATH, kept)
+    for text in [*SPACED, *[a + glue + b for a in SPACED for b in SPACED for glue in ("", " ", "\n")]] * 2:
+        assert np.frombuffer(chunks.encode([text])[0], chunks.width).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+    assert max(len(chunks) + len(chunks.spaced), len(chunks.old) + len(chunks.spaced.old)) < kept + 20 or kept > 20
+
+
+def test_plain_words_need_no_pattern(monkeypatch):
+    """Words between single spaces are looked up without the regular expression, the costly part of known text."""
+    seen = []
+
+    class Pattern:
+        def findall(self, text, real=token_files.CHUNK):
+            seen.append(len(text))
+            return real.findall(text)
+
+    monkeypatch.setattr(token_files, "CHUNK", Pattern())
+    text = "\n".join(["the kettle is red, and the lamp isn't blue; señor, ring 12 (or so)."] * 200)
+    token_files.Chunks(PATH).encode([text] * 5)
+    assert 0 < sum(seen) < len(text)
+
+
+def test_tasks_count_their_ids(spark, tokenizer):
+    """The tasks that encode also count: a last row of each has an entry for each id it gave."""
+    texts = ["red red kettle", None, "", "niño the the"] * 30
+    docs = spark.createDataFrame([(None if i == 5 else i, t, 1, 2, "x", "y") for i, t in enumerate(texts)], SCHEMA).repartition(4)
+    rows = token_files.encoded(docs, PATH).collect()
+    assert sum(r.ids is not None for r in rows) == len(texts) and all((r.ids is None) != (r.met is None) for r in rows)
+    want = np.bincount(np.concatenate([ids_of(tokenizer, t) for t in texts]))
+    got = {r.id: r.n for r in token_files.counted(token_files.encoded(docs, PATH)).collect()}
+    assert got == {i: want[i] for i in np.flatnonzero(want)}
