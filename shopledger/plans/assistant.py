@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+import tempfile
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopledger.functions.text import with_id_footer
-from shopledger.operators.retrieval import only_found, search
+from shopledger.operators.retrieval import Spool, only_found, search
 from shopledger.operators.validation import assistant_requests
 from shopledger.session import written
 from shopledger.sources.fixed_values import DEGRADED_REPLY, DESIGN_PROMPT, SEARCH_LIMIT, SEARCH_PROMPT
 
+# Bytes of prompts a task gives on at a time, and of texts it keeps unpacked.
+PROMPT_BYTES, TEXT_BYTES = 4 << 20, 32 << 20
+
 
 def filled(template: str, **values: Column) -> Column:
     """A template with each {name} replaced by a column."""
@@ -45,35 +53,99 @@ def assistant_candidates(
     """Valid requests(query_id, raw_message) with candidate ids and the prompt to send.
 
     corpus(item_id, text, ...): the prompt holds the found items as JSON with all columns of
-    the corpus and the relevance score. A request has at most k candidates, so collecting them is
-    bounded. Texts of items that no request has found are left out before they move.
+    the corpus and the relevance score. A request has at most k candidates, so a prompt is bounded. Texts of items that no
+    request has found are left out before they move. Requests are dealt to one share a core; a found text goes once to every
+    share that needs it, packed, and waits in the task's scratch file: prompts, which repeat texts, never move.
     """
     valid = assistant_requests(requests).filter("accepted").withColumn("room", room)
     asked = valid.select("query_id", search_prompt(F.col("message"), F.col("room")).alias("text"))
     found = written(search(asked, corpus, "tokens", k), "assistant-found")
     own = [c for c in corpus.columns if c != "item_id"]
-    document = F.to_json(
-        F.struct(F.col("item_id").cast("string").alias("id"), *own, F.col("score").alias("_relevance_score"))
-    )
-    documents = found.join(only_found(corpus, found), "item_id").select(
-        "query_id", F.struct("rank", F.col("item_id").cast("string").alias("id"), document.alias("document")).alias("hit")
-    )
-    hits = F.array_sort(F.collect_list("hit"))
-    candidates = documents.groupBy("query_id").agg(hits.alias("hits"))
-    joined = valid.join(candidates, "query_id", "left")
-    none = F.array().cast("array<string>")
-    ids = F.coalesce(F.transform("hits", lambda h: h["id"]), none)
-    listed = F.array_join(F.coalesce(F.transform("hits", lambda h: h["document"]), none), ", ")
-    return joined.select(
+    name = F.col("item_id").cast("string").alias("id")
+    hits = found.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("rank", "item_id", name, "score"))).alias("hits"))
+    waiting = written(valid.select("query_id", "message", "room").join(hits, "query_id", "left"), "assistant-asked")
+    shares = waiting.sparkSession.sparkContext.defaultParallelism
+    waiting = waiting.withColumn("share", F.pmod(F.xxhash64("query_id", "message"), F.lit(shares)).cast("int"))
+    needed = waiting.select("share", F.explode("hits.item_id").alias("item_id")).distinct()
+    texts = only_found(corpus, found).select("item_id", F.to_json(F.struct(name, *own)).alias("text"))
+    packed = texts.mapInArrow(_packed, f"item_id {corpus.schema['item_id'].dataType.simpleString()}, size bigint, text binary")
+    columns = ["share", "id", "size", "text", "query_id", "message", "room", "hits"]
+    slim = F.transform("hits", lambda h: F.struct(h["id"].alias("id"), h["score"].alias("score"))).alias("hits")
+    both = needed.join(packed, "item_id").select("share", name, "size", "text").unionByName(
+        waiting.select("share", "query_id", "message", "room", slim), allowMissingColumns=True
+    ).select(*columns)
+    kinds = [f"{c} {waiting.schema[c].dataType.simpleString()}" for c in ("query_id", "message", "room")]
+    listed = both.repartitionById(shares, F.col("share")).mapInArrow(_listed, ", ".join([*kinds, "candidate_ids array<string>", "listed string"]))
+    return listed.select(
         "query_id",
         "message",
-        F.array_distinct(ids).alias("candidate_ids"),
+        "candidate_ids",
         design_prompt(
-            F.lit(instruction), F.col("room"), listed, F.col("message")
+            F.lit(instruction), F.col("room"), F.col("listed"), F.col("message")
         ).alias("prompt"),
     )
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    codec = pa.Codec("zstd")
+    for batch in batches:
+        texts = [text.as_buffer() for text in batch.column("text")]
+        data = [codec.compress(text, asbytes=True) for text in texts]
+        size = pa.array([text.size for text in texts], pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column("item_id"), size, pa.array(data, pa.binary())], ["item_id", "size", "text"])
+
+
+class _Texts:
+    """Packed JSON texts of items in a scratch file of the task, by id; an id may have several."""
+
+    def __init__(self) -> None:
+        self.file, self.places, self.codec = tempfile.TemporaryFile(), {}, pa.Codec("zstd")
+        self.kept, self.size = {}, 0
+
+    def add(self, item: str, size: int, data: bytes) -> None:
+        self.places.setdefault(item, []).append((self.file.tell(), len(data), size))
+        self.file.write(data)
+
+    def __getitem__(self, item: str) -> list[bytes]:
+        if item not in self.kept:
+            if self.size > TEXT_BYTES:
+                self.kept, self.size = {}, 0
+            texts = []
+            for at, length, size in self.places[item]:
+                self.file.seek(at)
+                texts.append(self.codec.decompress(self.file.read(length), size, asbytes=True))
+                self.size += size
+            self.kept[item] = texts
+        return self.kept[item]
+
+
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The candidates of every request of a share, ids and JSON documents, from texts and requests in any order."""
+    texts, waiting = _Texts(), Spool()
+    for batch in batches:
+        text = pc.is_valid(batch.column("text"))
+        some = batch.filter(text)
+        for item, size, data in zip(*(some.column(c).to_pylist() for c in ("id", "size", "text"))):
+            texts.add(item, size, data)
+        some = batch.filter(pc.invert(text))
+        if some.num_rows:
+            waiting.add(some.select(["query_id", "message", "room", "hits"]))
+    for batch in waiting:
+        ids, listed, size, begun = [], [], 0, 0
+        for n, hits in enumerate(batch.column("hits"), 1):
+            hits = hits.as_py() or []
+            # the score closes the document, as in the JSON of all columns and the score
+            documents = [sorted(t[:-1] + b',"_relevance_score":%d}' % h["score"] for t in texts[h["id"]]) for h in hits]
+            ids.append(list(dict.fromkeys(h["id"] for h in hits)))
+            listed.append(b", ".join(d for some in documents for d in some))
+            size += len(listed[-1])
+            if size >= PROMPT_BYTES or n == batch.num_rows:
+                own = [batch.column(c).slice(begun, n - begun) for c in ("query_id", "message", "room")]
+                made = [pa.array(ids, pa.list_(pa.string())), pa.array(listed, pa.binary()).view(pa.string())]
+                yield pa.RecordBatch.from_arrays([*own, *made], ["query_id", "message", "room", "candidate_ids", "listed"])
+                ids, listed, size, begun = [], [], 0, n
+
+
 def finalize_replies(replies: DataFrame) -> DataFrame:
     """replies(query_id, message, reply, candidate_ids): final text; a NULL reply is a failed call."""
     text = F.coalesce("reply", degraded_reply(F.col("message")))
