@@ -17,7 +17,7 @@ from shopledger.session import written
 from shopledger.sources.fixed_values import DEGRADED_REPLY, DESIGN_PROMPT, SEARCH_LIMIT, SEARCH_PROMPT
 
 # Bytes of prompts a task gives on at a time, and of texts it keeps unpacked.
-PROMPT_BYTES, TEXT_BYTES = 4 << 20, 32 << 20
+PROMPT_BYTES, TEXT_BYTES = 1 << 20, 16 << 20
 
 
 def filled(template: str, **values: Column) -> Column:
@@ -89,10 +89,9 @@ def assistant_candidates(
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     codec = pa.Codec("zstd")
     for batch in batches:
-        texts = [text.as_buffer() for text in batch.column("text")]
-        data = [codec.compress(text, asbytes=True) for text in texts]
-        size = pa.array([text.size for text in texts], pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column("item_id"), size, pa.array(data, pa.binary())], ["item_id", "size", "text"])
+        size = pa.array([text.as_buffer().size for text in batch.column("text")], pa.int64())
+        data = pa.array([codec.compress(text.as_buffer(), asbytes=True) for text in batch.column("text")], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column("item_id"), size, data], ["item_id", "size", "text"])
 
 
 class _Texts:
@@ -102,8 +101,8 @@ class _Texts:
         self.file, self.places, self.codec = tempfile.TemporaryFile(), {}, pa.Codec("zstd")
         self.kept, self.size = {}, 0
 
-    def add(self, item: str, size: int, data: bytes) -> None:
-        self.places.setdefault(item, []).append((self.file.tell(), len(data), size))
+    def add(self, item: str, size: int, data: pa.Buffer) -> None:
+        self.places.setdefault(item, []).append((self.file.tell(), data.size, size))
         self.file.write(data)
 
     def __getitem__(self, item: str) -> list[bytes]:
@@ -125,8 +124,8 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         text = pc.is_valid(batch.column("text"))
         some = batch.filter(text)
-        for item, size, data in zip(*(some.column(c).to_pylist() for c in ("id", "size", "text"))):
-            texts.add(item, size, data)
+        for item, size, data in zip(*(some.column(c) for c in ("id", "size", "text"))):
+            texts.add(item.as_py(), size.as_py(), data.as_buffer())
         some = batch.filter(pc.invert(text))
         if some.num_rows:
             waiting.add(some.select(["query_id", "message", "room", "hits"]))
